@@ -138,8 +138,8 @@ def _searcher(k: int):
     def search(rows: pa.Table, asked: pa.Table) -> pa.Table:
         found = []
         if rows.num_rows and asked.num_rows:
-            query_ids = asked["vec_id"].to_numpy()
-            best = search_shard(_matrix(rows["embedding"]), rows["vec_id"].to_numpy(), _matrix(asked["embedding"]), query_ids, asked["floor"].to_numpy().astype(np.float64), k)
+            query_ids = asked["q_vec_id"].to_numpy()
+            best = search_shard(_matrix(rows["embedding"]), rows["vec_id"].to_numpy(), _matrix(asked["q_embedding"]), query_ids, asked["q_floor"].to_numpy().astype(np.float64), k)
             found = [query_ids[best.row], best.id, best.score.astype(np.int64)]
         else:
             found = [np.empty(0, np.int64)] * 3
@@ -177,15 +177,17 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard_rows: int = SHA
     lowest = F.lit(-9.3e18)
 
     def searched(rows: DataFrame, queries: DataFrame) -> DataFrame:
-        return rows.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(lambda a, b: search(a, b), _FOUND)
+        # Both sides come from one table; aliases tell their columns apart.
+        queries = queries.select(*(F.col(c).alias(f"q_{c}") for c in ("vec_id", "embedding", "floor", *keys)))
+        return rows.groupBy(*keys).cogroup(queries.groupBy(*(f"q_{c}" for c in keys))).applyInArrow(lambda a, b: search(a, b), _FOUND)
 
     first = searched(dealt.where("shard = 0"), asked.withColumn("shard", F.lit(0)).withColumn("floor", lowest))
     if shards == 1:
         found = first
     else:
         first = cut(first)
-        kth = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("kth"))
-        rest = asked.join(kth, asked.vec_id == kth.query_id, "left").withColumn("floor", F.coalesce(F.col("kth").cast("double"), lowest))
+        kth = first.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count("*") >= k, F.min("score")).alias("kth"))
+        rest = asked.join(kth, "vec_id", "left").withColumn("floor", F.coalesce(F.col("kth").cast("double"), lowest))
         rest = rest.withColumn("shard", F.explode(F.sequence(F.lit(1), F.lit(shards - 1)))).select("vec_id", "embedding", "floor", *keys)
         found = first.unionByName(searched(dealt.where("shard > 0"), rest))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
