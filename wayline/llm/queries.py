@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import quality
 from .common import table
 from .html_text import extract_main_text
 from .sharding import shard
@@ -15,6 +16,13 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shard(table(spark, sf_dir, "documents"), shards=8)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "n_tokens")
@@ -26,6 +34,7 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_html_extraction": op3_html_extraction,
+    "op7_quality": op7_quality,
     "op8_sharding": op8_sharding,
     "op9_topk": op9_topk,
 }
