@@ -6,12 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import quality
-from .common import table
+from .common import hex_sha256, table
 from .html_text import extract_main_text
+from .license_scan import scan_licenses
+from .secrets import scan_secrets
 from .sharding import shard
 from .topk import top_k
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", hex_sha256(F.col("base")).alias("base_sha256"), "spans")
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
@@ -32,11 +39,24 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("findings").cast("long").alias("n_findings"),
+        F.array_join(F.transform("findings", lambda x: F.format_string("%s:%d:%d", x.license, x.start, x.end)), ",").alias("findings"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("findings", lambda x: x.license))), ",").alias("licenses"),
+        F.array_max(F.transform("findings", lambda x: x.coverage)).alias("coverage"),
+    )
+
+
 QUERIES = {
+    "op2_secret_scan": op2_secret_scan,
     "op3_html_extraction": op3_html_extraction,
     "op7_quality": op7_quality,
     "op8_sharding": op8_sharding,
     "op9_topk": op9_topk,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE_SQL = {
