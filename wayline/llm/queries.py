@@ -7,13 +7,24 @@ from pyspark.sql import functions as F
 
 from . import quality
 from .common import hex_sha256, table
+from .decontaminate import OVERLAPS_SQL, overlaps
 from .html_text import extract_main_text
+from .line_dedup import dedup_lines
 from .license_scan import scan_licenses
 from .secrets import scan_secrets
 from .sharding import shard
 from .topk import top_k
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"), "text")
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", hex_sha256(F.col("base")).alias("base_sha256"), "spans")
@@ -51,8 +62,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op3_html_extraction": op3_html_extraction,
+    "op4_decontamination": op4_decontamination,
     "op7_quality": op7_quality,
     "op8_sharding": op8_sharding,
     "op9_topk": op9_topk,
@@ -60,6 +73,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_decontamination": OVERLAPS_SQL,
     "op9_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
