@@ -9,6 +9,7 @@ from . import quality
 from .common import hex_sha256, table
 from .decontaminate import OVERLAPS_SQL, overlaps
 from .html_text import extract_main_text
+from .jaccard import similarity_classes
 from .line_dedup import dedup_lines
 from .license_scan import scan_licenses
 from .secrets import scan_secrets
@@ -34,6 +35,11 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = similarity_classes(table(spark, sf_dir, "documents"), n=3, threshold="0.9")
+    return found.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -66,6 +72,7 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_html_extraction": op3_html_extraction,
     "op4_decontamination": op4_decontamination,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_quality": op7_quality,
     "op8_sharding": op8_sharding,
     "op9_topk": op9_topk,
