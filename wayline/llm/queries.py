@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import bpe, quality
 from .common import hex_sha256, table
 from .decontaminate import OVERLAPS_SQL, overlaps
 from .html_text import extract_main_text
@@ -35,6 +37,23 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def _ranks_path() -> str:
+    return import_module("public_tokenizers").path("byte_bpe_multi_50k.tiktoken")
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokenizer = bpe.Tokenizer(spark, bpe.load_ranks(_ranks_path()))
+    tokenizer.keep_words(docs)
+    ids = bpe.encode(docs, tokenizer)
+    return ids.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        hex_sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        hex_sha256(tokenizer.decode(F.col("ids"))).alias("decoded_sha256"),
+    )
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = similarity_classes(table(spark, sf_dir, "documents"), n=3, threshold="0.9")
     return found.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
@@ -72,6 +91,7 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_html_extraction": op3_html_extraction,
     "op4_decontamination": op4_decontamination,
+    "op5_bpe": op5_bpe,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_quality": op7_quality,
     "op8_sharding": op8_sharding,
