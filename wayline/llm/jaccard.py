@@ -33,8 +33,8 @@ from .words import distinct, mix, shingles, words_of
 SKETCH_WORDS = 16  # of 64 bits: the short sketch that candidates are filtered by
 PIECE_BITS = 4096  # bits of the long sketch in each piece
 WEAK_BITS = 1
-SMALL = 24  # of a key with so many classes all pairs are looked at in one round
-PIVOTS = 16  # of a larger one so many classes in each later round
+SMALL = 160  # of a key with so many classes all pairs are looked at in one round
+PIVOTS = 64  # of a larger one so many classes in each later round
 BROADCAST_ROWS = 500_000  # 16 bytes each
 
 
@@ -186,23 +186,20 @@ def components(edges: DataFrame) -> DataFrame:
     """``class, component``: the smallest class reachable over the edges (a, b), for the classes on edges.
 
     Large-star and small-star steps in turn: every class points its larger, then its
-    smaller neighbours at the smallest it knows, until nothing changes.
+    smaller neighbours at the smallest it knows, until only stars are left.
     """
     pairs = cut(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct())
-    known = None
     while True:
+        ends = pairs.select(F.col("hi").alias("u"), F.lit(1).alias("hi"), F.lit(0).alias("lo")).unionByName(pairs.select(F.col("lo").alias("u"), F.lit(0).alias("hi"), F.lit(1).alias("lo")))
+        if ends.groupBy("u").agg(F.sum("hi").alias("hi"), F.max("lo").alias("lo")).where("hi > 1 or hi = 1 and lo = 1").isEmpty():
+            return pairs.select(F.col("hi").alias("class"), F.col("lo").alias("component"))
         both = pairs.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(pairs.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.least("m", "u").alias("lo"))
-        large = cut(large.distinct())
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.least("m", "u").alias("lo")).distinct()
         least = large.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m"))
         small = large.select(F.col("hi").alias("u"), F.col("lo").alias("v")).join(least, "u")
         pairs = small.select(F.col("v").alias("hi"), F.col("m").alias("lo")).unionByName(least.select(F.col("u").alias("hi"), F.col("m").alias("lo")))
         pairs = cut(pairs.where("hi <> lo").distinct())
-        now = pairs.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if now == known or not now[0]:
-            return pairs.select(F.col("hi").alias("class"), F.col("lo").alias("component"))
-        known = now
 
 
 def _near(a: str, b: str, t: Fraction) -> Column:
@@ -246,16 +243,14 @@ def similarity_classes(docs: DataFrame, n: int = 5, threshold: str = "0.8") -> D
     buckets = cut(shared.where("least <> most").select("key", "class").distinct())
     facts = classes.select("class", "n", "s")
     edges = tested = label = None
-    rounds = 0
-    while True:
-        own = buckets.withColumn("component", F.col("class")) if label is None else buckets.join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    while not buckets.isEmpty():
+        first = label is None
+        own = buckets.withColumn("component", F.col("class")) if first else buckets.join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))
         own = own.withColumn("size", F.count("*").over(in_key)).withColumn("peers", F.count("*").over(Window.partitionBy("key", "component"))).where("peers < size")
         own = own.withColumn("rank", F.row_number().over(in_key.orderBy("peers", "component", "class")))
         # First one class of a large bucket; later some of its smaller components.
-        most = F.when(F.col("size") <= SMALL, F.col("size")).otherwise(1 if rounds == 0 else PIVOTS)
+        most = F.when(F.col("size") <= SMALL, F.col("size")).otherwise(1 if first else PIVOTS)
         own = cut(own.withColumn("pivot", F.col("rank") <= most).select("key", "class", "component", "size", "rank", "pivot"))
-        if own.isEmpty():
-            break
         sides = own.join(facts, "class")
         a, b = (sides.select("key", F.col("class").alias(x), F.col("component").alias(f"c{x}"), F.col("rank").alias(f"r{x}"), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}"), F.col("pivot").alias(f"p{x}")) for x in "ab")
         # A pivot is held against the classes after it that are in other components.
@@ -269,10 +264,18 @@ def similarity_classes(docs: DataFrame, n: int = 5, threshold: str = "0.8") -> D
         new = cut(_verified(close, _texts(docs, heads, unique), n, t))
         edges = new if edges is None else edges.unionByName(new)
         tested = close if tested is None else tested.unionByName(close)
-        label = components(edges)
+        if first:
+            label = components(new)
+        elif not new.isEmpty():
+            # The new links join whole components.
+            for x in "ab":
+                new = new.join(label.select(F.col("class").alias(x), F.col("component").alias(f"c{x}")), x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
+            roots = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+            known = label.unionByName(new.select(F.explode(F.array("ca", "cb")).alias("class")).distinct().withColumn("component", F.col("class")))
+            merged = known.groupBy("class").agg(F.min("component").alias("component")).join(roots.select(F.col("class").alias("component"), F.col("component").alias("root")), "component", "left")
+            label = cut(merged.select("class", F.coalesce("root", "component").alias("component")))
         # A pivot is done with its bucket.
         buckets = cut(own.where((F.col("size") > SMALL) & ~F.col("pivot")).select("key", "class"))
-        rounds += 1
     heads = classes.select("class", F.col("doc_id").alias("class_id"))
     if label is None:
         named = heads.select("class", "class_id", F.lit(0).cast("long").alias("n_links"), F.col("class_id").alias("component_id"))
