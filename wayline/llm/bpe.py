@@ -1,206 +1,223 @@
-"""Byte-level BPE with Spark's higher-order functions.
-
-Texts are split by the tokenizer's pattern. A word's bytes become single-byte tokens
-and a fold merges, again and again, the leftmost of the adjacent pairs with the
-lowest rank. Ranks are looked up in a constant map from pairs of tokens to the token
-they make: two arrays, addressed by two hashes of the pair, each pair in one of them.
-The distinct words of a bounded sample are encoded first, the frequent ones kept as a
-constant of their own, and texts look their words up there; any other word is folded
-where it stands. The sample and the number of words kept bear on the speed only.
-Decoding concatenates the byte pieces of the ids.
+"""Byte-level BPE encoding and decoding of whole texts.
+
+Spark's regular expressions split the texts into words. Of each batch of words the
+distinct ones are encoded: the words of about one length form a matrix of tokens, and
+a fold merges, in all of them at once, the leftmost of the adjacent pairs with the
+lowest rank, looked up in a fixed map from pairs of tokens to the token they make.
+Texts are put together from their words' ids by Arrow's take; decoding takes the byte
+pieces of the ids in the same way. ``bpe_native`` has the same fold in higher-order
+functions of Spark; the README says what either costs.
 """
 
 from __future__ import annotations
 
-import base64
-import random
+import hashlib
+import heapq
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import cut, text_or_empty
-
-#: The tokenizer's pattern, its white space spelled out as Unicode's for Java.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+"""
-NONE = 1 << 20  # above every rank
-SLOTS = 131_071
-KEPT_WORDS = 1 << 19
-BUCKETS = 1 << 18
-SAMPLE_BYTES = 100_000_000
-
-
-def load_ranks(path: str) -> dict[bytes, int]:
-    with open(path, "rb") as file:
-        return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in file if line.strip())}
-
-
-def pair_table(ranks: dict[bytes, int], slots: int = SLOTS, seed: int = 1):
-    """Hash factors and two arrays of (left << 16 | right) << 16 | merged; -1 where empty."""
-    entries = []
-    for token, rank in ranks.items():
-        for i in range(1, len(token)):
-            left, right = ranks.get(token[:i]), ranks.get(token[i:])
-            if left is not None and right is not None:
-                entries.append((left << 16 | right) << 16 | rank)
-    rng = random.Random(seed)
-    while True:
-        factors = [(rng.randrange(1, 1 << 20) | 1, rng.randrange(1, 1 << 20) | 1) for _ in range(2)]
-        tables = [[-1] * slots, [-1] * slots]
-        for entry in entries:
-            side = 0
-            for _ in range(500):
-                left, right = entry >> 32, entry >> 16 & 65535
-                slot = (left * factors[side][0] + right * factors[side][1]) % slots
-                entry, tables[side][slot] = tables[side][slot], entry
-                if entry < 0:
-                    break
-                side ^= 1
-            if entry >= 0:
-                break
-        else:
-            return factors, tables
-
+from .bpe_native import PATTERN, load_ranks, pair_table
+from .common import text_or_empty
 
-def _let(value: Column, then) -> Column:
-    """``then(value)`` with ``value`` evaluated once."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
+NONE = np.int64(1 << 20)
+LONG_WORD = 128  # bytes; longer ones are merged one by one
+KEPT_WORDS = 2_000_000  # of one task, after which its memory of encoded words starts anew
+__all__ = ["Codec", "decode", "encode", "fingerprints", "load_ranks"]
 
 
-class Tokenizer:
-    """The constants of one rank file in a session: the pair map, single-byte tokens, byte pieces, kept words."""
+class Codec:
+    """The constants of a rank file: the pair map in two hashed arrays, single bytes, byte pieces."""
 
-    def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int]):
         if sorted(ranks.values()) != list(range(len(ranks))) or len(ranks) > 65536 or any(bytes([i]) not in ranks for i in range(256)):
             raise ValueError("ranks must be 0 to n - 1, n at most 65,536, and include every single byte")
         self.factors, tables = pair_table(ranks)
-        pieces = [token.hex() for token, _ in sorted(ranks.items(), key=lambda x: x[1])]
-        # Literals once the optimizer has folded them.
-        numbers = lambda x: F.split(F.lit(",".join(map(str, x))), ",").cast("array<bigint>")
-        single = [ranks[bytes([i])] for i in range(256)]
-        first = [ranks.get(bytes([i, j]), NONE) for i in range(256) for j in range(256)]
-        self._map = [numbers(tables[0]).alias("t0"), numbers(tables[1]).alias("t1"), numbers(single).alias("bytes"), numbers(first).alias("first")]
-        self._pieces = F.split(F.lit(",".join(pieces)), ",")
-        self._kept: DataFrame | None = None
-
-    def _rank(self, tables: Column, left: Column, right: Column) -> Column:
-        """The rank of the token that two tokens make; null if none."""
-
-        def entry(side: int) -> Column:
-            a, b = self.factors[side]
-            return F.get(tables[f"t{side}"], ((left * a + right * b) % SLOTS).cast("int"))
-
-        key = left * 65536 + right
-        here, there = entry(0), entry(1)
-        return F.when(F.shiftright(here, 16) == key, here.bitwiseAND(65535)).when(F.shiftright(there, 16) == key, there.bitwiseAND(65535))
-
-    @staticmethod
-    def _utf8(word: Column) -> Column:
-        """The UTF-8 bytes of a word, as whole numbers."""
-
-        def of_character(code: Column) -> Column:
-            tail = lambda bits: F.shiftright(code, bits).bitwiseAND(63) + 128
-            return (
-                F.when(code < 0x80, F.array(code))
-                .when(code < 0x800, F.array(F.shiftright(code, 6) + 0xC0, tail(0)))
-                .when(code < 0x10000, F.array(F.shiftright(code, 12) + 0xE0, tail(6), tail(0)))
-                .otherwise(F.array(F.shiftright(code, 18) + 0xF0, tail(12), tail(6), tail(0)))
-            )
-
-        codes = F.transform(F.split(word, ""), F.ascii)
-        wide = F.flatten(F.transform(F.split(word, ""), lambda c: _let(F.ascii(c), of_character)))
-        return F.when(F.octet_length(word) == F.length(word), codes).otherwise(wide)
-
-    def _fold(self, tables: Column, word: Column) -> Column:
-        """The ids of one word, comma after each.
-
-        The state is an array with a number for each token: rank of its pair with the next
-        token, place of its first byte, its id. So the least number is the pair to merge.
-        """
-        ids, places = (1 << 17) - 1, (1 << 37) - 1
-
-        def number(rank: Column, low: Column) -> Column:
-            return F.shiftleft(F.coalesce(rank, F.lit(NONE).cast("bigint")), 37) + low
-
-        def merge(state: Column, _: Column) -> Column:
-            def at(least: Column):
-                merged = F.shiftright(least, 37)
-
-                def around(j: Column) -> Column:
-                    left, next_ = F.get(state, j - 2), F.get(state, j + 1)
-                    made = number(self._rank(tables, merged, next_.bitwiseAND(ids)), least.bitwiseAND(places - ids) + merged)
-                    rest = F.slice(state, j + 2, F.size(state))
-                    before = number(self._rank(tables, left.bitwiseAND(ids), merged), left.bitwiseAND(places))
-                    return F.when(j == 1, F.concat(F.array(made), rest)).otherwise(F.concat(F.slice(state, F.lit(1), j - 2), F.array(before, made), rest))
-
-                return F.when(least >= NONE << 37, state).otherwise(_let(F.array_position(state, least).cast("int"), around))
-
-            return _let(F.array_min(state), at)
-
-        def start(b: Column) -> Column:
-            rank = lambda x, i: F.get(tables["first"], x * 256 + F.get(b, i + 1))
-            state = F.transform(b, lambda x, i: number(rank(x, i), F.shiftleft(i.cast("bigint"), 17) + F.get(tables["bytes"], x)))
-            return F.aggregate(F.sequence(F.lit(1), F.size(b)), state, merge, lambda s: F.array_join(F.transform(s, lambda x: F.concat(x.bitwiseAND(ids).cast("string"), F.lit(","))), ""))
-
-        return _let(self._utf8(word), start)
-
-    def keep_words(self, docs: DataFrame, text_column: str = "text", words: int = KEPT_WORDS, sample_bytes: int = SAMPLE_BYTES) -> None:
-        """Encode the distinct words of a sample of the texts and keep the most frequent."""
-        text = text_or_empty(text_column)
-        size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-        share = max(1, -(-size // sample_bytes))
-        sample = docs.where(F.pmod(F.xxhash64(text_column), F.lit(share)) == 0)
-        each = sample.select(F.explode(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).alias("word"))
-        often = each.where(~F.col("word").contains("\n")).groupBy("word").count().orderBy(F.desc("count"), "word").limit(words).select("word")
-        often = often.repartition("word")
-        encoded = cut(often.select("word", _let(F.struct(*self._map), lambda tables: self._fold(tables, F.col("word"))).alias("ids")))
-        bucket = F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int")
-        entry = F.concat("word", F.lit("\n"), "ids", F.lit("\n"))
-        filled = encoded.groupBy(bucket.alias("bucket")).agg(F.concat(F.lit("\n"), F.array_join(F.collect_list(entry), "")).alias("entries"))
-        every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(filled, "bucket", "left")
-        slots = F.array_sort(F.collect_list(F.struct("bucket", F.coalesce("entries", F.lit("")).alias("entries"))))
-        kept = every.agg(F.transform(slots, lambda x: x["entries"]).alias("kept"))
-        self._kept = cut(kept)
-
-    def encode(self, docs: DataFrame, text_column: str = "text", into: str = "encoded") -> DataFrame:
-        """``docs`` with the ids of each text as a string, comma after each; empty for an empty text."""
-
-        def word_ids(tables: Column):
-            def of(word: Column) -> Column:
-                if self._kept is None:
-                    return self._fold(tables, word)
-                entries = F.get(tables["kept"], F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int"))
-                key = F.concat(F.lit("\n"), word, F.lit("\n"))
-                # Entries stand between line feeds, which no kept word has.
-                rest = F.call_function("substring_index", entries, key, F.lit(-1))
-                return F.when(F.contains(entries, key), F.call_function("substring_index", rest, F.lit("\n"), F.lit(1))).otherwise(self._fold(tables, word))
-
-            return of
-
-        constant = list(self._map)
-        if self._kept is not None:
-            # A scalar subquery can't stand in a lambda itself; the optimizer puts it back in place of the column.
-            docs = docs.withColumn("__kept", self._kept.scalar())
-            constant.append(F.col("__kept").alias("kept"))
-        words = F.regexp_extract_all(text_or_empty(text_column), F.lit(PATTERN), F.lit(0))
-        encoded = _let(F.struct(*constant), lambda tables: F.array_join(F.transform(words, word_ids(tables)), ""))
-        return docs.withColumn(into, encoded).drop("__kept")
-
-    def decode(self, ids: Column) -> Column:
-        """The bytes of an array of ids."""
-        return _let(self._pieces, lambda pieces: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), "")))
-
-
-def encode(docs: DataFrame, tokenizer: Tokenizer, text_column: str = "text", ids_column: str = "ids") -> DataFrame:
-    """All rows and columns of ``docs`` and the ids of the whole text, an array of ints.
-
-    Null and empty texts have no ids. Rows are independent: repeated rows and clashing
-    names elsewhere don't matter; an ``ids`` column of the input is replaced.
+        self.tables = [np.array(t, np.int64) for t in tables]
+        self.single = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
+        self.pieces = [token for token, _ in sorted(ranks.items(), key=lambda x: x[1])]
+        self.whole = ranks
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 16 | right
+        found = np.full(key.shape, NONE)
+        for (a, b), t in zip(self.factors, self.tables):
+            entry = t[(left * a + right * b) % len(t)]
+            found = np.where(entry >> 16 == key, entry & 65535, found)
+        return found
+
+    def fold(self, words: list[bytes]) -> list[np.ndarray]:
+        """The ids of words of at most LONG_WORD bytes, all merged in step."""
+        width = max(map(len, words))
+        length = np.array([len(w) for w in words])
+        raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(len(words), width)
+        ids = self.single[raw]
+        ranks = np.full((len(words), width), NONE)
+        if width > 1:
+            ranks[:, :-1] = np.where(np.arange(1, width) < length[:, None], self.rank(ids[:, :-1], ids[:, 1:]), NONE)
+        out: list[np.ndarray] = [ids[:0, 0]] * len(words)
+        at = np.arange(len(words))
+        while len(at):
+            j = ranks.argmin(axis=1)
+            rows = np.arange(len(at))
+            merged = ranks[rows, j]
+            done = merged >= NONE
+            for i in np.flatnonzero(done):
+                out[at[i]] = ids[i, : length[i]].copy()
+            ids, ranks, length, at, j, merged = (x[~done] for x in (ids, ranks, length, at, j, merged))
+            if not len(at):
+                break
+            # Everything after the pair moves one place to the left.
+            rows, places = np.arange(len(at)), np.arange(ids.shape[1])
+            source = np.minimum(places + (places > j[:, None]), ids.shape[1] - 1)
+            ids, ranks = np.take_along_axis(ids, source, 1), np.take_along_axis(ranks, source, 1)
+            ids[rows, j] = merged
+            length = length - 1
+            ranks[rows, length - 1] = NONE
+            inner = j + 1 < length
+            ranks[rows[inner], j[inner]] = self.rank(merged[inner], ids[rows[inner], j[inner] + 1])
+            later = j > 0
+            ranks[rows[later], j[later] - 1] = self.rank(ids[rows[later], j[later] - 1], merged[later])
+            top = int(length.max())
+            ids, ranks = ids[:, :top], ranks[:, :top]
+        return out
+
+    def merge_long(self, word: bytes) -> np.ndarray:
+        """The ids of one long word: a heap of pairs over a linked list of tokens."""
+        ids = self.single[np.frombuffer(word, np.uint8)].tolist()
+        size = len(ids)
+        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+        first = self.rank(np.array(ids[:-1], np.int64), np.array(ids[1:], np.int64))
+        heap = [(int(r), i, ids[i], ids[i + 1]) for i, r in enumerate(first.tolist()) if r < NONE]
+        heapq.heapify(heap)
+        gone = [False] * size
+
+        def push(i: int) -> None:
+            if i >= 0 and after[i] < size:
+                r = int(self.rank(np.array([ids[i]]), np.array([ids[after[i]]]))[0])
+                if r < NONE:
+                    heapq.heappush(heap, (r, i, ids[i], ids[after[i]]))
+
+        while heap:
+            rank, i, left, right = heapq.heappop(heap)
+            j = after[i]
+            if gone[i] or j >= size or ids[i] != left or ids[j] != right:
+                continue
+            ids[i], gone[j], after[i] = rank, True, after[j]
+            if after[j] < size:
+                before[after[j]] = i
+            push(before[i])
+            push(i)
+        return np.array([x for x, g in zip(ids, gone) if not g], np.int64)
+
+    def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
+        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+        groups: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            token = self.whole.get(word)
+            if token is not None:
+                out[i] = np.array([token], np.int64)
+            elif len(word) > LONG_WORD:
+                out[i] = self.merge_long(word)
+            else:
+                groups.setdefault(len(word), []).append(i)
+        for places in groups.values():
+            for at in range(0, len(places), 20_000):
+                part = places[at : at + 20_000]
+                for i, ids in zip(part, self.fold([words[i] for i in part])):
+                    out[i] = ids
+        return out
+
+
+class _Batches:
+    """Encodes batches of lists of words; remembers the words it has encoded."""
+
+    def __init__(self, codec: Codec):
+        self.codec, self.known = codec, {}
+
+    def ids(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all lists end to end, and the lists' bounds in them."""
+        words = lists.flatten().cast(pa.binary()).dictionary_encode()
+        texts = words.dictionary.to_pylist()
+        if len(self.known) > KEPT_WORDS:
+            self.known.clear()
+        fresh = [w for w in texts if w not in self.known]
+        self.known.update(zip(fresh, self.codec.encode_words(fresh)))
+        encoded = [self.known[w] for w in texts]
+        count = np.array([len(x) for x in encoded], np.int64)
+        flat = np.concatenate(encoded) if encoded else np.zeros(0, np.int64)
+        start = np.cumsum(count) - count
+        of = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        each = count[of]
+        ends = np.cumsum(each)
+        ids = flat[np.arange(int(each.sum())) - np.repeat(ends - each, each) + np.repeat(start[of], each)]
+        words_each = lists.value_lengths().to_numpy(zero_copy_only=False)
+        return ids, np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(words_each)))]
+
+
+def _words(docs: DataFrame, text_column: str):
+    return F.regexp_extract_all(text_or_empty(text_column), F.lit(PATTERN), F.lit(0))
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...] = ("doc_id",), text_column: str = "text") -> DataFrame:
+    """The ``keep`` columns of every row and ``ids``, an array of ints, of its whole text.
+
+    Null and empty texts have no ids; repeated rows each give a row.
     """
-    encoded = tokenizer.encode(docs, text_column, "__encoded")
-    return encoded.withColumn(ids_column, ids_of(F.col("__encoded"))).drop("__encoded")
-
-
-def ids_of(encoded: Column) -> Column:
-    """The ids in the string that ``Tokenizer.encode`` gives."""
-    split = F.split(F.rtrim(encoded, F.lit(",")), ",")
-    return F.when(encoded == "", F.array().cast("array<int>")).otherwise(split.cast("array<int>"))
+    source = docs.select(*keep, _words(docs, text_column).alias("__words"))
+
+    def run(batches):
+        coder = _Batches(Codec(ranks))
+        for batch in batches:
+            ids, bounds = coder.ids(batch.column(batch.num_columns - 1))
+            arrays = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], arrays], names=[*batch.schema.names[:-1], "ids"])
+
+    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+
+
+def _joined(pieces: pa.Array, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """For each list its pieces, end to end."""
+    taken = pieces.take(pa.array(ids))
+    offsets = np.frombuffer(taken.buffers()[1], np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+    data = memoryview(taken.buffers()[2]) if len(ids) else memoryview(b"")
+    at = offsets[bounds]
+    return [bytes(data[a:b]) for a, b in zip(at, at[1:])]
+
+
+def decode(rows: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...] = ("doc_id",), ids_column: str = "ids") -> DataFrame:
+    """The ``keep`` columns and ``bytes``, the pieces of the ids end to end; none for null or no ids."""
+    source = rows.select(*keep, F.coalesce(F.col(ids_column), F.array().cast("array<int>")).alias("__ids"))
+
+    def run(batches):
+        pieces = pa.array(Codec(ranks).pieces, pa.large_binary())
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1)
+            bounds = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
+            texts = _joined(pieces, lists.flatten().to_numpy(zero_copy_only=False), bounds)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.binary())], names=[*batch.schema.names[:-1], "bytes"])
+
+    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], T.StructField("bytes", T.BinaryType())]))
+
+
+def fingerprints(docs: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...] = ("doc_id",), text_column: str = "text") -> DataFrame:
+    """The ``keep`` columns of every row and, of its whole text: ``n_tokens``, ``ids_sha256`` (of the
+    decimal ids joined by commas), ``decoded_sha256`` (of the bytes that the ids decode to)."""
+    source = docs.select(*keep, _words(docs, text_column).alias("__words"))
+    made = T._parse_datatype_string("n_tokens long, ids_sha256 string, decoded_sha256 string").fields
+
+    def run(batches):
+        coder = _Batches(Codec(ranks))
+        pieces = pa.array(coder.codec.pieces, pa.large_binary())
+        written = pa.array([b"%d," % i for i in range(len(pieces))], pa.large_binary())
+        digest = lambda x: hashlib.sha256(x).hexdigest()
+        for batch in batches:
+            ids, bounds = coder.ids(batch.column(batch.num_columns - 1))
+            named = [digest(x[:-1]) for x in _joined(written, ids, bounds)]
+            decoded = [digest(x) for x in _joined(pieces, ids, bounds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.diff(bounds)), pa.array(named), pa.array(decoded)], names=[*batch.schema.names[:-1], *(f.name for f in made)])
+
+    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], *made]))

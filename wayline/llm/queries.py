@@ -42,16 +42,7 @@ def _ranks_path() -> str:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    tokenizer = bpe.Tokenizer(spark, bpe.load_ranks(_ranks_path()))
-    tokenizer.keep_words(docs)
-    ids = bpe.encode(docs, tokenizer)
-    return ids.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        hex_sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
-        hex_sha256(tokenizer.decode(F.col("ids"))).alias("decoded_sha256"),
-    )
+    return bpe.fingerprints(table(spark, sf_dir, "documents"), bpe.load_ranks(_ranks_path()))
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
