@@ -12,17 +12,18 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's checkpoint folder and go on from the copy.
-
-    The folder is the one in ``spark.checkpoint.dir``; a folder of its own is
-    made only where the session names none (a local session, as in tests).
-    """
-    spark = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the session names in ``spark.checkpoint.dir``; a folder of its own
+    only where the session names none (a local session, as in tests)."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="wayline-checkpoint-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wayline-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the cluster's checkpoint folder and go on from the copy."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 

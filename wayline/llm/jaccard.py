@@ -288,3 +288,25 @@ def similarity_classes(docs: DataFrame, n: int = 5, threshold: str = "0.8") -> D
     takes = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     result = described.withColumn("class", F.when(takes, F.col("class"))).join(named, "class", "left")
     return result.select("doc_id", "text_hash", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, n: int = 5, threshold: str = "0.8") -> DataFrame:
+    """The rows and columns of ``docs``, of each component of links only the smallest id.
+
+    Of one id's texts in a component the one with the smallest hash stays, and of rows
+    with the same id and text any one. Rows without words or with a null id all stay.
+    """
+    found = cut(similarity_classes(docs, n, threshold).where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).select("doc_id", "text_hash", "component_id"))
+    least = found.where("doc_id = component_id").groupBy("doc_id").agg(F.min("text_hash").alias("least"), F.max("text_hash").alias("most"))
+    others = found.join(least.where("least <> most"), "doc_id").where("text_hash <> least").select("doc_id", "text_hash")
+    gone = found.where("doc_id <> component_id").select("doc_id", "text_hash").unionByName(others).distinct()
+    gone = cut(gone.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")))
+    if gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    kept = docs.join(gone, (docs["doc_id"] == gone["__id"]) & (F.xxhash64(docs["text"]) == gone["__hash"]), "left_anti")
+    again = found.groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash")
+    if again.isEmpty():
+        return kept
+    marked = kept.join(again.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.lit(True).alias("__again")), (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__hash")), "left").drop("__id", "__hash")
+    repeated = marked.where("__again").dropDuplicates(["doc_id", "text"])
+    return marked.where("__again is null").unionByName(repeated).drop("__again")
