@@ -30,8 +30,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that an earlier document holds leave the later one; ``n_chars`` follows the text."""
-    rows = dedup_lines(docs).drop("removed")
+    """Passages that an earlier document holds leave the later one, and a document that has
+    nothing else goes; ``n_chars`` follows the text."""
+    rows = dedup_lines(docs).where((F.size("removed") == 0) | (F.trim("text") != "")).drop("removed")
     return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else rows
 
 
