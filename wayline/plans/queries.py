@@ -62,13 +62,13 @@ TRIPS_SQL = f"""{TELEMATICS_SQL.strip()}, trips AS (
            CASE WHEN seg - zero_before <= 21600000000 THEN zero_before ELSE seg END AS start_us,
            CASE WHEN zero_after - motion_end <= 21600000000 THEN zero_after ELSE motion_end END AS end_us
     FROM (
-        SELECT vehicle_id, leg_id, min(a) AS seg, max(b) AS motion_end, arg_min(zero_before, a) AS zero_before, arg_max(zero_after, b) AS zero_after
+        SELECT vehicle_id, leg_id, min(a) AS seg, max(b) AS motion_end, arg_min_null(zero_before, a) AS zero_before, arg_max_null(zero_after, b) AS zero_after
         FROM (
             SELECT *, sum(CASE WHEN gap IS NULL OR gap > 21600000000 THEN 1 ELSE 0 END) OVER (PARTITION BY vehicle_id, leg_id ORDER BY a) AS trip
             FROM (
                 SELECT *, a - lag(b) OVER (PARTITION BY vehicle_id, leg_id ORDER BY a) AS gap
                 FROM (
-                    SELECT vehicle_id, leg_id, island, min(us) AS a, max(us) AS b, arg_min(zero_before, us) AS zero_before, arg_max(zero_after, us) AS zero_after
+                    SELECT vehicle_id, leg_id, island, min(us) AS a, max(us) AS b, arg_min_null(zero_before, us) AS zero_before, arg_max_null(zero_after, us) AS zero_after
                     FROM (
                         SELECT *, sum(CASE WHEN moving AND NOT coalesce(was, false) THEN 1 ELSE 0 END) OVER (PARTITION BY vehicle_id, leg_id ORDER BY us, row_no) AS island
                         FROM (
