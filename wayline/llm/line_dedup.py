@@ -21,6 +21,8 @@ from .patience import align
 ANCHOR_WORDS = 8  # a line of so many words is an anchor however many documents hold it
 RARE_HOLDERS = 8  # a shorter line is one if no more documents hold it
 BLOCK_WORDS = 16  # least words of a common block that goes
+PAIRS_EACH = 200  # of one earlier document in a join key
+BROADCAST_ROWS = 500_000
 
 
 def _words(line):
@@ -48,8 +50,15 @@ def duplicate_lines(docs: DataFrame, anchor_words: int = ANCHOR_WORDS, rare_hold
 
     # Each side's lines; the earlier document's go to every pair it is in.
     lines = lined.select(F.struct("doc_id", "text_hash").alias("doc"), F.transform("lines", lambda x: x.line).alias("line"), F.transform("lines", lambda x: x.n).alias("n")).dropDuplicates(["doc"])
-    later = pairs.join(lines.select("doc", F.col("line").alias("own"), "n"), "doc")
-    both = later.join(lines.select(F.col("doc").alias("first"), F.col("line").alias("earlier")), "first")
+    # One that many later documents follow goes out in copies, so its pairs fall to many tasks.
+    followed = cut(pairs.groupBy("first").agg(F.ceil(F.count("*") / PAIRS_EACH).cast("int").alias("copies")))
+    hot = followed.where("copies > 1")
+    if hot.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        hot = F.broadcast(hot)
+    dealt = pairs.join(hot, "first", "left").withColumn("copy", F.pmod(F.xxhash64("doc"), F.coalesce("copies", F.lit(1))).cast("int"))
+    later = dealt.select("doc", "first", "copy").join(lines.select("doc", F.col("line").alias("own"), "n"), "doc")
+    earlier = followed.join(lines.select(F.col("doc").alias("first"), F.col("line").alias("earlier")), "first").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    both = later.join(earlier, ["first", "copy"])
 
     def blocks(batches):
         for batch in batches:
