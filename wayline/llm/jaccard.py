@@ -34,7 +34,8 @@ SKETCH_WORDS = 16  # of 64 bits: the short sketch that candidates are filtered b
 PIECE_BITS = 4096  # bits of the long sketch in each piece
 WEAK_BITS = 1
 SMALL = 160  # of a key with so many classes all pairs are looked at in one round
-PIVOTS = 64  # of a larger one so many classes in each later round
+PIVOTS = 64  # of a larger one so many classes in the second round, and PIVOT_GROWTH times as many in each later one
+PIVOT_GROWTH = 4
 BROADCAST_ROWS = 500_000  # 16 bytes each
 
 
@@ -243,13 +244,15 @@ def similarity_classes(docs: DataFrame, n: int = 5, threshold: str = "0.8") -> D
     buckets = cut(shared.where("least <> most").select("key", "class").distinct())
     facts = classes.select("class", "n", "s")
     edges = tested = label = None
+    pivots = 1
     while not buckets.isEmpty():
         first = label is None
         own = buckets.withColumn("component", F.col("class")) if first else buckets.join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))
         own = own.withColumn("size", F.count("*").over(in_key)).withColumn("peers", F.count("*").over(Window.partitionBy("key", "component"))).where("peers < size")
         own = own.withColumn("rank", F.row_number().over(in_key.orderBy("peers", "component", "class")))
         # First one class of a large bucket; later some of its smaller components.
-        most = F.when(F.col("size") <= SMALL, F.col("size")).otherwise(1 if first else PIVOTS)
+        most = F.when(F.col("size") <= SMALL, F.col("size")).otherwise(pivots)
+        pivots = PIVOTS if first else pivots * PIVOT_GROWTH
         own = cut(own.withColumn("pivot", F.col("rank") <= most).select("key", "class", "component", "size", "rank", "pivot"))
         sides = own.join(facts, "class")
         a, b = (sides.select("key", F.col("class").alias(x), F.col("component").alias(f"c{x}"), F.col("rank").alias(f"r{x}"), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}"), F.col("pivot").alias(f"p{x}")) for x in "ab")
@@ -259,6 +262,9 @@ def similarity_classes(docs: DataFrame, n: int = 5, threshold: str = "0.8") -> D
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         close = cut(pairs)
+        if not first and close.isEmpty():
+            buckets = cut(own.where((F.col("size") > SMALL) & ~F.col("pivot")).select("key", "class"))
+            continue
         ends = close.select(F.col("a").alias("class")).unionByName(close.select(F.col("b").alias("class"))).distinct()
         heads = cut(classes.select("class", "doc_id", "text_hash").join(ends, "class", "left_semi"))
         new = cut(_verified(close, _texts(docs, heads, unique), n, t))
