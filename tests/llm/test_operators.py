@@ -299,6 +299,18 @@ def test_line_dedup_takes_the_later_copy(spark):
     assert dedup_lines(rows(spark, [])).count() == 0
 
 
+def test_line_dedup_finds_passages_inside_lines(spark):
+    rng = random.Random(17)
+    new = lambda n: prose(rng, n, 10**7)
+    passage, around = new(55), [new(20) for _ in range(10)]
+    changed = passage.split()
+    changed[30] = "changed"
+    texts = [f"{around[0]} {passage} {around[1]}", f"{around[2]} {passage} {around[3]}", f"{around[4]} {' '.join(changed)} {around[5]}\n{around[6]}", f"{around[7]}\n\n{passage}\n\n{around[8]}"]
+    got = {r.doc_id: r.text for r in dedup_lines(rows(spark, texts, EXTRA)).collect()}
+    assert got[1] == texts[0] and got[2] == f"{around[2]} {around[3]}"
+    assert got[3] == f"{around[4]} {around[5]}\n{around[6]}" and got[4] == f"{around[7]}\n\n\n{around[8]}"
+
+
 def test_pipeline_on_a_small_corpus(spark, tmp_path):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     rng = random.Random(9)

@@ -1,102 +1,284 @@
-"""Line dedup by pairwise alignment.
-
-Every line that several documents hold pairs each later document with the earliest
-holder, so a line shared by any number of documents makes as many pairs as it has
-holders. Rare line hashes, those of long lines and of short lines in few documents,
-find the pairs; each pair's whole line sequences are aligned by patience diff and
-common blocks that are long enough leave the later document. The earliest holder of
-a line never loses it.
+"""Line dedup by pairwise alignment of passages, wherever in a line they begin or end.
+
+The words of a text are one sequence, and every run of ``block_words`` words is an
+anchor: each later document that holds it is paired with the earliest holder of that
+run, however many there are. Runs go to buckets as packed hashes, so a hot run is some
+bytes a document in one bucket. Each pair's texts are aligned by patience diff on
+their common runs; what the runs cover leaves the later document, and so do a few
+words that were replaced one for one between two aligned runs. The earliest holder
+of a run never loses it.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import cut
+from .common import cut, scaled_partitions
 from .patience import align
+from .words import _BASE, SPACES, mix, words_of
 
-ANCHOR_WORDS = 8  # a line of so many words is an anchor however many documents hold it
-RARE_HOLDERS = 8  # a shorter line is one if no more documents hold it
 BLOCK_WORDS = 16  # least words of a common block that goes
+REPLACED_WORDS = 2  # so many words replaced by as many others don't part two blocks
 PAIRS_EACH = 200  # of one earlier document in a join key
 BROADCAST_ROWS = 500_000
+BUCKET_BYTES = 32_000_000  # of text, whose runs make a bucket
+RUNS_AT_ONCE = 1_500_000  # are packed together
+HASH_BYTES = 6  # of a run's hash beside its bucket
+
+
+def runs_of(words, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text of every run of n words."""
+    value, done, factor = words.hash.copy(), 1, int(_BASE)
+    while done < n:
+        by = min(done, n - done)
+        if by < len(value):
+            value[:-by] = value[:-by] * np.uint64(factor) + value[by:]
+        done, factor = done + by, factor * int(_BASE) ** 2 % 2**64
+    whole = np.arange(n, len(value) + n) <= words.bounds()[1:][words.text]
+    return mix(value[whole]), words.text[whole]
+
+
+def _bucketed(rows: DataFrame, buckets: int, n: int) -> DataFrame:
+    """``bucket, hash, which, docs``: of some texts the runs that fall into a bucket, packed;
+    ``which`` holds each run's place in ``docs``."""
+    doc = T.StructType(rows.schema.fields[:2])
+    schema = T.StructType([*T._parse_datatype_string("bucket int, hash binary, which binary").fields, T.StructField("docs", T.ArrayType(doc))])
+    arrow = to_arrow_schema(schema)
+
+    def packed(docs, value, text):
+        bucket = (value % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
+        order = np.argsort(bucket, kind="stable")
+        bucket, text = bucket[order], text[order]
+        value = (value[order] // np.uint64(buckets)).view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
+        start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        out = []
+        for low, high in zip(start, np.append(start[1:], len(bucket))):
+            # The texts are in order within a bucket.
+            fresh = np.append(True, text[low + 1 : high] != text[low : high - 1])
+            which = np.cumsum(fresh) - 1
+            which = which.astype(np.uint16 if which[-1] < 1 << 16 else np.uint32)
+            out.append((int(bucket[low]), value[low:high].tobytes(), which.tobytes(), docs.take(pa.array(text[low:high][fresh]))))
+        bounds = pa.array(np.cumsum([0, *(len(x[3]) for x in out)]), pa.int32())
+        lists = pa.ListArray.from_arrays(bounds, pa.concat_arrays([x[3] for x in out]), type=arrow.field("docs").type)
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary()), lists], schema=arrow)
+
+    def pack(batches):
+        for batch in batches:
+            docs = pa.StructArray.from_arrays(batch.columns[:2], fields=list(arrow.field("docs").type.value_type))
+            values, texts, held = [], [], 0
+            for words in words_of(batch.column(2), SPACES, lower=False):
+                value, text = runs_of(words, n)
+                values.append(value)
+                texts.append(text + words.first)
+                held += len(value)
+                if held >= RUNS_AT_ONCE:
+                    yield packed(docs, np.concatenate(values), np.concatenate(texts))
+                    values, texts, held = [], [], 0
+            if held:
+                yield packed(docs, np.concatenate(values), np.concatenate(texts))
+
+    return rows.mapInArrow(pack, schema)
+
+
+def _ranks(docs: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+    """The rank of each document, equal for equal ones, and for each rank a place."""
+    table = pa.table([docs.field(0), docs.field(1)], names=["id", "hash"])
+    order = pc.sort_indices(table, sort_keys=[("id", "ascending"), ("hash", "ascending")])
+    table = table.take(order)
+    fresh = np.ones(len(order), bool)
+    if len(order) > 1:
+        a, b = table.slice(1), table.slice(0, len(order) - 1)
+        fresh[1:] = pc.or_(pc.not_equal(a["id"], b["id"]), pc.not_equal(a["hash"], b["hash"])).to_numpy()
+    order = order.to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(fresh) - 1
+    return rank, order[fresh]
 
 
-def _words(line):
-    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+def _pairs(bucketed: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, first_id, first_hash``: each document with the earliest holder of a run it has."""
+    doc = bucketed.schema["docs"].dataType.elementType
+    schema = T.StructType([*doc.fields, T.StructField("first_id", doc[0].dataType), T.StructField("first_hash", T.LongType())])
+    arrow = to_arrow_schema(schema)
+
+    def meet(batches):
+        # A task holds whole buckets.
+        values, owners, docs, at = [], [], [], 0
+        for batch in batches:
+            for bucket, packed, which, own in zip(*batch.columns):
+                packed = np.frombuffer(packed.as_buffer(), np.uint8).reshape(-1, HASH_BYTES)
+                value = np.zeros((len(packed), 8), np.uint8)
+                value[:, :HASH_BYTES] = packed
+                which = which.as_buffer()
+                which = np.frombuffer(which, np.uint16 if which.size == 2 * len(packed) else np.uint32)
+                values.append(value.view(np.uint64).ravel() + (np.uint64(bucket.as_py() & 0xFFFF) << np.uint64(8 * HASH_BYTES)))
+                owners.append(which.astype(np.int64) + at)
+                docs.append(own.values)
+                at += len(own.values)
+        if not values:
+            return
+        docs = pa.concat_arrays(docs)
+        rank, place = _ranks(docs)
+        value, owner = np.concatenate(values), rank[np.concatenate(owners)]
+        del values, owners
+        order = np.argsort(value)
+        value, owner = value[order], owner[order]
+        start = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+        first = np.repeat(np.minimum.reduceat(owner, start), np.diff(np.append(start, len(value))))
+        later = owner > first
+        met = np.unique(owner[later] * len(place) + first[later])
+        met = np.stack([met // len(place), met % len(place)], axis=1)
+        for low in range(0, len(met), 50_000):
+            a, b = (docs.take(pa.array(place[met[low : low + 50_000, i]])) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([a.field(0), a.field(1), b.field(0), b.field(1)], schema=arrow)
+
+    return bucketed.mapInArrow(meet, schema)
 
 
-def duplicate_lines(docs: DataFrame, anchor_words: int = ANCHOR_WORDS, rare_holders: int = RARE_HOLDERS, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``doc_id, text_hash, places``: the places (from 0) of the lines that go, for documents that lose any.
+def duplicate_passages(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``doc_id, text_hash, places``: the words (from 0) that go, as sorted spans ``first, end``
+    apart from each other, for documents that lose any.
 
-    Lines are what line feeds separate, compared without the blanks at their ends; blank
-    lines match but never anchor. Rows with the same id and text are one document; the
-    order of documents is by id and then a hash of the text. Null ids and null or empty
-    texts take no part.
+    Words are runs of other characters than ASCII white space, compared as they are; a
+    word goes if it stands in a run of ``block_words`` words that an earlier document
+    holds, or was replaced as said above. Rows with the same id and text are one
+    document; the order of documents is by id and then a hash of the text. Null ids
+    and null or empty texts take no part.
     """
     rows = docs.where(F.col("doc_id").isNotNull() & (F.col("text") != "")).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    split = F.split("text", "\n")
-    lined = rows.select("doc_id", "text_hash", F.transform(split, lambda x: F.struct(F.xxhash64(F.trim(x)).alias("line"), F.when(F.trim(x) == "", 0).otherwise(_words(F.trim(x))).alias("n"))).alias("lines"))
-    each = lined.select(F.struct("doc_id", "text_hash").alias("doc"), F.explode("lines").alias("x")).select("doc", "x.line", "x.n").where("n > 0")
-
-    # Holders per line: a hot line is first reduced within each input partition.
-    holders = each.groupBy("line", "n").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("held"))
-    anchors = holders.where((F.col("first") != F.col("last")) & ((F.col("n") >= anchor_words) | (F.col("held") <= rare_holders)))
-    pairs = each.select("doc", "line").join(anchors.select("line", "first"), "line").where(F.col("doc") > F.col("first"))
-    pairs = cut(pairs.select("doc", "first").distinct())
-
-    # Each side's lines; the earlier document's go to every pair it is in.
-    lines = lined.select(F.struct("doc_id", "text_hash").alias("doc"), F.transform("lines", lambda x: x.line).alias("line"), F.transform("lines", lambda x: x.n).alias("n")).dropDuplicates(["doc"])
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = scaled_partitions(docs.sparkSession, size, BUCKET_BYTES)
+    pairs = _pairs(_bucketed(rows, buckets, block_words).repartition(buckets, "bucket")).distinct()
+    pairs = cut(pairs.select(F.struct("doc_id", "text_hash").alias("doc"), F.struct(F.col("first_id").alias("doc_id"), F.col("first_hash").alias("text_hash")).alias("first")))
+
+    # Each side's texts; the earlier document's goes to every pair it is in.
+    wanted = cut(pairs.select("doc").unionByName(pairs.select(F.col("first").alias("doc"))).distinct())
+    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    texts = rows.select(F.struct("doc_id", "text_hash").alias("doc"), "text").join(F.broadcast(wanted) if few else wanted, "doc", "left_semi").dropDuplicates(["doc"])
     # One that many later documents follow goes out in copies, so its pairs fall to many tasks.
     followed = cut(pairs.groupBy("first").agg(F.ceil(F.count("*") / PAIRS_EACH).cast("int").alias("copies")))
     hot = followed.where("copies > 1")
     if hot.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         hot = F.broadcast(hot)
     dealt = pairs.join(hot, "first", "left").withColumn("copy", F.pmod(F.xxhash64("doc"), F.coalesce("copies", F.lit(1))).cast("int"))
-    later = dealt.select("doc", "first", "copy").join(lines.select("doc", F.col("line").alias("own"), "n"), "doc")
-    earlier = followed.join(lines.select(F.col("doc").alias("first"), F.col("line").alias("earlier")), "first").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    later = dealt.select("doc", "first", "copy").join(texts.select("doc", F.col("text").alias("own")), "doc")
+    earlier = followed.join(texts.select(F.col("doc").alias("first"), F.col("text").alias("earlier")), "first").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     both = later.join(earlier, ["first", "copy"])
 
     def blocks(batches):
         for batch in batches:
-            gone = []
-            for own, n, earlier in zip(batch.column(1), batch.column(2), batch.column(3)):
-                own, n, earlier = own.values.to_numpy(), n.values.to_numpy(), earlier.values.to_numpy()
-                gone.append(common_blocks(own.tolist(), n, earlier.tolist(), block_words))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], names=["doc", "places"])
-
-    doc_type = T.StructType([lined.schema["doc_id"], T.StructField("text_hash", T.LongType())])
-    found = both.select("doc", "own", "n", "earlier").mapInArrow(blocks, T.StructType([T.StructField("doc", doc_type), T.StructField("places", T.ArrayType(T.IntegerType()))]))
-    places = found.select("doc", F.explode("places").alias("place")).groupBy("doc").agg(F.array_sort(F.collect_set("place")).alias("places"))
-    return places.select("doc.doc_id", "doc.text_hash", "places")
-
-
-def common_blocks(own: list[int], n, earlier: list[int], block_words: int) -> list[int]:
-    """Places in ``own`` of the aligned runs of lines, without gaps on either side, of enough words."""
-    pairs = align(own, earlier)
-    gone: list[int] = []
-    i = 0
-    while i < len(pairs):
-        j = i + 1
-        while j < len(pairs) and pairs[j][0] == pairs[j - 1][0] + 1 and pairs[j][1] == pairs[j - 1][1] + 1:
-            j += 1
-        places = [p for p, _ in pairs[i:j]]
-        if sum(int(n[p]) for p in places) >= block_words:
-            gone += places
-        i = j
-    return gone
+            # A few pairs at a time, as texts may be long.
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
+                # One earlier document's pairs stand together.
+                other = part.column(2).dictionary_encode()
+                own, runs = _runs_of_each(part.column(1), block_words), _runs_of_each(other.dictionary, block_words)
+                other = [runs[k] for k in other.indices.to_pylist()]
+                gone = [[{"first": a, "end": b} for a, b in common_blocks(x, y, block_words)] for x, y in zip(own, other)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(gone, spans)], names=["doc", "places"])
+
+    span = T._parse_datatype_string("array<struct<first:int,end:int>>")
+    found_type = T.StructType([T.StructField("doc", pairs.schema["doc"].dataType), T.StructField("places", span)])
+    spans = to_arrow_schema(found_type).field("places").type
+    found = both.select("doc", "own", "earlier").mapInArrow(blocks, found_type)
+    places = found.groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"))
+    return places.select("doc.doc_id", "doc.text_hash", "places").where(F.size("places") > 0)
+
+
+def _runs_of_each(column: pa.Array, n: int) -> list[np.ndarray]:
+    """The hashes of each text's runs, in order."""
+    found = [np.zeros(0, np.uint64)] * len(column)
+    for words in words_of(column, SPACES, lower=False):
+        value, text = runs_of(words, n)
+        bounds = np.searchsorted(text, np.arange(words.texts + 1))
+        for t in range(words.texts):
+            found[words.first + t] = value[bounds[t] : bounds[t + 1]]
+    return found
+
+
+def common_blocks(own: np.ndarray, earlier: np.ndarray, n: int, replaced: int = REPLACED_WORDS) -> list[tuple[int, int]]:
+    """Spans of words of ``own``, given by its runs of n words, that runs of ``earlier`` cover,
+    with the words replaced between two runs that are aligned at the same distance."""
+    at, there = np.flatnonzero(np.isin(own, earlier)), np.flatnonzero(np.isin(earlier, own))
+    spans = [(i, i + n) for i in at.tolist()]
+    # Aligned runs say what was replaced; runs in another order are covered all the same.
+    pairs = [(int(at[i]), int(there[j])) for i, j in align(own[at].tolist(), earlier[there].tolist())]
+    for (i, j), (k, m) in zip(pairs, pairs[1:]):
+        if k - i == m - j and n < k - i <= n + replaced:
+            spans.append((i, k))
+    return merged(spans)
+
+
+def merged(spans) -> list[tuple[int, int]]:
+    """The union of spans, as sorted spans apart from each other."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
+def without(data: bytes, start: np.ndarray, end: np.ndarray, spans) -> bytes:
+    """A text without spans of its words, which start and end at these bytes. A line that loses all
+    its words goes, with its line feed; inside a line the blanks on one side stay."""
+    out, at, n = [], 0, len(start)
+    for a, b in spans:
+        before = int(end[a - 1]) if a else 0
+        after = int(start[b]) if b < n else len(data)
+        feed, next_feed = data.rfind(b"\n", before, int(start[a])), data.find(b"\n", int(end[b - 1]), after)
+        opens, closes = a == 0 or feed >= 0, b == n or next_feed >= 0
+        low, high = int(start[a]), after
+        if opens and closes:
+            low = feed + 1 if feed >= 0 else 0
+            high = next_feed + 1 if next_feed >= 0 else len(data)
+            if next_feed < 0 and low:
+                low -= 1
+        elif closes:
+            low, high = before, next_feed if next_feed >= 0 else len(data)
+        out.append(data[at : max(at, low)])
+        at = max(at, high)
+    return b"".join([*out, data[at:]])
 
 
 def dedup_lines(docs: DataFrame, **limits) -> DataFrame:
-    """All rows and columns of ``docs``, with ``text`` without its duplicate lines, and ``removed``,
-    the places of the lines that went (empty if none). A text that lost all its lines is empty."""
-    gone = duplicate_lines(docs, **limits).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("places").alias("__places"))
+    """All rows and columns of ``docs``, with ``text`` without its duplicate passages, and ``removed``,
+    the spans ``first, end`` of the words that went (empty if none). A text that lost all its words is empty."""
+    gone = duplicate_passages(docs, **limits).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("places").alias("__places"))
     joined = docs.join(gone, (docs["doc_id"] == F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), "left")
-    removed = F.coalesce("__places", F.array().cast("array<int>"))
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("__places"), i))
-    text = F.when(F.col("__places").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    others = [docs[c] if c != "text" else text.alias("text") for c in docs.columns]
-    return joined.select(*others, removed.alias("removed"))
+    others = [docs[c] for c in docs.columns if c != "text"]
+    source = joined.select(*others, docs["text"].alias("__text"), "__places")
+    schema = T.StructType([*(docs.schema[c] for c in docs.columns if c != "text"), T.StructField("text", docs.schema["text"].dataType), T.StructField("removed", gone.schema["__places"].dataType)])
+    arrow = to_arrow_schema(schema)
+
+    def strip(batches):
+        for batch in batches:
+            texts, places = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
+            hit = np.flatnonzero(places.is_valid().to_numpy(zero_copy_only=False))
+            kept: dict[int, str] = {}
+            removed: list[list] = [[] for _ in range(batch.num_rows)]
+            chosen = texts.take(pa.array(hit, pa.int64()))
+            for words in words_of(chosen, SPACES, lower=False):
+                bounds = words.bounds()
+                for t in range(words.texts):
+                    row = int(hit[words.first + t])
+                    low, high, begin = int(bounds[t]), int(bounds[t + 1]), int(words.offsets[t])
+                    spans = merged((x["first"], x["end"]) for x in places[row].as_py())
+                    data = words.data[begin : int(words.offsets[t + 1])].tobytes()
+                    kept[row] = without(data, words.start[low:high] - begin, words.end[low:high] - begin, spans).decode()
+                    removed[row] = [{"first": a, "end": b} for a, b in spans]
+            if kept:
+                flat = texts.to_pylist()
+                for row, text in kept.items():
+                    flat[row] = text
+                texts = pa.array(flat, arrow.field("text").type)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], texts.cast(arrow.field("text").type), pa.array(removed, arrow.field("removed").type)], schema=arrow)
+
+    return source.mapInArrow(strip, schema).select(*docs.columns, "removed")

@@ -21,7 +21,7 @@ from .topk import top_k
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return docs.select("doc_id", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"), "text")
+    return docs.select("doc_id", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.transform("removed", lambda x: F.format_string("%d:%d", x.first, x.end)), ",").alias("removed"), "text")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
