@@ -306,9 +306,32 @@ def test_line_dedup_finds_passages_inside_lines(spark):
     changed = passage.split()
     changed[30] = "changed"
     texts = [f"{around[0]} {passage} {around[1]}", f"{around[2]} {passage} {around[3]}", f"{around[4]} {' '.join(changed)} {around[5]}\n{around[6]}", f"{around[7]}\n\n{passage}\n\n{around[8]}"]
+    # A document of short lines, held often.
+    poem = "\n".join(new(3) for _ in range(12))
+    texts += [poem] * 12
+    # A block whose halves have earlier holders that don't hold the whole.
+    a, b = new(10), new(10)
+    texts += [f"{new(20)} {a} {new(20)}", f"{new(20)} {b} {new(20)}", f"{a} {b}", f"{around[9]} {a} {b}"]
     got = {r.doc_id: r.text for r in dedup_lines(rows(spark, texts, EXTRA)).collect()}
     assert got[1] == texts[0] and got[2] == f"{around[2]} {around[3]}"
     assert got[3] == f"{around[4]} {around[5]}\n{around[6]}" and got[4] == f"{around[7]}\n\n\n{around[8]}"
+    assert [got[i] for i in range(5, 17)] == [poem] + [""] * 11
+    assert [got[i] for i in range(17, 20)] == texts[16:19] and got[20] == around[9]
+
+
+def test_line_dedup_equals_all_runs(spark):
+    """What goes is what runs of 16 words of earlier documents cover, by brute force."""
+    rng = random.Random(19)
+    pool = [prose(rng, rng.randint(10, 40), 10**6) for _ in range(12)]
+    texts = [rng.choice(" \n").join(f"{rng.choice(pool)}\n{prose(rng, 20, 10**6)}" for _ in range(4)) for _ in range(60)]
+    got = {r.doc_id: r.removed for r in dedup_lines(rows(spark, texts)).collect()}
+    seen: set[tuple] = set()
+    for i, text in enumerate(texts, 1):
+        words = text.split()
+        runs = [tuple(words[j : j + 16]) for j in range(len(words) - 15)]
+        want = {j + k for j, x in enumerate(runs) if x in seen for k in range(16)}
+        assert {j for x in got[i] for j in range(x.first, x.end)} == want
+        seen |= set(runs)
 
 
 def test_pipeline_on_a_small_corpus(spark, tmp_path):
