@@ -236,6 +236,19 @@ def test_sharding_balances_and_numbers_without_gaps(spark):
     assert [(r.shard, r.slot) for r in shard(rows(spark, ["a"]), shards=8).collect()][0][1] == 0
 
 
+def test_sharding_balances_small_tables_and_long_texts(spark):
+    rng = random.Random(14)
+    hot = [prose(rng, 60)] * 100 + [prose(rng, rng.randint(20, 80)) for _ in range(200)]
+    # Over the bound on pieces: a text of a twentieth of all bytes, and a group of two rows.
+    long = [prose(rng, rng.randint(20, 80)) for _ in range(1500)]
+    long += [prose(rng, 4000)] + [prose(rng, 2000)] * 2
+    for texts in (hot, long):
+        load = Counter()
+        for r in shard(rows(spark, texts), shards=8).collect():
+            load[r.shard] += r.size
+        assert max(load.values()) <= 1.03 * sum(load.values()) / 8
+
+
 def brute_top(vectors, k, every):
     good = [(i, np.floor(256 * np.array(v))) for i, v in vectors if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []

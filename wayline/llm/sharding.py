@@ -4,7 +4,8 @@ Equal texts form a group. Groups are bundled by a hash of the text into a bounde
 number of bundles; a group that is too large for that is cut into pieces of a
 bounded share each. The bundles and pieces, a bounded list, are placed one after
 the other, largest first, in the shard where the dot product of the item with the
-shard's residual capacity is highest. Rows then look their bundle's shard up and get
+shard's residual capacity is highest, of those with room, or else in the one with most
+bytes left. Rows then look their bundle's shard up and get
 gapless slots from counts per small cell, so no shard is ever sorted as a whole.
 """
 
@@ -24,13 +25,15 @@ CELL_ROWS = 50_000
 
 def pack(items: np.ndarray, shards: int) -> np.ndarray:
     """The shard of each item, an (n, d) array of sizes; largest first, each where
-    the dot product with the residual capacity is highest, the lower shard on ties."""
+    the dot product with the residual capacity is highest of those it fits into, the lower
+    shard on ties. One that fits nowhere goes where most of the first measure is left."""
     total = items.sum(axis=0)
     share = np.divide(items, total, out=np.zeros(items.shape), where=total > 0) * shards
     residual = np.ones((shards, items.shape[1]))
     placed = np.zeros(len(items), np.int64)
     for i in np.argsort(-share.sum(axis=1), kind="stable"):
-        placed[i] = int(np.argmax(residual @ share[i]))
+        fits = (residual >= share[i] - 1e-9).all(axis=1)
+        placed[i] = int(np.argmax(np.where(fits, residual @ share[i], -np.inf) if fits.any() else residual[:, 0]))
         residual[placed[i]] -= share[i]
     return placed
 
@@ -41,7 +44,7 @@ def shard(docs: DataFrame, shards: int = 8, id_column: str = "doc_id", text_colu
 
     A null text is an empty one. Equal texts share a shard unless they hold more than
     1 / (shards * PIECES_EACH) of the bytes, tokens or rows; then they are cut into
-    pieces of at most about that share. Repeated rows are rows of their own.
+    pieces of at most about that share, or of one row. Repeated rows are rows of their own.
     """
     spark = docs.sparkSession
     text = text_or_empty(text_column)
@@ -63,8 +66,8 @@ def shard(docs: DataFrame, shards: int = 8, id_column: str = "doc_id", text_colu
     # Of these there can be no more than shards * PIECES_EACH for each measure.
     most = {m: max(total[m] / (shards * PIECES_EACH), 1) for m in measures}
     pieces = F.ceil(F.greatest(*(F.col(m) / most[m] for m in measures))).cast("int")
-    large = groups.where(pieces > 1).select("group", pieces.alias("pieces"), *measures)
-    heavy = large.collect() if total["n_rows"] > shards * PIECES_EACH else []
+    # A single row is never cut, it is an item of its own.
+    heavy = groups.where(pieces > 1).select("group", F.least(pieces.cast("long"), "n_rows").cast("int").alias("pieces"), *measures).collect()
     bundles = shards * BUNDLES_EACH
     bundle = F.pmod(F.xxhash64(F.col("group")), F.lit(bundles)).cast("int")
     is_heavy = F.col("group").isin([r["group"] for r in heavy]) if heavy else F.lit(False)
@@ -74,7 +77,9 @@ def shard(docs: DataFrame, shards: int = 8, id_column: str = "doc_id", text_colu
     first_piece, at = [], bundles
     for r in sorted(heavy, key=lambda r: r["group"]):
         first_piece.append((r["group"], at, r["pieces"]))
-        items += [(at + i, *(r[m] / r["pieces"] for m in measures)) for i in range(r["pieces"])]
+        # Rows are dealt in turn, so the first pieces may have a row more.
+        each, more = divmod(r["n_rows"], r["pieces"])
+        items += [(at + i, *(r[m] * (each + (i < more)) / r["n_rows"] for m in measures)) for i in range(r["pieces"])]
         at += r["pieces"]
     items.sort()
     placed = pack(np.array([x[1:] for x in items]).reshape(len(items), len(measures)), shards)
@@ -82,12 +87,17 @@ def shard(docs: DataFrame, shards: int = 8, id_column: str = "doc_id", text_colu
     cut_groups = spark.createDataFrame(first_piece, "group long, first int, pieces int")
 
     # Bounded lists both: at most shards * (BUNDLES_EACH + 6 * PIECES_EACH) items.
-    spread = F.pmod(F.xxhash64("doc_id", "size"), F.coalesce("pieces", F.lit(1))).cast("int")
-    rows = rows.join(F.broadcast(cut_groups), "group", "left")
-    rows = rows.withColumn("item", F.coalesce(F.col("first") + spread, bundle)).drop("first", "pieces", "group")
+    cells = scaled_partitions(spark, total["n_rows"], CELL_ROWS)
+    # A heavy group's rows are numbered by small cells, then dealt to its pieces in turn.
+    dealt = rows.join(F.broadcast(cut_groups), "group").withColumn("deal", F.pmod(F.xxhash64("doc_id", "size", F.lit(2)), F.lit(cells)).cast("int"))
+    held = dealt.groupBy("group", "deal").agg(F.count("*").alias("n"))
+    passed = F.coalesce(F.sum("n").over(Window.partitionBy("group").orderBy("deal").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    dealt = dealt.withColumn("turn", F.row_number().over(Window.partitionBy("group", "deal").orderBy("doc_id"))).join(held.select("group", "deal", passed.alias("passed")), ["group", "deal"])
+    fields = ["doc_id", "size", "n_tokens", "text_crc32"]
+    dealt = dealt.select(*fields, (F.col("first") + F.pmod(F.col("passed") + F.col("turn") - 1, F.col("pieces"))).cast("int").alias("item"))
+    rows = rows.join(F.broadcast(cut_groups), "group", "left_anti").select(*fields, bundle.alias("item")).unionByName(dealt)
     rows = rows.join(F.broadcast(where), "item")
 
-    cells = scaled_partitions(spark, total["n_rows"], CELL_ROWS)
     rows = rows.withColumn("cell", F.pmod(F.xxhash64("doc_id", "text_crc32", F.lit(1)), F.lit(max(1, cells // shards + 1))).cast("int"))
     cell = Window.partitionBy("shard", "cell").orderBy("doc_id", "text_crc32", "size")
     before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
