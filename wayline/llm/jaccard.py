@@ -226,7 +226,7 @@ def similarity_classes(docs: DataFrame, n: int = 5, threshold: str = "0.8") -> D
 
     ``class_id`` is the smallest id with the same shingle set, ``n_links`` the number of
     other classes that this row's class was verified to link with (at least one if it
-    links with any), and ``component_id`` the smallest id reachable by links. Words are
+    links with any, but too few in groups whose keys hold more than SMALL classes), and ``component_id`` the smallest id reachable by links. Words are
     runs of other characters than ASCII white space, A-Z lower-cased; a document with
     fewer than n words has one shingle of all of them. Null and empty texts have none
     and link with nothing. Repeated rows are copies like any other; rows of a null id
