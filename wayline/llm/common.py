@@ -11,13 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+BROADCAST_ROWS = 500_000  # of a few numbers each
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the session names in ``spark.checkpoint.dir``; a folder of its own
-    only where the session names none (a local session, as in tests)."""
+    only where a local session names none, as in tests. On a cluster one must be named."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wayline-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="wayline-checkpoint-"))
     return sc.getCheckpointDir()
 
 
@@ -27,6 +32,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, a narrow table that is already written, to be broadcast if it has at most ``rows`` rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

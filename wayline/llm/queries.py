@@ -47,7 +47,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = similarity_classes(table(spark, sf_dir, "documents"), n=3, threshold="0.9")
-    return found.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
+    return found.select("doc_id", "n_shingles", "component_id", "class_id", "n_verified")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
