@@ -332,19 +332,50 @@ def test_line_dedup_finds_passages_inside_lines(spark):
     assert [got[i] for i in range(17, 20)] == texts[16:19] and got[20] == around[9]
 
 
-def test_line_dedup_equals_all_runs(spark):
-    """What goes is what runs of 16 words of earlier documents cover, by brute force."""
+def covered(words, runs, n):
+    """Places of words in a run of n words that is among ``runs``."""
+    return {j + k for j in range(len(words) - n + 1) if tuple(words[j : j + n]) in runs for k in range(n)}
+
+
+def test_line_dedup_against_all_runs(spark):
+    """By brute force over all earlier documents: only runs of 12 words that one of them holds go,
+    and of a passage of 16 words or more at most 4 words at either end stay."""
     rng = random.Random(19)
     pool = [prose(rng, rng.randint(10, 40), 10**6) for _ in range(12)]
-    texts = [rng.choice(" \n").join(f"{rng.choice(pool)}\n{prose(rng, 20, 10**6)}" for _ in range(4)) for _ in range(60)]
-    got = {r.doc_id: r.removed for r in dedup_lines(rows(spark, texts)).collect()}
-    seen: set[tuple] = set()
+    texts = []
+    for _ in range(60):
+        parts = []
+        for _ in range(4):
+            words = rng.choice(pool).split()
+            low = rng.randrange(len(words) // 2) if rng.random() < 0.5 else 0
+            parts += [" ".join(words[low:]), prose(rng, 20, 10**6)]
+        texts.append(rng.choice(" \n").join(parts))
+    texts += texts[:3] + ["one two"] * 2
+    got = {r.doc_id: r for r in dedup_lines(rows(spark, texts)).collect()}
+    seen = {12: set(), 16: set()}
+    lost = 0
     for i, text in enumerate(texts, 1):
         words = text.split()
-        runs = [tuple(words[j : j + 16]) for j in range(len(words) - 15)]
-        want = {j + k for j, x in enumerate(runs) if x in seen for k in range(16)}
-        assert {j for x in got[i] for j in range(x.first, x.end)} == want
-        seen |= set(runs)
+        removed = {j for x in got[i].removed for j in range(x.first, x.end)}
+        assert [w for j, w in enumerate(words) if j not in removed] == got[i].text.split()
+        assert removed <= covered(words, seen[12], 12)
+        passages = covered(words, seen[16], 16)
+        must = {j for j in passages if all(j + k in passages for k in range(-4, 5))}
+        assert must <= removed
+        lost += len(passages - removed)
+        for n in seen:
+            seen[n] |= {tuple(words[j : j + n]) for j in range(len(words) - n + 1)}
+    assert lost <= 60 and got[63].text == "" and got[65].text == "one two"
+
+
+def test_line_dedup_edges(spark):
+    rng = random.Random(23)
+    long = prose(rng, 30, 10**6)
+    docs = rows(spark, [long, long, " \n ", " \n ", None, ""], EXTRA)
+    docs = docs.unionByName(docs.where("doc_id = 1")).unionByName(spark.createDataFrame([(None, long, "w", 1, "g", "c", 2, 3)] * 2, EXTRA))
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in dedup_lines(docs).select("doc_id", "text").where("text is not null").collect())
+    # Rows that repeat an id and a text are one document, rows of a null id take no part.
+    assert got == sorted([(False, 1, long), (False, 1, long), (False, 2, ""), (False, 3, " \n "), (False, 4, " \n "), (False, 6, ""), (True, 0, long), (True, 0, long)])
 
 
 def test_pipeline_on_a_small_corpus(spark, tmp_path):

@@ -1,12 +1,15 @@
 """Line dedup by pairwise alignment of passages, wherever in a line they begin or end.
 
-The words of a text are one sequence, and every run of ``block_words`` words is an
-anchor: each later document that holds it is paired with the earliest holder of that
-run, however many there are. Runs go to buckets as packed hashes, so a hot run is some
-bytes a document in one bucket. Each pair's texts are aligned by patience diff on
-their common runs; what the runs cover leaves the later document, and so do a few
-words that were replaced one for one between two aligned runs. The earliest holder
-of a run never loses it.
+The words of a text are one sequence. Runs of ``run_words`` words are hashed, and of
+every ``window`` runs in a row the one with the least hash is an anchor, so two texts
+that share ``run_words + window - 1`` words share an anchor, wherever it stands. Each
+later document that holds an anchor is paired with the anchor's earliest holder, however
+many hold it. Anchors go to buckets as packed hashes, so a hot one is some bytes a
+document in one bucket. Each pair's texts are aligned by patience diff on their common
+runs; what the runs cover leaves the later document, and so do a few words that were
+replaced one for one between two aligned runs. The earliest holder of a run never loses
+it. A text that an earlier document has word for word loses everything and is not
+paired at all.
 """
 
 from __future__ import annotations
@@ -19,16 +22,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import cut, scaled_partitions
+from .common import cut, scaled_partitions, small
 from .patience import align
 from .words import _BASE, SPACES, mix, words_of
 
-BLOCK_WORDS = 16  # least words of a common block that goes
+RUN_WORDS = 12  # least words of a common block that goes
+WINDOW = 5  # of so many runs in a row one is an anchor: passages of 16 words have one
 REPLACED_WORDS = 2  # so many words replaced by as many others don't part two blocks
 PAIRS_EACH = 200  # of one earlier document in a join key
-BROADCAST_ROWS = 500_000
 BUCKET_BYTES = 32_000_000  # of text, whose runs make a bucket
 RUNS_AT_ONCE = 1_500_000  # are packed together
+PAIRS_AT_ONCE = 100_000
+ALL_WORDS = 2**31 - 1
 HASH_BYTES = 6  # of a run's hash beside its bucket
 
 
@@ -44,9 +49,21 @@ def runs_of(words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(value[whole]), words.text[whole]
 
 
-def _bucketed(rows: DataFrame, buckets: int, n: int) -> DataFrame:
-    """``bucket, hash, which, docs``: of some texts the runs that fall into a bucket, packed;
-    ``which`` holds each run's place in ``docs``."""
+def anchors_of(value: np.ndarray, text: np.ndarray, window: int) -> np.ndarray:
+    """Places of the runs with the least hash of ``window`` in a row; all runs of a text that has fewer."""
+    n = len(value)
+    count = np.bincount(text, minlength=int(text[-1]) + 1 if n else 0)
+    chosen = count[text] < window
+    if n >= window:
+        inside = np.flatnonzero(text[: n - window + 1] == text[window - 1 :])
+        least = np.lib.stride_tricks.sliding_window_view(value, window)[inside].argmin(axis=1)
+        chosen[inside + least] = True
+    return np.flatnonzero(chosen)
+
+
+def _bucketed(rows: DataFrame, buckets: int, n: int, window: int) -> DataFrame:
+    """``bucket, hash, which, docs``: of some texts the anchors that fall into a bucket, packed;
+    ``which`` holds each anchor's place in ``docs``."""
     doc = T.StructType(rows.schema.fields[:2])
     schema = T.StructType([*T._parse_datatype_string("bucket int, hash binary, which binary").fields, T.StructField("docs", T.ArrayType(doc))])
     arrow = to_arrow_schema(schema)
@@ -74,6 +91,8 @@ def _bucketed(rows: DataFrame, buckets: int, n: int) -> DataFrame:
             values, texts, held = [], [], 0
             for words in words_of(batch.column(2), SPACES, lower=False):
                 value, text = runs_of(words, n)
+                at = anchors_of(value, text, window)
+                value, text = value[at], text[at]
                 values.append(value)
                 texts.append(text + words.first)
                 held += len(value)
@@ -101,11 +120,13 @@ def _ranks(docs: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
     return rank, order[fresh]
 
 
-def _pairs(bucketed: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, first_id, first_hash``: each document with the earliest holder of a run it has."""
+def _pairs(bucketed: DataFrame, parts: int) -> DataFrame:
+    """``doc_id, text_hash, first_id, first_hash``: each document with the earliest holder of an anchor it has, once."""
     doc = bucketed.schema["docs"].dataType.elementType
     schema = T.StructType([*doc.fields, T.StructField("first_id", doc[0].dataType), T.StructField("first_hash", T.LongType())])
     arrow = to_arrow_schema(schema)
+    packed = T.StructType([T.StructField("part", T.IntegerType()), *(T.StructField(f.name, T.ArrayType(f.dataType)) for f in schema)])
+    packed_arrow = to_arrow_schema(packed)
 
     def meet(batches):
         # A task holds whole buckets.
@@ -133,43 +154,65 @@ def _pairs(bucketed: DataFrame) -> DataFrame:
         first = np.repeat(np.minimum.reduceat(owner, start), np.diff(np.append(start, len(value))))
         later = owner > first
         met = np.unique(owner[later] * len(place) + first[later])
-        met = np.stack([met // len(place), met % len(place)], axis=1)
-        for low in range(0, len(met), 50_000):
-            a, b = (docs.take(pa.array(place[met[low : low + 50_000, i]])) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([a.field(0), a.field(1), b.field(0), b.field(1)], schema=arrow)
+        if not len(met):
+            return
+        a, b = place[met // len(place)], place[met % len(place)]
+        # Packed again by the later document, to drop what other buckets have found as well.
+        part = (mix(docs.field(1).to_numpy(zero_copy_only=False)[a]) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        part, a, b = part[order], a[order], b[order]
+        start = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        start = np.unique(np.concatenate([start, np.arange(0, len(part), PAIRS_AT_ONCE)]))
+        bounds = pa.array(np.append(start, len(part)), pa.int32())
+        columns = [column for side in (docs.take(pa.array(a)), docs.take(pa.array(b))) for column in (side.field(0), side.field(1))]
+        lists = [pa.ListArray.from_arrays(bounds, column, type=packed_arrow.field(i + 1).type) for i, column in enumerate(columns)]
+        yield pa.RecordBatch.from_arrays([pa.array(part[start]), *lists], schema=packed_arrow)
+
+    def once(batches):
+        found = [[column.flatten() for column in batch.columns[1:]] for batch in batches]
+        if found:
+            table = pa.table([pa.chunked_array(x) for x in zip(*found)], names=arrow.names)
+            yield from table.group_by(arrow.names, use_threads=False).aggregate([]).select(arrow.names).cast(arrow).to_batches(50_000)
+
+    return bucketed.mapInArrow(meet, packed).repartition(parts, "part").mapInArrow(once, schema)
+
+
+def copied_texts(rows: DataFrame) -> DataFrame:
+    """``hash, crc, bytes, first_id`` of each text that several ids hold, with the smallest of them."""
+    texts = rows.where(F.col("doc_id").isNotNull() & (F.col("text") != "")).groupBy(*text_key()).agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    return texts.where("first_id < last_id").drop("last_id")
+
 
-    return bucketed.mapInArrow(meet, schema)
+def text_key() -> list:
+    return [F.xxhash64("text").alias("hash"), F.crc32(F.col("text").cast("binary")).alias("crc"), F.octet_length("text").alias("bytes")]
 
 
-def duplicate_passages(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``doc_id, text_hash, places``: the words (from 0) that go, as sorted spans ``first, end``
-    apart from each other, for documents that lose any.
+def duplicate_passages(docs: DataFrame, copied: DataFrame, run_words: int = RUN_WORDS, window: int = WINDOW) -> DataFrame:
+    """``doc_id, text_hash, places``: the words (from 0) that go, as sorted spans ``first, end``,
+    for documents that lose any and aren't later copies of a text in ``copied``.
 
-    Words are runs of other characters than ASCII white space, compared as they are; a
-    word goes if it stands in a run of ``block_words`` words that an earlier document
-    holds, or was replaced as said above. Rows with the same id and text are one
+    Words are runs of other characters than ASCII white space, compared as they are. What
+    goes are runs of ``run_words`` words that an earlier document holds; of a passage of
+    ``run_words + window - 1`` words or more that an earlier document holds, at most
+    ``window - 1`` words at either end stay. Rows with the same id and text are one
     document; the order of documents is by id and then a hash of the text. Null ids
     and null or empty texts take no part.
     """
     rows = docs.where(F.col("doc_id").isNotNull() & (F.col("text") != "")).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    rows = rows.join(copied, [a == b for a, b in zip(text_key(), (copied["hash"], copied["crc"], copied["bytes"]))] + [rows["doc_id"] > copied["first_id"]], "left_anti")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = scaled_partitions(docs.sparkSession, size, BUCKET_BYTES)
-    pairs = _pairs(_bucketed(rows, buckets, block_words).repartition(buckets, "bucket")).distinct()
-    pairs = cut(pairs.select(F.struct("doc_id", "text_hash").alias("doc"), F.struct(F.col("first_id").alias("doc_id"), F.col("first_hash").alias("text_hash")).alias("first")))
-
-    # Each side's texts; the earlier document's goes to every pair it is in.
-    wanted = cut(pairs.select("doc").unionByName(pairs.select(F.col("first").alias("doc"))).distinct())
-    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    texts = rows.select(F.struct("doc_id", "text_hash").alias("doc"), "text").join(F.broadcast(wanted) if few else wanted, "doc", "left_semi").dropDuplicates(["doc"])
-    # One that many later documents follow goes out in copies, so its pairs fall to many tasks.
-    followed = cut(pairs.groupBy("first").agg(F.ceil(F.count("*") / PAIRS_EACH).cast("int").alias("copies")))
-    hot = followed.where("copies > 1")
-    if hot.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        hot = F.broadcast(hot)
-    dealt = pairs.join(hot, "first", "left").withColumn("copy", F.pmod(F.xxhash64("doc"), F.coalesce("copies", F.lit(1))).cast("int"))
-    later = dealt.select("doc", "first", "copy").join(texts.select("doc", F.col("text").alias("own")), "doc")
-    earlier = followed.join(texts.select(F.col("doc").alias("first"), F.col("text").alias("earlier")), "first").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    both = later.join(earlier, ["first", "copy"])
+    pairs = cut(_pairs(_bucketed(rows, buckets, run_words, window).repartition(buckets, "bucket"), buckets))
+
+    # Texts are read where the documents are, if the pairs are few, and meet at the earlier one's; one
+    # that many later documents follow goes out in copies, so its pairs fall to many tasks.
+    followed = cut(pairs.groupBy("first_id", "first_hash").agg(F.ceil(F.count("*") / PAIRS_EACH).cast("int").alias("copies")))
+    hot = small(followed.where("copies > 1"))
+    dealt = pairs.join(hot, ["first_id", "first_hash"], "left").withColumn("copy", F.pmod(F.xxhash64("doc_id", "text_hash"), F.coalesce("copies", F.lit(1))).cast("int")).drop("copies")
+    later = rows.join(small(cut(dealt)), ["doc_id", "text_hash"]).select(F.struct("doc_id", "text_hash").alias("doc"), "first_id", "first_hash", "copy", F.col("text").alias("own"))
+    earlier = rows.withColumnsRenamed({"doc_id": "first_id", "text_hash": "first_hash", "text": "earlier"}).join(small(followed), ["first_id", "first_hash"])
+    earlier = earlier.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    both = later.join(earlier, ["first_id", "first_hash", "copy"])
 
     def blocks(batches):
         for batch in batches:
@@ -178,13 +221,13 @@ def duplicate_passages(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataF
                 part = batch.slice(low, 500)
                 # One earlier document's pairs stand together.
                 other = part.column(2).dictionary_encode()
-                own, runs = _runs_of_each(part.column(1), block_words), _runs_of_each(other.dictionary, block_words)
+                own, runs = _runs_of_each(part.column(1), run_words), _runs_of_each(other.dictionary, run_words)
                 other = [runs[k] for k in other.indices.to_pylist()]
-                gone = [[{"first": a, "end": b} for a, b in common_blocks(x, y, block_words)] for x, y in zip(own, other)]
+                gone = [[{"first": a, "end": b} for a, b in common_blocks(x, y, run_words)] for x, y in zip(own, other)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(gone, spans)], names=["doc", "places"])
 
     span = T._parse_datatype_string("array<struct<first:int,end:int>>")
-    found_type = T.StructType([T.StructField("doc", pairs.schema["doc"].dataType), T.StructField("places", span)])
+    found_type = T.StructType([T.StructField("doc", later.schema["doc"].dataType), T.StructField("places", span)])
     spans = to_arrow_schema(found_type).field("places").type
     found = both.select("doc", "own", "earlier").mapInArrow(blocks, found_type)
     places = found.groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"))
@@ -248,13 +291,19 @@ def without(data: bytes, start: np.ndarray, end: np.ndarray, spans) -> bytes:
     return b"".join([*out, data[at:]])
 
 
-def dedup_lines(docs: DataFrame, **limits) -> DataFrame:
+def dedup_lines(docs: DataFrame, run_words: int = RUN_WORDS, window: int = WINDOW) -> DataFrame:
     """All rows and columns of ``docs``, with ``text`` without its duplicate passages, and ``removed``,
-    the spans ``first, end`` of the words that went (empty if none). A text that lost all its words is empty."""
-    gone = duplicate_passages(docs, **limits).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("places").alias("__places"))
-    joined = docs.join(gone, (docs["doc_id"] == F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), "left")
+    the spans ``first, end`` of the words that went (empty if none). A text that lost all its words is
+    empty, as is a later copy of a whole text of ``run_words`` words or more. Rows with a null id or
+    text stay as they are, and so do rows that repeat one id and text."""
+    copied = small(cut(copied_texts(docs)))
+    gone = duplicate_passages(docs, copied, run_words, window).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("places").alias("__places"))
+    firsts = copied.select(*(F.col(c).alias(f"__copy_{c}") for c in copied.columns))
+    marked = docs.join(firsts, [a == b for a, b in zip(text_key(), (F.col("__copy_hash"), F.col("__copy_crc"), F.col("__copy_bytes")))] + [docs["doc_id"] > F.col("__copy_first_id")], "left")
+    joined = marked.join(small(cut(gone)), (docs["doc_id"] == F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), "left")
     others = [docs[c] for c in docs.columns if c != "text"]
-    source = joined.select(*others, docs["text"].alias("__text"), "__places")
+    everything = F.when(F.col("__copy_hash").isNotNull(), F.array(F.struct(F.lit(0).alias("first"), F.lit(ALL_WORDS).alias("end"))))
+    source = joined.select(*others, docs["text"].alias("__text"), F.coalesce(everything, "__places").alias("__places"))
     schema = T.StructType([*(docs.schema[c] for c in docs.columns if c != "text"), T.StructField("text", docs.schema["text"].dataType), T.StructField("removed", gone.schema["__places"].dataType)])
     arrow = to_arrow_schema(schema)
 
@@ -270,7 +319,9 @@ def dedup_lines(docs: DataFrame, **limits) -> DataFrame:
                 for t in range(words.texts):
                     row = int(hit[words.first + t])
                     low, high, begin = int(bounds[t]), int(bounds[t + 1]), int(words.offsets[t])
-                    spans = merged((x["first"], x["end"]) for x in places[row].as_py())
+                    spans = merged((x["first"], min(x["end"], high - low)) for x in places[row].as_py())
+                    if places[row][0]["end"].as_py() == ALL_WORDS and high - low < run_words:
+                        spans = []
                     data = words.data[begin : int(words.offsets[t + 1])].tobytes()
                     kept[row] = without(data, words.start[low:high] - begin, words.end[low:high] - begin, spans).decode()
                     removed[row] = [{"first": a, "end": b} for a, b in spans]
