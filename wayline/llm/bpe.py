@@ -25,7 +25,8 @@ from .common import text_or_empty
 
 NONE = np.int64(1 << 20)
 LONG_WORD = 128  # bytes; longer ones are merged one by one
-KEPT_WORDS = 2_000_000  # of one task, after which its memory of encoded words starts anew
+KEPT_WORDS = 100_000  # that a task remembers, and as many of those before
+ROWS_AT_ONCE = 1_000
 __all__ = ["Codec", "decode", "encode", "fingerprints", "load_ranks"]
 
 
@@ -133,17 +134,18 @@ class Codec:
 
 
 class _Batches:
-    """Encodes batches of lists of words; remembers the words it has encoded."""
+    """Encodes batches of lists of words; remembers the words it has encoded of late."""
 
     def __init__(self, codec: Codec):
-        self.codec, self.known = codec, {}
+        self.codec, self.known, self.before = codec, {}, {}
 
     def ids(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all lists end to end, and the lists' bounds in them."""
         words = lists.flatten().cast(pa.binary()).dictionary_encode()
         texts = words.dictionary.to_pylist()
         if len(self.known) > KEPT_WORDS:
-            self.known.clear()
+            self.known, self.before = {}, self.known
+        self.known.update((w, self.before[w]) for w in texts if w in self.before and w not in self.known)
         fresh = [w for w in texts if w not in self.known]
         self.known.update(zip(fresh, self.codec.encode_words(fresh)))
         encoded = [self.known[w] for w in texts]
@@ -158,6 +160,12 @@ class _Batches:
         return ids, np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(words_each)))]
 
 
+def _parts(batches):
+    """The batches in slices of a bounded number of rows."""
+    for batch in batches:
+        yield from (batch.slice(low, ROWS_AT_ONCE) for low in range(0, batch.num_rows, ROWS_AT_ONCE))
+
+
 def _words(docs: DataFrame, text_column: str):
     return F.regexp_extract_all(text_or_empty(text_column), F.lit(PATTERN), F.lit(0))
 
@@ -171,7 +179,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...] = ("d
 
     def run(batches):
         coder = _Batches(Codec(ranks))
-        for batch in batches:
+        for batch in _parts(batches):
             ids, bounds = coder.ids(batch.column(batch.num_columns - 1))
             arrays = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], arrays], names=[*batch.schema.names[:-1], "ids"])
@@ -194,7 +202,7 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...] = ("d
 
     def run(batches):
         pieces = pa.array(Codec(ranks).pieces, pa.large_binary())
-        for batch in batches:
+        for batch in _parts(batches):
             lists = batch.column(batch.num_columns - 1)
             bounds = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
             texts = _joined(pieces, lists.flatten().to_numpy(zero_copy_only=False), bounds)
@@ -214,7 +222,7 @@ def fingerprints(docs: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...]
         pieces = pa.array(coder.codec.pieces, pa.large_binary())
         written = pa.array([b"%d," % i for i in range(len(pieces))], pa.large_binary())
         digest = lambda x: hashlib.sha256(x).hexdigest()
-        for batch in batches:
+        for batch in _parts(batches):
             ids, bounds = coder.ids(batch.column(batch.num_columns - 1))
             named = [digest(x[:-1]) for x in _joined(written, ids, bounds)]
             decoded = [digest(x) for x in _joined(pieces, ids, bounds)]
