@@ -17,6 +17,7 @@ import pytest
 
 from wayline.llm import bpe, bpe_native, quality
 from wayline.llm.decontaminate import MASKS, SHARE, SPAN, WINDOW, decontaminate, overlaps
+from wayline.llm import html_text
 from wayline.llm.html_text import extract, extract_main_text
 from wayline.llm.jaccard import one_of_each_group, similarity_classes
 from wayline.llm.license_scan import scan_licenses
@@ -118,6 +119,43 @@ def test_html_extraction(spark):
     assert got[4][1] == len("Long text. " * 50_000) - 1
 
 
+LONG = "This is a paragraph, with words and signs; it is long enough to count as text. " * 3
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    ("<html><head><title>T</title><body><nav><a href=/>Home</a></nav><p>{0}</p>", "{0}"),  # no end of the head
+    ("<body><iframe src=x><p>{0}</p></body>", "{0}"),  # an iframe that is never closed
+    ("<body><form action=x><p>{0}</p></body>", "{0}"),
+    ('<nav><ul><li><a href=/>Home</a></li></ul></nav><div class="entry no-sidebar"><p>{0}</p></div>', "{0}"),
+    ('<div id="social-media-study"><p>{0}</p></div>', "{0}"),
+    ('<div class="search-engine-history"><p>{0}</p></div>', "{0}"),
+    ('<div class="legal-news"><p>{0}</p></div>', "{0}"),
+    ('<article><div class="content-header"><h1>Head line</h1></div><p>{0}</p></article>', "Head line\n{0}"),
+    ('<article><p>{0}</p><ul class="related-work"><li>one</li><li>another</li></ul></article>', "{0}\none\nanother"),
+    ('<div class="promo"><h1>T</h1><p>{0}</p></div>', "T\n{0}"),  # a name that is wrong about all of the page
+    ("<div><ul><li><a href=a>Link one</a><li><a href=b>Two</a></ul><p>Short bit.</p></div><div><h2>Title</h2><p>{0}</p><ul><li>a</li></ul></div>", "Title\n{0}\na"),
+    ('<div class="body"><p>{0}</p></div><section class="comments"><p>{0}</p><p>{0}</p></section>', "{0}"),
+    ('<p>a<table>' + "<tr><td>x<td>y" * 3000 + "</table><p>{0}", None),
+])
+def test_html_extraction_by_ratios_and_marks(page, want):
+    got = extract(page.format(LONG))
+    assert got == want.format(LONG.strip()) if want is not None else got.endswith(LONG.strip())
+
+
+def test_html_ratios_decide_where_nothing_is_marked(monkeypatch):
+    """Pages without any telling tag or name: the article is found by its ratios, and not without them."""
+    rng = random.Random(31)
+    pages, want = [], []
+    for _ in range(40):
+        text = [f"{prose(rng, 4).capitalize()}, {prose(rng, 25)}. {prose(rng, 12).capitalize()}; and {prose(rng, 8)}." for _ in range(rng.randint(2, 6))]
+        menu = "".join(f"<li><a href=x>{prose(rng, 1)}</a></li>" for _ in range(6))
+        pages.append(f"<body><div><ul>{menu}</ul></div><div>{prose(rng, 4)}</div><div><h1>{prose(rng, 3)}</h1>" + "".join(f"<p>{t}</p>" for t in text) + f"</div><div>{prose(rng, 5)}</div>")
+        want.append("\n".join(text))
+    assert sum(extract(p).endswith(w) and extract(p).count("\n") == w.count("\n") + 1 for p, w in zip(pages, want)) >= 38
+    monkeypatch.setattr(html_text, "path_ratios", lambda paths, blocks: (np.ones(len(paths)), np.ones(len(paths))))
+    assert not any(extract(p).endswith(w) for p, w in zip(pages, want))
+
+
 def brute_overlaps(docs, items):
     split = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
     out = {}

@@ -1,15 +1,19 @@
 """Main text of web pages by tag-path ratios.
 
-A page is a sequence of text blocks, each under a root-to-leaf path of block tags.
-Per path the text length and the punctuation are added up and divided by the number
-of its blocks, links counted against it; the two ratios are smoothed over the page
-order, fused and scaled by what the path's own tags and class names say, and blocks
-of the paths over the page's threshold are the content.
+A page is a sequence of text blocks, each under a root-to-leaf path of block tags. Per
+path the text length (link text counts for a quarter) and the punctuation are added up
+and divided by the number of its blocks. Both ratios are smoothed over the page order,
+among blocks whose paths are alike, and fused. What stands in the container of a strong
+path shares its strength (headings, lists and short lines of an article), what stands
+elsewhere doesn't. Paths over a share of the page's best are content. Tags and class
+names only exclude: menus, headers, footers, sidebars, notices, adverts, forms and
+reader comments that say that they are.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -19,48 +23,62 @@ from .common import map_texts
 
 # HTML's own element names, by what they are for.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+IN_HEAD = {"title", "meta", "link", "style", "script", "base", "noscript", "template"}
 UNSHOWN = {"head", "title", "script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio", "video", "select", "option", "button", "textarea", "form", "dialog", "datalist"}
 FRAME = {"nav", "footer", "aside", "menu"}
 INLINE_UNSHOWN = UNSHOWN - {"head", "form", "dialog"}
 BLOCK = {"html", "body", "address", "article", "aside", "blockquote", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"} | UNSHOWN
 CLOSES_P = BLOCK - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"} - UNSHOWN | {"form"}
 SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-# Words in class names, ids and roles that mark a part beside the article.
-ASIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "banner", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "header", "masthead", "sidebar", "aside", "widget", "related", "recommended", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "popup", "modal", "newsletter", "subscribe", "signup", "login", "share", "sharing", "social", "comment", "comments", "reply", "replies", "disqus", "pager", "pagination", "copyright", "legal", "disclaimer", "search", "complementary", "contentinfo", "alert", "alerts", "toolbar", "skip", "hidden"}
-CONTENT_WORDS = {"article", "content", "post", "entry", "story", "main"}
+# Class names, ids and roles of parts beside the article, whole or with one of the words around them.
+ASIDE = ("ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "banner", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "header", "masthead", "sidebar", "aside", "widget", "related", "recommended", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "popup", "modal", "newsletter", "subscribe", "subscription", "signup", "login", "share", "sharing", "social", "comment", "comments", "reply", "replies", "disqus", "pager", "pagination", "copyright", "legal", "disclaimer", "search", "complementary", "contentinfo", "alert", "alerts", "toolbar", "skip", "hidden")
+BEFORE = ("site", "page", "main", "global", "top", "bottom", "left", "right", "cookie", "gdpr", "privacy", "user", "reader", "post", "article", "blog", "google", "primary", "secondary", "sub", "mobile", "social", "related", "footer", "header", "sidebar", "nav", "share", "comment", "comments", "newsletter", "ad", "alert", "skip")
+AFTER = ("box", "container", "wrapper", "wrap", "area", "section", "list", "block", "bar", "banner", "links", "link", "menu", "item", "items", "slot", "unit", "content", "inner", "outer", "form", "thread", "buttons", "icons", "posts", "articles", "text", "notice", "message", "overlay")
+MARK = re.compile(rf"(?:(?:{'|'.join(BEFORE)})[-_]?)?({'|'.join(ASIDE)})(?:[-_]?(?:{'|'.join(AFTER)}))?(?:[-_]?[0-9]+)?")
+COMMENTS = {"comment", "comments", "reply", "replies", "disqus"}
 # Of these an article may have its own.
-OWN_WORDS = {"!header", "!masthead"}
+OWN = {"header", "masthead"}
 PUNCTUATION = re.compile(r"[.,;:!?¿¡…。，、！？]")
-WORDS = re.compile(r"[a-z]+")
-THRESHOLD = 0.5
+LINK_WEIGHT = 0.25
+THRESHOLD = 0.13  # of the best path's score
+HALF_LENGTH, HALF_MARKS = 30, 4  # a path's own ratios count in full far beyond these
+OVERRULED = 0.1  # where what isn't excluded holds less of the page's score, class names are not believed
 
 
 class _Blocks(HTMLParser):
-    """Text blocks in page order: (path, text, length of link text)."""
+    """Text blocks in page order: (path, text, length of link text, numbers of the elements
+    around its own). A path's parts are names (tag and classes), those beside the article
+    followed by ``!`` and what says so."""
 
-    def __init__(self):
+    def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, str, bool]] = []
-        self.blocks: list[tuple[tuple[str, ...], str, int]] = []
+        # An element that hides its text, and is never closed, hides nothing.
+        self.closings = Counter(x.lower() for x in re.findall(r"</([a-zA-Z]+)", html) if x.lower() in UNSHOWN)
+        self.open: list[tuple[str, str, bool, int]] = []
+        self.blocks: list[tuple[tuple[str, ...], str, int, tuple[int, ...]]] = []
+        self.number = 0
         self.text: list[str] = []
         self.linked = self.links = self.unshown = 0
 
     def flush(self):
         text = " ".join("".join(self.text).split())
         if text:
-            self.blocks.append((tuple(x[1] for x in self.open if x[1]), text, self.linked))
+            shown = [x for x in self.open if x[1]]
+            self.blocks.append((tuple(x[1] for x in shown), text, self.linked, tuple(x[3] for x in shown[:-1])))
         self.text, self.linked = [], 0
 
     def close_from(self, at: int):
-        if any(name not in INLINE_UNSHOWN for name, _, _ in self.open[at:]):
+        if any(x[0] not in INLINE_UNSHOWN for x in self.open[at:]):
             self.flush()
-        self.unshown -= sum(unshown for _, _, unshown in self.open[at:])
+        self.unshown -= sum(x[2] for x in self.open[at:])
         del self.open[at:]
 
     def handle_starttag(self, tag, attrs):
         if tag == "br":
             self.text.append("\n")
-        if tag in VOID:
+        if tag not in IN_HEAD and tag != "head" and self.open and self.open[-1][0] == "head":
+            self.close_from(len(self.open) - 1)
+        if tag in VOID or tag in UNSHOWN and tag not in ("head", "script", "style") and self.closings[tag] <= sum(x[0] == tag for x in self.open):
             if tag == "hr":
                 self.flush()
             return
@@ -78,14 +96,26 @@ class _Blocks(HTMLParser):
                 break
             if name in ("ul", "ol", "dl", "table", "article", "section", "div", "td", "th", "body"):
                 break
-        given = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden", "aria-label")}
-        words = set(WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", " ".join(given.get(k, "") for k in ("class", "id", "role"))).lower()))
-        mark = "" if tag in ("html", "body") else "".join(sorted("!" + w for w in words & ASIDE_WORDS)) or "".join(sorted("+" + w for w in words & CONTENT_WORDS))
+        given = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden")}
+        tokens = [x.lower() for k in ("class", "id", "role") for x in given.get(k, "").split()]
+        marks = [m[1] for m in map(MARK.fullmatch, tokens) if m]
+        inside = any(x[0] in ("article", "main") for x in self.open)
+        if inside:
+            marks = [m for m in marks if m not in OWN]
+        if tag in FRAME or tag == "header" and not inside:
+            marks.append(tag)
+        if tag in ("article", "main", "html", "body"):
+            marks = []
+        name = ".".join([tag, *sorted(given.get("class", "").lower().split())])
+        mark = "!".join(["", *marks])
         unshown = tag in UNSHOWN or "hidden" in given or given.get("aria-hidden") == "true"
-        self.open.append((tag, tag + mark, unshown))
+        self.open.append((tag, "" if tag in ("html", "body") else name + mark, unshown, self.number))
+        self.number += 1
         self.unshown += unshown
 
     def handle_endtag(self, tag):
+        if tag in self.closings:
+            self.closings[tag] -= 1
         if tag == "a":
             self.links = max(0, self.links - 1)
         if tag not in BLOCK or tag in ("html", "body"):
@@ -105,72 +135,108 @@ class _Blocks(HTMLParser):
             self.linked += len(data)
 
 
-def blocks_of(html: str) -> list[tuple[tuple[str, ...], str, int]]:
-    parser = _Blocks()
+def blocks_of(html: str) -> list[tuple[tuple[str, ...], str, int, tuple[int, ...]]]:
+    parser = _Blocks(html)
     parser.feed(html)
     parser.close()
     parser.flush()
     return parser.blocks
 
 
-def _prior(path: tuple[str, ...]) -> float:
-    """What the path's tags and class names say: 0 beside the article, over 1 inside it."""
-    said, inside = 1.0, False
-    for name in path:
-        tag = re.split(r"[!+]", name)[0]
-        marks = set(re.findall(r"![a-z]+", name)) - (OWN_WORDS if inside else set())
-        if tag in FRAME or marks and tag not in ("article", "main"):
-            return 0.0
-        if tag == "header" and not inside:
-            return 0.0
-        if tag in ("article", "main") or "+" in name:
-            inside, said = True, 4.0
-    return said
-
-
-def _smooth(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Mean over each block and its two neighbours, weighted by text length."""
-    pad = lambda x: np.concatenate(([0.0], x, [0.0]))
-    total = pad(values * weights)
-    weight = pad(weights)
-    return (total[:-2] + total[1:-1] + total[2:]) / np.maximum(weight[:-2] + weight[1:-1] + weight[2:], 1e-9)
+def _excluded(path: tuple[str, ...], believe_names: bool = True) -> bool:
+    """Whether a part of the path is marked as beside the article, by its tag, as comments or, if they are believed, by other names."""
+    for part in path:
+        name, *marks = part.split("!")
+        tag = name.split(".")[0]
+        if any(believe_names or m in COMMENTS or m == tag for m in marks):
+            return True
+    return False
+
+
+def _shared(a: tuple[str, ...], b: tuple[str, ...]) -> int:
+    n = 0
+    for x, y in zip(a, b):
+        if x != y:
+            break
+        n += 1
+    return n
+
+
+def path_ratios(paths: list[tuple[str, ...]], blocks) -> tuple[np.ndarray, np.ndarray]:
+    """Text length and punctuation of each path, for each of its blocks; ``paths`` are the distinct ones."""
+    place = {path: i for i, path in enumerate(paths)}
+    length, marks, count = np.zeros(len(paths)), np.zeros(len(paths)), np.zeros(len(paths))
+    for path, text, linked, _ in blocks:
+        i, share = place[path], max(0.0, 1 - (1 - LINK_WEIGHT) * min(linked, len(text)) / len(text))
+        length[i] += len(text) * share
+        marks[i] += len(PUNCTUATION.findall(text)) * share
+        count[i] += 1
+    return length / count, marks / count
+
+
+def path_scores(blocks) -> np.ndarray:
+    """The score of each block: its path's, in the container that it stands in."""
+    paths = list(dict.fromkeys(b[0] for b in blocks))
+    place = {path: i for i, path in enumerate(paths)}
+    ratios = np.stack(path_ratios(paths, blocks))[:, [place[b[0]] for b in blocks]]
+    common = blocks[0][3]
+    for b in blocks:
+        common = common[: _shared(common, b[3])]
+    around = [b[3][len(common) :] for b in blocks]
+    containers = {c: i for i, c in enumerate(dict.fromkeys(around))}
+    of = [containers[c] for c in around]
+
+    # Gaussian weights over the page order, times the blocks' lengths, times the containers' likeness.
+    alike: dict[tuple[int, int], float] = {}
+
+    def likeness(i: int, j: int) -> float:
+        key = (of[i], of[j])
+        if key not in alike:
+            alike[key] = 1.0 if of[i] == of[j] else (_shared(around[i], around[j]) / max(len(around[i]), len(around[j]), 1)) ** 2
+        return alike[key]
+
+    weight = np.array([len(b[1]) for b in blocks], float)
+    smooth, total = np.zeros_like(ratios), np.zeros(len(blocks))
+    for away in range(-2, 3):
+        at = np.arange(max(0, -away), min(len(blocks), len(blocks) - away))
+        near = at + away
+        w = np.exp(-(away**2) / 2) * weight[near] * np.array([likeness(i, j) for i, j in zip(at, near)])
+        smooth[:, at] += w * ratios[:, near]
+        total[at] += w
+    key = {x: i for i, x in enumerate(dict.fromkeys(zip((b[0] for b in blocks), of)))}
+    group = np.array([key[b[0], c] for b, c in zip(blocks, of)])
+    length, marks = (np.bincount(group, x * weight) / np.bincount(group, weight) for x in smooth / total)
+    fused = length * (1 + marks)
+    # A container is as strong as its best path; what stands beside it, in part of what is around it, shares little.
+    strong = np.zeros(len(containers))
+    np.maximum.at(strong, [c for _, c in key], fused)
+    best: dict[tuple[int, ...], float] = {}
+    for c, i in containers.items():
+        for depth in range(len(c) + 1):
+            best[c[:depth]] = max(best.get(c[:depth], 0.0), strong[i] * ((depth / len(c)) ** 3 if c else 1.0))
+    held = [max(best[c[:depth]] for depth in range(len(c) + 1)) for c in containers]
+    support = np.array([held[c] for _, c in key])
+    # Of a path's own ratios it matters that there is text at all, not how much more than elsewhere.
+    some = length / (length + HALF_LENGTH) * (1 + marks / (marks + HALF_MARKS))
+    return (np.sqrt(some / some.max()) * support / support.max())[group]
 
 
 def extract(html: str | None) -> str:
     """The page's main text, its blocks joined by a line feed; empty for no html."""
     blocks = blocks_of(html or "")
-    if not blocks:
+    kept = [b for b in blocks if not _excluded(b[0])]
+    if len(kept) < len(blocks):
+        # Names can be wrong about the article itself, which then holds nearly all of the page's score.
+        told = [b for b in blocks if not _excluded(b[0], False)]
+        if told and len(told) > len(kept):
+            score = dict(zip(map(id, told), path_scores(told)))
+            every, unmarked = (sum(score[id(b)] for b in part) for part in (told, kept))
+            if unmarked < OVERRULED * every and max(len(b[1]) for b in told) > 10 * max([20, *(len(b[1]) for b in kept)]):
+                kept = told
+    if not kept:
         return ""
-    lengths = np.array([len(text) for _, text, _ in blocks], float)
-    plain = np.maximum(lengths - np.array([linked for _, _, linked in blocks]), 0.0)
-    marks = np.array([len(PUNCTUATION.findall(text)) for _, text, _ in blocks], float)
-    names = {path: i for i, path in enumerate(dict.fromkeys(path for path, _, _ in blocks))}
-    of = np.array([names[path] for path, _, _ in blocks])
-    count = np.bincount(of, minlength=len(names))
-    text_ratio = np.bincount(of, plain, len(names)) / count
-    mark_ratio = np.bincount(of, marks * plain / lengths, len(names)) / count
-    prior = np.array([_prior(path) for path in names])
-
-    fused = np.sqrt(_smooth(text_ratio[of], lengths) * (1.0 + _smooth(mark_ratio[of], lengths)))
-    score = np.bincount(of, fused * lengths, len(names)) / np.bincount(of, lengths, len(names)) * prior
-    # An article's own blocks are one region: its headings and short lines share the region's
-    # score. Without tags or names that tell, the region is what holds the best path.
-    parent = list(names)[int(np.argmax(score))][:-1]
-
-    def region_of(path):
-        for i, name in enumerate(path):
-            if re.match(r"(article|main)\b", name) or "+" in name:
-                return path[: i + 1]
-        return parent if path[: len(parent)] == parent else ()
-
-    region = [region_of(path) for path in names]
-    best: dict[tuple, float] = {}
-    for r, s in zip(region, score):
-        best[r] = max(best.get(r, 0.0), s)
-    score = np.array([s if not r or s == 0 else best[r] for r, s in zip(region, score)])
-    limit = THRESHOLD * score.max()
-    keep = (score >= limit) & (score > 0)
-    return "\n".join(text for (_, text, _), i in zip(blocks, of) if keep[i])
+    score = path_scores(kept)
+    return "\n".join(b[1] for b, x in zip(kept, score) if x >= THRESHOLD * score.max())
 
 
 def extract_main_text(pages: DataFrame, html_column: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
