@@ -24,7 +24,7 @@ from wayline.llm.license_scan import scan_licenses
 from wayline.llm.line_dedup import dedup_lines
 from wayline.llm.patience import align
 from wayline.llm.secrets import scan_secrets
-from wayline.llm.sharding import shard
+from wayline.llm.sharding import pack, shard
 from wayline.llm.topk import search_shard, top_k
 
 DOC = "doc_id long, text string"
@@ -152,7 +152,7 @@ def test_html_ratios_decide_where_nothing_is_marked(monkeypatch):
         pages.append(f"<body><div><ul>{menu}</ul></div><div>{prose(rng, 4)}</div><div><h1>{prose(rng, 3)}</h1>" + "".join(f"<p>{t}</p>" for t in text) + f"</div><div>{prose(rng, 5)}</div>")
         want.append("\n".join(text))
     assert sum(extract(p).endswith(w) and extract(p).count("\n") == w.count("\n") + 1 for p, w in zip(pages, want)) >= 38
-    monkeypatch.setattr(html_text, "path_ratios", lambda paths, blocks: (np.ones(len(paths)), np.ones(len(paths))))
+    monkeypatch.setattr(html_text, "path_ratios", lambda paths, of, blocks: (np.ones(len(paths)), np.ones(len(paths))))
     assert not any(extract(p).endswith(w) for p, w in zip(pages, want))
 
 
@@ -287,6 +287,43 @@ def test_sharding_balances_small_tables_and_long_texts(spark):
         assert max(load.values()) <= 1.03 * sum(load.values()) / 8
 
 
+def plain_pack(items, shards):
+    """Vector bin packing item by item, without numpy."""
+    total = [sum(x) for x in zip(*items)]
+    share = [[x * shards / t if t else 0.0 for x, t in zip(item, total)] for item in items]
+    left = [[1.0] * len(total) for _ in range(shards)]
+    placed = [0] * len(items)
+    for i in sorted(range(len(items)), key=lambda i: -sum(share[i])):
+        fits = [s for s in range(shards) if all(r >= x - 1e-9 for r, x in zip(left[s], share[i]))]
+        placed[i] = max(fits, key=lambda s: (sum(r * x for r, x in zip(left[s], share[i])), -s)) if fits else max(range(shards), key=lambda s: (left[s][0], -s))
+        left[placed[i]] = [r - x for r, x in zip(left[placed[i]], share[i])]
+    return placed
+
+
+def test_packing_equals_a_plain_version():
+    rng = random.Random(44)
+    for _ in range(20):
+        items = [(rng.randint(1, 1000), rng.randint(0, 50), rng.randint(1, 9)) for _ in range(rng.randint(1, 60))]
+        got, want = pack(np.array(items, float), 4), plain_pack(items, 4)
+        loads = [sorted(tuple(sum(items[i][m] for i in range(len(items)) if p[i] == s) for m in range(3)) for s in range(4)) for p in (got.tolist(), want)]
+        assert loads[0] == loads[1]
+
+
+def test_sharding_of_null_ids_and_repeated_rows(spark):
+    rng = random.Random(15)
+    base = [(i, prose(rng, rng.randint(20, 80))) for i in range(1500)]
+    data = base + [(None, "one text without an id")] * 1500 + base[:1] * 600
+    got = shard(spark.createDataFrame(data, DOC), shards=8).collect()
+    assert len(got) == len(data)
+    for measure in ("size", "n_tokens"):
+        load = Counter()
+        for r in got:
+            load[r.shard] += r[measure]
+        assert set(load) == set(range(8)) and max(load.values()) <= 1.03 * sum(load.values()) / 8
+    for s in range(8):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+
+
 def brute_top(vectors, k, every):
     good = [(i, np.floor(256 * np.array(v))) for i, v in vectors if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
@@ -319,6 +356,23 @@ def test_ball_tree_drops_nothing():
         assert [(-s, i) for s, i in zip(best.score[best.row == q], best.id[best.row == q])] == want
 
 
+def test_top_k_is_exact_on_large_components(spark):
+    rng = np.random.default_rng(12)
+    for scale, part in ((1e5, 1.0), (2e6, 1.0), (6e6, 0.1)):
+        vectors = [(i, (rng.normal(size=6) * scale * part).tolist()) for i in range(120)]
+        # Scores that differ by less than float64 can tell.
+        vectors += [(200 + i, [scale, scale, 1.0 * i / 256, 0.0, 0.0, 0.0]) for i in range(20)]
+        frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+        good = {i: [int(np.floor(256 * x)) for x in v] for i, v in vectors}
+        want = []
+        for q in (0, 50, 100, 200):
+            best = sorted((-sum(a * b for a, b in zip(good[q], v)), i) for i, v in good.items() if i != q)[:5]
+            want += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
+        assert sorted(map(tuple, top_k(frame, shard_rows=9).collect())) == want
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        top_k(spark.createDataFrame([(i, [1e12, 1e12]) for i in range(3)], "vec_id long, embedding array<double>")).collect()
+
+
 def test_license_scan_tolerates_changes(spark):
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
     words = mit.split()

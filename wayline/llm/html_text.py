@@ -1,9 +1,9 @@
 """Main text of web pages by tag-path ratios.
 
 A page is a sequence of text blocks, each under a root-to-leaf path of block tags. Per
-path the text length (link text counts for a quarter) and the punctuation are added up
-and divided by the number of its blocks. Both ratios are smoothed over the page order,
-among blocks whose paths are alike, and fused. What stands in the container of a strong
+path, over the page and in each container, the text length (link text counts for a
+quarter) and the punctuation are added up and divided by the number of its blocks. The
+ratios are smoothed over the page order, among blocks in the same surroundings, and fused. What stands in the container of a strong
 path shares its strength (headings, lists and short lines of an article), what stands
 elsewhere doesn't. Paths over a share of the page's best are content. Tags and class
 names only exclude: menus, headers, footers, sidebars, notices, adverts, forms and
@@ -42,6 +42,7 @@ PUNCTUATION = re.compile(r"[.,;:!?¿¡…。，、！？]")
 LINK_WEIGHT = 0.25
 THRESHOLD = 0.13  # of the best path's score
 HALF_LENGTH, HALF_MARKS = 30, 4  # a path's own ratios count in full far beyond these
+DEEPEST = 256  # elements below count as in the one at this depth
 OVERRULED = 0.1  # where what isn't excluded holds less of the page's score, class names are not believed
 
 
@@ -162,12 +163,11 @@ def _shared(a: tuple[str, ...], b: tuple[str, ...]) -> int:
     return n
 
 
-def path_ratios(paths: list[tuple[str, ...]], blocks) -> tuple[np.ndarray, np.ndarray]:
-    """Text length and punctuation of each path, for each of its blocks; ``paths`` are the distinct ones."""
-    place = {path: i for i, path in enumerate(paths)}
+def path_ratios(paths: list, of: list[int], blocks) -> tuple[np.ndarray, np.ndarray]:
+    """Text length and punctuation of each of the distinct ``paths``, for each of its blocks; ``of`` has each block's path."""
     length, marks, count = np.zeros(len(paths)), np.zeros(len(paths)), np.zeros(len(paths))
-    for path, text, linked, _ in blocks:
-        i, share = place[path], max(0.0, 1 - (1 - LINK_WEIGHT) * min(linked, len(text)) / len(text))
+    for i, (_, text, linked, _) in zip(of, blocks):
+        share = max(0.0, 1 - (1 - LINK_WEIGHT) * min(linked, len(text)) / len(text))
         length[i] += len(text) * share
         marks[i] += len(PUNCTUATION.findall(text)) * share
         count[i] += 1
@@ -176,17 +176,19 @@ def path_ratios(paths: list[tuple[str, ...]], blocks) -> tuple[np.ndarray, np.nd
 
 def path_scores(blocks) -> np.ndarray:
     """The score of each block: its path's, in the container that it stands in."""
-    paths = list(dict.fromkeys(b[0] for b in blocks))
-    place = {path: i for i, path in enumerate(paths)}
-    ratios = np.stack(path_ratios(paths, blocks))[:, [place[b[0]] for b in blocks]]
     common = blocks[0][3]
     for b in blocks:
         common = common[: _shared(common, b[3])]
-    around = [b[3][len(common) :] for b in blocks]
+    around = [b[3][len(common) :][:DEEPEST] for b in blocks]
     containers = {c: i for i, c in enumerate(dict.fromkeys(around))}
     of = [containers[c] for c in around]
 
-    # Gaussian weights over the page order, times the blocks' lengths, times the containers' likeness.
+    # A path's ratios over the page and in the container, fused.
+    every = {x: i for i, x in enumerate(dict.fromkeys(b[0] for b in blocks))}
+    key = {x: i for i, x in enumerate(dict.fromkeys(zip((b[0] for b in blocks), of)))}
+    whole = [every[b[0]] for b in blocks]
+    group = [key[b[0], c] for b, c in zip(blocks, of)]
+    ratios = np.sqrt(np.stack(path_ratios(list(every), whole, blocks))[:, whole] * np.stack(path_ratios(list(key), group, blocks))[:, group])
     alike: dict[tuple[int, int], float] = {}
 
     def likeness(i: int, j: int) -> float:
@@ -195,6 +197,7 @@ def path_scores(blocks) -> np.ndarray:
             alike[key] = 1.0 if of[i] == of[j] else (_shared(around[i], around[j]) / max(len(around[i]), len(around[j]), 1)) ** 2
         return alike[key]
 
+    # Gaussian weights over the page order, times the blocks' lengths, times the containers' likeness.
     weight = np.array([len(b[1]) for b in blocks], float)
     smooth, total = np.zeros_like(ratios), np.zeros(len(blocks))
     for away in range(-2, 3):
@@ -203,8 +206,6 @@ def path_scores(blocks) -> np.ndarray:
         w = np.exp(-(away**2) / 2) * weight[near] * np.array([likeness(i, j) for i, j in zip(at, near)])
         smooth[:, at] += w * ratios[:, near]
         total[at] += w
-    key = {x: i for i, x in enumerate(dict.fromkeys(zip((b[0] for b in blocks), of)))}
-    group = np.array([key[b[0], c] for b, c in zip(blocks, of)])
     length, marks = (np.bincount(group, x * weight) / np.bincount(group, weight) for x in smooth / total)
     fused = length * (1 + marks)
     # A container is as strong as its best path; what stands beside it, in part of what is around it, shares little.

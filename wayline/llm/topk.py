@@ -4,8 +4,9 @@ Rows are dealt into shards of a bounded number of vectors and queries into block
 of a bounded number of queries; a task holds one shard and one block. A task
 builds a ball tree over its shard and walks it with the whole block at once,
 children with the larger upper bound first, dropping the queries whose current
-k-th score the node cannot beat. A pilot shard is searched first and its k-th
-scores are handed to all the other shards as their starting bound.
+k-th score the node cannot beat. The shards are searched in waves, the first of one
+shard and each later one larger; the k-th scores found so far are handed to the next
+wave's shards as their starting bound.
 """
 
 from __future__ import annotations
@@ -23,7 +24,9 @@ SHARD_ROWS = 16_384
 QUERY_ROWS = 16_384
 LEAF_ROWS = 256
 _FOUND = "query_id long, vec_id long, score long"
-_EXACT = 2.0**53
+WAVE_GROWTH = 16
+_EXACT, _LONG = 2.0**53, 2.0**62
+_LOWEST = -(2**63)
 
 
 class BallTree:
@@ -59,14 +62,14 @@ class Best:
     def __init__(self, queries: int, k: int, floor: np.ndarray):
         self.k, self.floor = k, floor
         self.row = np.empty(0, np.int64)
-        self.score = np.empty(0, np.float64)
+        self.score = np.empty(0, np.int64)
         self.id = np.empty(0, np.int64)
         self.kth = floor.copy()
         self.kth_id = np.full(queries, np.iinfo(np.int64).max)
 
     def add(self, row: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         row, score, ids = (np.concatenate(x) for x in ((self.row, row), (self.score, score), (self.id, ids)))
-        order = np.lexsort((ids, -score, row))
+        order = np.lexsort((ids, ~score, row))  # ~ turns the order round without overflow
         row, score, ids = row[order], score[order], ids[order]
         first = np.r_[True, row[1:] != row[:-1]]
         start = np.flatnonzero(first)
@@ -82,15 +85,29 @@ class Best:
 def search_shard(points, ids, queries, query_ids, floor, k, leaf_rows=LEAF_ROWS):
     """The k best rows of one shard for each query, rows below ``floor`` left out.
 
-    Components are whole numbers held as float64. Products that could leave
-    float64's exact range are computed with Python integers instead.
+    Components are whole numbers held as float64 and scores are 64-bit integers, exact at
+    every size: products that could leave float64's exact range are made with integers. A
+    score that doesn't fit is an error.
     """
     tree = BallTree(points, ids, leaf_rows)
     best = Best(len(queries), k, floor)
     norms = np.sqrt((queries**2).sum(axis=1))
     top = max(np.abs(points).max(initial=0.0) * np.abs(queries).max(initial=0.0) * points.shape[1], 1.0)
-    exact = top < _EXACT
-    slack = 1e-9 * top if exact else np.inf  # rounding of the bound itself
+    slack = 1e-9 * top  # rounding of the bound itself
+    if top >= _EXACT:
+        kind = np.int64 if top < _LONG and max(np.abs(points).max(), np.abs(queries).max()) < _LONG else object
+        whole = lambda x: x.astype(np.int64) if kind is np.int64 else np.array([int(v) for v in x.ravel()], object).reshape(x.shape)
+        whole_queries, whole_points = whole(queries), whole(tree.points)
+
+    def scored(active, start, end):
+        if top < _EXACT:
+            return (queries[active] @ tree.points[start:end].T).astype(np.int64)
+        found = whole_queries[active] @ whole_points[start:end].T
+        if kind is object:
+            if any(not -(2**63) <= v < 2**63 for v in found.ravel()):
+                raise ValueError("an inner product does not fit 64 bits")
+            found = found.astype(np.int64)
+        return found
 
     def bound(node, active):
         _, _, centre, radius, _, _ = tree.nodes[node]
@@ -98,8 +115,8 @@ def search_shard(points, ids, queries, query_ids, floor, k, leaf_rows=LEAF_ROWS)
 
     def visit(node, active, upper):
         start, end, _, _, smallest, children = tree.nodes[node]
-        kth, kth_id = best.kth[active], best.kth_id[active]
-        alive = (upper > kth) | ((upper == kth) & (smallest <= kth_id))
+        kth, kth_id = best.kth[active].astype(np.float64), best.kth_id[active]
+        alive = (upper > kth) | ((upper >= kth) & (smallest <= kth_id))
         active = active[alive]
         if not len(active):
             return
@@ -109,12 +126,7 @@ def search_shard(points, ids, queries, query_ids, floor, k, leaf_rows=LEAF_ROWS)
             for child in (first, 1 - first):
                 visit(children[child], active, uppers[child])
             return
-        if exact:
-            scores = queries[active] @ tree.points[start:end].T
-        else:
-            whole = queries[active].astype(object) * 1, tree.points[start:end].astype(object)
-            ints = [np.vectorize(int, otypes=[object])(x) if x.size else x for x in whole]
-            scores = np.clip((ints[0] @ ints[1].T).astype(np.float64), -9.2e18, 9.2e18)
+        scores = scored(active, start, end)
         own = tree.ids[start:end]
         kth, kth_id = best.kth[active][:, None], best.kth_id[active][:, None]
         r, c = np.nonzero(((scores > kth) | ((scores == kth) & (own[None, :] <= kth_id))) & (own[None, :] != query_ids[active][:, None]))
@@ -139,8 +151,8 @@ def _searcher(k: int):
         found = []
         if rows.num_rows and asked.num_rows:
             query_ids = asked["q_vec_id"].to_numpy()
-            best = search_shard(_matrix(rows["embedding"]), rows["vec_id"].to_numpy(), _matrix(asked["q_embedding"]), query_ids, asked["q_floor"].to_numpy().astype(np.float64), k)
-            found = [query_ids[best.row], best.id, best.score.astype(np.int64)]
+            best = search_shard(_matrix(rows["embedding"]), rows["vec_id"].to_numpy(), _matrix(asked["q_embedding"]), query_ids, asked["q_floor"].to_numpy(), k)
+            found = [query_ids[best.row], best.id, best.score]
         else:
             found = [np.empty(0, np.int64)] * 3
         return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, found))))
@@ -156,6 +168,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard_rows: int = SHA
     null, and vectors that hold a null or non-finite component, take no part. A row
     that is repeated is a candidate each time; a repeated query id is asked once, with
     its smallest vector. Fewer than k candidates give fewer rows, an empty table none.
+    Scores are exact; one that doesn't fit 64 bits fails the job.
     """
     spark = vectors.sparkSession
     finite = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf"))))
@@ -174,21 +187,23 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard_rows: int = SHA
     asked = asked.withColumn("width", F.size("embedding")).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     keys = ["shard", "block", "width"]
     search = _searcher(k)
-    lowest = F.lit(-9.3e18)
 
     def searched(rows: DataFrame, queries: DataFrame) -> DataFrame:
         # Both sides come from one table; aliases tell their columns apart.
         queries = queries.select(*(F.col(c).alias(f"q_{c}") for c in ("vec_id", "embedding", "floor", *keys)))
         return rows.groupBy(*keys).cogroup(queries.groupBy(*(f"q_{c}" for c in keys))).applyInArrow(lambda a, b: search(a, b), _FOUND)
 
-    first = searched(dealt.where("shard = 0"), asked.withColumn("shard", F.lit(0)).withColumn("floor", lowest))
-    if shards == 1:
-        found = first
-    else:
-        first = cut(first)
-        kth = first.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count("*") >= k, F.min("score")).alias("kth"))
-        rest = asked.join(kth, "vec_id", "left").withColumn("floor", F.coalesce(F.col("kth").cast("double"), lowest))
-        rest = rest.withColumn("shard", F.explode(F.sequence(F.lit(1), F.lit(shards - 1)))).select("vec_id", "embedding", "floor", *keys)
-        found = first.unionByName(searched(dealt.where("shard > 0"), rest))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found, low, high = None, 0, 1
+    while low < shards:
+        rest = asked.withColumn("floor", F.lit(_LOWEST))
+        if found is not None:
+            kth = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count("*") >= k, F.min("score")).alias("kth"))
+            rest = asked.join(kth, "vec_id", "left").withColumn("floor", F.coalesce("kth", F.lit(_LOWEST)))
+        rest = rest.withColumn("shard", F.explode(F.sequence(F.lit(low), F.lit(high - 1)))).select("vec_id", "embedding", "floor", *keys)
+        new = searched(dealt.where(F.col("shard").between(low, high - 1)), rest)
+        both = new if found is None else found.unionByName(new)
+        best = both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        low, high = high, min(shards, high + (high - low) * WAVE_GROWTH)
+        found = cut(best.drop("rank")) if low < shards else best
+    return found.select("query_id", "rank", "vec_id", "score")
