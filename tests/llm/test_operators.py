@@ -15,7 +15,7 @@ from importlib import import_module
 import numpy as np
 import pytest
 
-from wayline.llm import bpe, bpe_native, quality
+from wayline.llm import bpe, bpe_native, license_scan, quality
 from wayline.llm.decontaminate import MASKS, SHARE, SPAN, WINDOW, decontaminate, overlaps
 from wayline.llm import html_text
 from wayline.llm.html_text import extract, extract_main_text
@@ -383,6 +383,79 @@ def test_license_scan_tolerates_changes(spark):
     assert got == {1: ["MIT"], 2: ["MIT"], 3: [], 4: [], 5: [], 6: ["All-rights-reserved"], 7: ["CC-BY-SA-4.0"]}
 
 
+@pytest.mark.parametrize(("text", "want"), [
+    ("Licensed under the BSD License.", []),
+    ("Released under the GPL License.", []),
+    ("Licensed under the EUPL License.", []),
+    ("This is licensed under the GNU General Public License, version 2.", ["GPL-2.0"]),
+    ("Licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0"]),
+    ("Licensed under the GNU Affero General Public License, version 3.", ["AGPL-3.0"]),
+    ("This work is licensed under the GNU General Public License, version 3.", ["GPL-3.0"]),
+    ("Licensed under CC BY-ND 4.0.", ["CC-BY-ND-4.0"]),
+    ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0"]),
+    ("Licensed under CC BY-NC-ND 4.0.", ["CC-BY-NC-ND-4.0"]),
+    ("Licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0"]),
+    ("Licensed under CC BY 3.0.", ["CC-BY-3.0"]),
+    ("Licensed under the BSD 3-Clause License.", ["BSD-3-Clause"]),
+    ("# SPDX-License-Identifier: MPL-2.0", ["MPL-2.0"]),
+    ("// SPDX-License-Identifier: GPL-2.0-or-later", ["GPL-2.0"]),
+    (license_scan._BSD_HEAD + license_scan._BSD_DISCLAIMER, ["BSD-2-Clause"]),
+    (license_scan._BSD_HEAD + license_scan._BSD_THIRD + license_scan._BSD_DISCLAIMER, ["BSD-3-Clause"]),
+    (license_scan._ISC, ["ISC"]),
+    (license_scan._0BSD, ["0BSD"]),
+    (license_scan._MPL, ["MPL-2.0"]),
+    (license_scan._GNU.format("Lesser General Public License", "2.1"), ["LGPL-2.1"]),
+    ("I was licensed to drive under the law of the land, and the license was mine.", []),
+])
+def test_license_names(scanner, text, want):
+    words = license_scan.word_hashes("prose before it " + text + " and prose after it")
+    found = scanner.scan(words.tolist(), np.flatnonzero(scanner.hits(words)).tolist())
+    assert [scanner.templates[f[0]][0] for f in found] == want
+
+
+@pytest.fixture(scope="module")
+def scanner():
+    return license_scan.Scanner()
+
+
+def test_whole_license_texts(scanner):
+    rng = random.Random(3)
+    for name, kind, text, _ in license_scan.TEMPLATES:
+        if kind == "text" and len(text) > 8000:
+            words = text.split()
+            for i in rng.sample(range(60, len(words)), len(words) // 25):
+                words[i] = "changed"
+            hashes = license_scan.word_hashes("before " + " ".join(words))
+            found = scanner.scan(hashes.tolist(), np.flatnonzero(scanner.hits(hashes)).tolist())
+            assert found and scanner.templates[max(found, key=lambda f: f[2] - f[1])[0]][:2] == (name, "text")
+
+
+def plain_alignment(a, b):
+    """The number of matched words of a patience alignment, by the definition: recursion on slices."""
+    n = 0
+    while a and b and a[0] == b[0]:
+        a, b, n = a[1:], b[1:], n + 1
+    while a and b and a[-1] == b[-1]:
+        a, b, n = a[:-1], b[:-1], n + 1
+    unique = [(i, b.index(x)) for i, x in enumerate(a) if a.count(x) == 1 and b.count(x) == 1]
+    best = [[]]
+    for i, j in unique:
+        best.append([*max((s for s in best if not s or s[-1][1] < j), key=len), (i, j)])
+    chain = max(best, key=len)
+    if not chain:
+        return n
+    ends = [(-1, -1), *chain, (len(a), len(b))]
+    return n + len(chain) + sum(plain_alignment(a[p[0] + 1 : q[0]], b[p[1] + 1 : q[1]]) for p, q in zip(ends, ends[1:]))
+
+
+def test_patience_alignment_equals_a_plain_version():
+    rng = random.Random(16)
+    for _ in range(300):
+        a = [rng.randrange(25) for _ in range(rng.randrange(25))]
+        b = [x for x in a if rng.random() < 0.8] + [rng.randrange(25) for _ in range(rng.randrange(4))]
+        assert len(align(a, b)) == plain_alignment(a, b) or len(set(a)) < len(a)
+
+
 def test_patience_alignment_is_common_and_ordered():
     rng = random.Random(6)
     for _ in range(200):
