@@ -37,13 +37,13 @@ def weather_key(lat: str, lon: str, ts: str) -> Column:
 
 def charge_type(ac_kwh: Column, dc_kwh: Column, least: float = 0.5) -> Column:
     both = (ac_kwh >= least) & (dc_kwh >= least)
-    return F.when(ac_kwh.isNull() & dc_kwh.isNull(), "estimated").when(both, "Mix").when(ac_kwh >= least, "AC").otherwise("DC charge")
+    return F.when(ac_kwh.isNull() & dc_kwh.isNull(), "estimated").when(both, "Mix charge").when(ac_kwh >= least, "AC charge").otherwise("DC charge")
 
 
 def leg_type(kind: Column, ac_kwh: Column, dc_kwh: Column, start_home: Column, end_home: Column, km: Column) -> Column:
     """Charge rows by current and place, trips by the ends they have at home."""
     ac, dc = F.abs(F.coalesce(ac_kwh, F.lit(0.0))) > 1, F.abs(F.coalesce(dc_kwh, F.lit(0.0))) > 1
-    current = F.when(ac & dc, "Mix").when(ac, "AC").when(dc, "DC").otherwise("Charge")
+    current = F.when(ac & dc, "AC/DC").when(ac, "AC").when(dc, "DC").otherwise("Charge")
     trip = F.when(start_home & end_home & (km > 5), "Round Trip").when(start_home & end_home, "In House").when(start_home, "Outbound").when(end_home, "Return").otherwise("In Transit")
     return F.when(kind == "charge", F.concat_ws(" ", current, F.when(start_home, "Home").otherwise("Away"))).when(kind == "stop", "Stop").otherwise(trip)
 
@@ -69,9 +69,34 @@ def resource_url(base: Column, path: str, start: Column, end: Column, uri: Colum
 
 
 def spelling_variants(registration: Column) -> Column:
-    """The spellings a registration is looked up by: as given, without blanks, parted after four and after two, in capitals."""
-    plain = F.regexp_replace(F.upper(registration), r"\s+", "")
-    return F.array_distinct(F.array(registration, F.upper(registration), plain, F.regexp_replace(plain, "^(.{4})(.+)$", "$1 $2"), F.regexp_replace(plain, "^(.{2})(.+)$", "$1 $2")))
+    """The spellings a registration is looked up by, in order, each once: without blanks, as given, parted
+    after the fourth of two letters, two digits and three letters, at the change from letters to
+    digits (after the digits first, if letters follow), and before the last three characters."""
+    raw = F.upper(F.trim(F.coalesce(registration, F.lit(""))))
+    plain = F.regexp_replace(raw, " ", "")
+    part = lambda i: F.regexp_extract(plain, "^([A-Z]+)([0-9]+)([A-Z]*)$", i)
+    mixed = plain.rlike("^[A-Z]+[0-9]+[A-Z]*$")
+    found = F.array(
+        plain, raw, F.when(plain.rlike("^[A-Z]{2}[0-9]{2}[A-Z]{3}$"), F.regexp_replace(plain, "^(.{4})", "$1 ")),
+        F.when(mixed & (part(3) != ""), F.concat(part(1), part(2), F.lit(" "), part(3))), F.when(mixed, F.concat(part(1), F.lit(" "), part(2), part(3))),
+        F.when(F.length(plain) >= 5, F.regexp_replace(plain, "(.{3})$", " $1")),
+    )
+    return F.array_distinct(F.filter(found, lambda x: x.isNotNull() & (x != "")))
+
+
+def operator_token(description: Column, makers: list[str], prefix: str = "Round Robin") -> Column:
+    """The operator that a description ``<prefix>: <operator>-<maker>`` names (words may stand before the prefix); null if it isn't one."""
+    pattern = rf"(?i)^\s*(?:\w+\s+)?{prefix.replace(' ', chr(92) + 's+')}:\s*(.+?)\s*-\s*(?:{'|'.join(makers)})\s*$"
+    return F.nullif(F.trim(F.regexp_extract(description, pattern, 1)), F.lit(""))
+
+
+def upper_snake(text: Column) -> Column:
+    return F.upper(F.trim(F.regexp_replace(F.trim(text), "[^A-Za-z0-9]+", "_"), F.lit("_")))
+
+
+def cell_is_empty(text: Column) -> Column:
+    """Whether a cell is null or blank; the missing-value formula is no empty cell."""
+    return text.isNull() | (F.trim(text) == "")
 
 
 def fractional_days(start: Column, end: Column) -> Column:

@@ -60,25 +60,58 @@ def logger_means(samples: DataFrame, keys: list[str], least_mass: int = 5) -> Da
     return samples.groupBy(*keys).agg(F.avg("temperature").alias("temperature"), F.avg("pressure").alias("pressure"), F.avg("humidity").alias("humidity"), F.when(enough, F.median(mass)).alias("mass_kg"), F.when(enough, F.stddev_samp(mass) / F.avg(mass)).alias("mass_cv"))
 
 
+def home_points(rows: DataFrame) -> DataFrame:
+    """``vehicle_id, home_leg, home_lat, home_lon``: where the first located charge stood, by leg and then segment."""
+    located = rows.where((F.col("kind") == "charge") & F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    first = located.groupBy("vehicle_id").agg(F.min(F.struct("leg_id", "seg_no", "lat", "lon")).alias("h"))
+    return first.select("vehicle_id", F.col("h.leg_id").alias("home_leg"), F.col("h.lat").alias("home_lat"), F.col("h.lon").alias("home_lon"))
+
+
 def relabel_home(rows: DataFrame, within_km: float = 0.5) -> DataFrame:
-    """Charges within ``within_km`` of the vehicle's first located charge are at home."""
+    """``rows`` with ``at_home`` for charges, and ``start_home`` and ``end_home`` for trips (lat_start, ... lon_end).
+
+    Home is where the vehicle's first located charge stood. All its charges within
+    ``within_km`` are at home; trips only in legs after the one of that charge.
+    """
     from ..functions.scalars import distance_km
 
-    place = F.when((F.col("kind") == "charge") & F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.struct("leg_id", "seg_no"))
-    home = F.min_by(F.struct("lat", "lon"), place).over(Window.partitionBy("vehicle_id"))
-    marked = rows.withColumn("__home", home)
-    near = distance_km(F.col("lat"), F.col("lon"), F.col("__home.lat"), F.col("__home.lon")) < within_km
-    return marked.withColumn("at_home", F.when(F.col("kind") == "charge", F.coalesce(near, F.lit(False)))).drop("__home")
+    marked = rows.join(home_points(rows), "vehicle_id", "left")
+    near = lambda lat, lon: F.coalesce(distance_km(F.col(lat), F.col(lon), F.col("home_lat"), F.col("home_lon")) < within_km, F.lit(False))
+    charge, later = F.col("kind") == "charge", F.coalesce(F.col("leg_id") > F.col("home_leg"), F.lit(False))
+    new = {"at_home": F.when(charge, near("lat", "lon"))}
+    if "lat_start" in rows.columns:
+        new |= {"start_home": F.when(~charge, later & near("lat_start", "lon_start")), "end_home": F.when(~charge, later & near("lat_end", "lon_end"))}
+    return marked.withColumns(new).drop("home_leg", "home_lat", "home_lon")
 
 
-def leg_operator(legs: DataFrame, tokens: DataFrame, organisations: DataFrame, settings: DataFrame) -> DataFrame:
-    """Each leg's operator code and where it is from: the trial's description, the organisation, the dated
-    setting, or none. The three lookups (token/code, name/code, vehicle/dates/code) are small tables."""
-    token = F.upper(F.regexp_extract("trial_desc", r"(?i)operator[:\s_-]+([A-Za-z0-9]+)", 1))
-    name = F.trim(F.regexp_replace(F.upper("organisation"), r"[^A-Z0-9]+", "_"), F.lit("_"))
-    rows = legs.withColumns({"token": token, "org": name}).join(tokens.select("token", F.col("code").alias("trial_code")), "token", "left").join(organisations.select(F.col("name").alias("org"), F.col("code").alias("org_code")), "org", "left")
+def nearest_place(points: DataFrame, places: DataFrame, ident: list[str], within_km: float = 0.5) -> DataFrame:
+    """``points`` (lat, lon) with the ``postcode`` of the nearest of ``places`` (lat, lon, postcode) within reach, null if none.
+
+    Both sides meet in cells of a hundredth of a degree (at least as large as the reach up to 60 degrees of latitude)."""
+    from ..functions.scalars import distance_km
+
+    cell = lambda c, by=0: (F.floor(F.col(c) * 100) + by).cast("long")
+    at = points.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(*ident, F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), cell("lat").alias("y"), cell("lon").alias("x"))
+    near = F.array(*(F.lit(i) for i in (-1, 0, 1)))
+    spread = places.withColumn("dy", F.explode(near)).withColumn("dx", F.explode(near)).select("postcode", "lat", "lon", (cell("lat") + F.col("dy")).alias("y"), (cell("lon") + F.col("dx")).alias("x"))
+    met = at.join(spread, ["y", "x"]).withColumn("km", distance_km(F.col("p_lat"), F.col("p_lon"), F.col("lat"), F.col("lon"))).where(F.col("km") <= within_km)
+    best = met.groupBy(*ident).agg(F.min(F.struct("km", "postcode")).alias("best")).select(*ident, F.col("best.postcode").alias("postcode"))
+    return points.join(best, ident, "left")
+
+
+def leg_operator(legs: DataFrame, tokens: DataFrame, organisations: DataFrame, settings: DataFrame, makers: list[str], generic: tuple[str, ...] = ()) -> DataFrame:
+    """Each leg's operator code and where it is from: the trial's description, the organisation, the dated setting,
+    or none. The lookups (token/code, name/code in lower case, vehicle/dates/code) are small tables; a token
+    that isn't in its table gives itself in capitals with underscores, an organisation only what the table has."""
+    from ..functions.scalars import operator_token, upper_snake
+
+    rows = legs.withColumns({"token": operator_token(F.col("trial_desc"), makers), "org": F.lower(F.trim("organisation"))})
+    rows = rows.join(tokens.select(F.lower("token").alias("__token"), F.col("code").alias("known_code")), F.lower("token") == F.col("__token"), "left")
+    named = organisations.where(~F.lower("name").isin(*generic)) if generic else organisations
+    rows = rows.join(named.select(F.lower("name").alias("__org"), F.col("code").alias("org_code")), F.col("org") == F.col("__org"), "left")
+    rows = rows.withColumn("trial_code", F.coalesce("known_code", upper_snake(F.col("token"))))
     dated = legs.join(settings, "vehicle_id").where((F.col("valid_from") <= F.col("leg_date")) & (F.col("valid_to").isNull() | (F.col("leg_date") < F.col("valid_to"))))
     dated = dated.groupBy("vehicle_id", "leg_id").agg(F.min_by("code", "valid_from").alias("dated_code"))
     rows = rows.join(dated, ["vehicle_id", "leg_id"], "left")
     source = F.when(F.col("trial_code").isNotNull(), "trial").when(F.col("org_code").isNotNull(), "organisation").when(F.col("dated_code").isNotNull(), "config")
-    return rows.withColumns({"operator": F.coalesce("trial_code", "org_code", "dated_code"), "operator_source": source}).drop("token", "org", "trial_code", "org_code", "dated_code")
+    return rows.withColumns({"operator": F.coalesce("trial_code", "org_code", "dated_code"), "operator_source": source}).drop("token", "org", "__token", "__org", "known_code", "trial_code", "org_code", "dated_code")

@@ -56,18 +56,17 @@ def grade(rows: DataFrame, capacity: str = "referee_kwh") -> DataFrame:
         "SPEED": (part(km, hours), lambda v: _above(v, "SPEED")),
         "EP_RANGE": (F.col("ep"), lambda v: F.greatest(_below(v, "EP_LOW"), _above(v, "EP_HIGH"))),
     }
-    findings = []
-    for place, name in enumerate(ORDER):
-        value, level = values[name]
-        severity = F.when(value.isNull(), 0).otherwise(level(value))
-        text = F.concat(F.lit(name + " "), F.format_string("%.0f" if name == "SPEED" else "%.2f", value))
-        findings.append(F.struct((-severity).alias("rank"), F.lit(place).alias("place"), F.coalesce(text, F.lit(name)).alias("text")))
-    hits = F.array_sort(F.filter(F.array(*findings), lambda x: x["rank"] < 0))
-    rows = rows.withColumn("__hits", hits)
-    worst = F.coalesce(-F.get("__hits", F.lit(0))["rank"], F.lit(0))
+    # Severities first, as plain numbers; texts are written only for findings.
+    severity = {f"__s{i}": F.when(values[name][0].isNull(), 0).otherwise(values[name][1](values[name][0])) for i, name in enumerate(ORDER)}
+    found = rows.withColumns({f"__v{i}": values[name][0] for i, name in enumerate(ORDER)}).withColumns(severity)
     graded = F.col("ep").isNotNull() & (F.col("energy_source") != "distance_only")
-    reason = F.when(graded, F.array_join(F.transform("__hits", lambda x: x["text"]), "; ")).when(F.col("energy_source") == "distance_only", "NO_ENERGY")
-    return rows.withColumns({"grade": F.when(graded, F.element_at(F.array(F.lit("good"), F.lit("caution"), F.lit("poor")), worst + 1)), "reason": reason}).drop("__hits")
+    worst = F.greatest(*severity)
+    found = found.withColumn("__worst", F.when(graded, worst))
+    text = lambda i, name: F.concat(F.lit(name + " "), F.format_string("%.0f" if name == "SPEED" else "%.2f", F.col(f"__v{i}")))
+    hit = lambda level: [F.when(F.col(f"__s{i}") == level, text(i, name)) for i, name in enumerate(ORDER)]
+    reason = F.when(F.col("__worst") > 0, F.concat_ws("; ", *hit(2), *hit(1))).when(F.col("__worst") == 0, "").when(F.col("energy_source") == "distance_only", "NO_ENERGY")
+    grades = F.when(F.col("__worst") == 2, "poor").when(F.col("__worst") == 1, "caution").when(F.col("__worst") == 0, "good")
+    return found.withColumns({"grade": grades, "reason": reason}).select(*rows.columns, "grade", "reason")
 
 
 def grade_tally(graded: DataFrame, keys: list[str]) -> DataFrame:

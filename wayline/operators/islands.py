@@ -97,6 +97,24 @@ def discharge_blocks(rows: DataFrame, plateau_min: float = 60.0, rise_abort: flo
     return _soc_blocks(rows, -1, plateau_min, rise_abort).where((-F.col("delta_soc") >= min_drop) & (F.col("delta_soc") < 0))
 
 
+def stop_segments(segments: DataFrame, least_seconds: float = 60.0) -> DataFrame:
+    """Stop rows as segments: times, the charge at both ends, the place where the row before ended (or the next
+    one starts) and that row's mass and distance so far; no distance, no energy."""
+    w = Window.partitionBy("vehicle_id").orderBy("start_ts", "end_ts")
+    has = set(segments.columns)
+    follow = F.lead(F.struct("start_ts", *(c for c in ("start_soc", "lat_start", "lon_start") if c in has))).over(w)
+    gaps = segments.withColumn("__next", follow).where(us("__next.start_ts") - us("end_ts") > int(least_seconds * 1_000_000))
+    made = {"kind": F.lit("stop"), "start_ts": F.col("end_ts"), "end_ts": F.col("__next.start_ts"), "distance_km": F.lit(0.0)}
+    if "start_soc" in has:
+        made |= {"start_soc": F.col("end_soc"), "end_soc": F.col("__next.start_soc"), "delta_soc": F.col("__next.start_soc") - F.col("end_soc")}
+    if "lat_start" in has:
+        for x in ("lat", "lon"):
+            place = F.coalesce(f"{x}_end", F.col(f"__next.{x}_start"))
+            made |= {f"{x}_start": place, f"{x}_end": place}
+    kept = [c for c in ("vehicle_id", "leg_id", "mass_kg", "cumulative_km") if c in has]
+    return gaps.select(*kept, *(v.alias(k) for k, v in made.items()))
+
+
 def stop_rows(segments: DataFrame, least_seconds: float = 60.0, keys: tuple[str, ...] = ("vehicle_id",)) -> DataFrame:
     """A row for each gap of more than ``least_seconds`` between a segment and the next."""
     w = Window.partitionBy(*keys).orderBy("start_ts", "end_ts")
@@ -116,11 +134,22 @@ def merge_adjacent(segments: DataFrame, max_gap_min: float) -> DataFrame:
     rows = segments.withColumn("before", before)
     joins = (us("start_ts") - us("before.end_ts") < int(max_gap_min * MINUTE)) & (F.col("mass_class") == F.col("before.mass_class")) & ~F.col("charge_between") & (F.col("energy_source") != "distance_only") & (F.col("before.energy_source") != "distance_only")
     rows = rows.withColumn("group", F.sum((~F.coalesce(joins, F.lit(False))).cast("long")).over(w))
-    worst = F.when(F.col("energy_source") == "soc_estimate", 2).when(F.col("energy_source") == "moving_energy", 1).otherwise(0)
+    # The better source names the whole: total, then moving energy, then the charge.
+    better = F.struct(F.when(F.col("energy_source") == "total_energy", 0).when(F.col("energy_source") == "moving_energy", 1).when(F.col("energy_source") == "soc_estimate", 2).otherwise(9), "start_ts")
+    has = lambda names: [c for c in names if c in segments.columns]
+    firsts = has(["start_soc", "odo_start_km", "lat_start", "lon_start", "anchor_start_ts", "anchor_start_kwh", "seg"])
+    lasts = has(["end_soc", "odo_end_km", "lat_end", "lon_end", "anchor_end_ts", "anchor_end_kwh"])
     merged = rows.groupBy(*LEG, "group").agg(
         F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"), F.count("*").alias("n_parts"), F.first("mass_class").alias("mass_class"),
-        F.max_by("energy_source", worst).alias("energy_source"), F.when(F.count("delta_kwh") == F.count("*"), F.sum("delta_kwh")).alias("delta_kwh"),
+        F.min_by("energy_source", better).alias("energy_source"), F.when(F.count("delta_kwh") == F.count("*"), F.sum("delta_kwh")).alias("delta_kwh"),
+        *(F.min_by(c, F.struct("start_ts", "end_ts")).alias(c) for c in firsts), *(F.max_by(c, F.struct("start_ts", "end_ts")).alias(c) for c in lasts),
+        *(F.bool_or(c).alias(c) for c in has(["outside_band", "odometer_confirmed"])), *(F.when(F.count("*") == 1, F.first(c)).alias(f"__{c}") for c in has(["delta_moving_kwh", "capacity_kwh"])),
     )
+    if "start_soc" in segments.columns:
+        merged = merged.withColumns({"delta_soc": F.col("end_soc") - F.col("start_soc"), "distance_km": F.col("odo_end_km") - F.col("odo_start_km")})
+        outside = F.coalesce("outside_band", F.lit(False)) if "outside_band" in segments.columns else F.lit(False)
+        capacity = F.when((F.abs("delta_soc") > 0) & ~outside, F.abs("delta_kwh") / (F.abs("delta_soc") / 100))
+        merged = merged.withColumns({"capacity_kwh": F.when(F.col("n_parts") > 1, capacity).otherwise(F.col("__capacity_kwh")), "delta_moving_kwh": F.col("__delta_moving_kwh")}).drop("__capacity_kwh", "__delta_moving_kwh")
     return merged.drop("group")
 
 

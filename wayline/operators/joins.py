@@ -73,17 +73,21 @@ def in_interval(samples: DataFrame, windows: DataFrame, ident: list[str], bucket
 
 
 def subtract_intervals(trips: DataFrame, charges: DataFrame, ident: list[str]) -> DataFrame:
-    """The parts of each trip outside all charges (c_start, c_end), in time order."""
-    pairs = overlapping(trips, charges.withColumnsRenamed({"c_start": "o_start", "c_end": "o_end"}), LEG)
-    pairs = pairs.where((F.col("o_start") < F.col("end_ts")) & (F.col("o_end") > F.col("start_ts")))
-    w = Window.partitionBy(*LEG, *ident).orderBy("o_start", "o_end")
-    done = F.max("o_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    cut = pairs.withColumn("cursor", F.greatest("start_ts", done))
-    heads = cut.where("o_start > cursor").select(*LEG, *ident, F.col("cursor").alias("part_start"), F.col("o_start").alias("part_end"))
-    ends = pairs.groupBy(*LEG, *ident, "start_ts", "end_ts").agg(F.max("o_end").alias("last"))
-    tails = ends.where("last < end_ts").select(*LEG, *ident, F.col("last").alias("part_start"), F.col("end_ts").alias("part_end"))
-    whole = trips.join(ends.select(*LEG, *ident), [*LEG, *ident], "left_anti").select(*LEG, *ident, F.col("start_ts").alias("part_start"), F.col("end_ts").alias("part_end"))
-    return heads.unionByName(tails).unionByName(whole)
+    """The parts of each trip outside all charges (c_start, c_end), ``part_start`` and ``part_end``, with the trip's other
+    columns and ``cut``, whether a charge overlapped it. A trip that charges cover leaves no part."""
+    keys = [*LEG, *(c for c in ident if c not in LEG)]
+    other = charges.where("c_start < c_end").select(*LEG, F.col("c_start").alias("o_start"), F.col("c_end").alias("o_end"))
+    pairs = overlapping(trips.select(*keys, "start_ts", "end_ts"), other, LEG).where((F.col("o_start") < F.col("end_ts")) & (F.col("o_end") > F.col("start_ts")))
+    # A trip meets few charges: their ends so far give each part's start.
+    cuts = pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("o_start", "o_end"))).alias("__cuts"))
+    rows = trips.join(cuts, keys, "left")
+    part = lambda a, b: F.array(F.struct(a.alias("part_start"), b.alias("part_end")))
+    begin = F.struct(F.array().cast("array<struct<part_start:timestamp,part_end:timestamp>>").alias("parts"), F.col("start_ts").alias("cursor"))
+    walk = F.aggregate("__cuts", begin, lambda s, c: F.struct(F.when(c["o_start"] > s["cursor"], F.concat(s["parts"], part(s["cursor"], c["o_start"]))).otherwise(s["parts"]).alias("parts"), F.greatest(s["cursor"], c["o_end"]).alias("cursor")))
+    rows = rows.withColumn("__walk", walk)
+    tail = F.when(F.col("__walk.cursor") < F.col("end_ts"), F.concat("__walk.parts", part(F.col("__walk.cursor"), F.col("end_ts")))).otherwise(F.col("__walk.parts"))
+    parts = F.when(F.col("__cuts").isNull(), part(F.col("start_ts"), F.col("end_ts"))).otherwise(tail)
+    return rows.select(*trips.columns, F.col("__cuts").isNotNull().alias("cut"), F.inline(parts))
 
 
 def reconcile_charges(charges: DataFrame, trips: DataFrame, ident: list[str]) -> DataFrame:
@@ -113,7 +117,8 @@ def charge_between(trips: DataFrame, charges: DataFrame) -> DataFrame:
 
 def dated_setting(rows: DataFrame, settings: DataFrame, day: str = "leg_date") -> DataFrame:
     """``rows`` with the ``value`` of the first settings window that holds the day: from it on, before
-    its open or given end."""
-    hit = rows.join(settings, "vehicle_id").where((F.col("valid_from") <= F.col(day)) & (F.col("valid_to").isNull() | (F.col(day) < F.col("valid_to"))))
+    its open or given end. Days are looked up once each, not row by row."""
+    days = rows.select("vehicle_id", day).distinct()
+    hit = days.join(settings, "vehicle_id").where((F.col("valid_from") <= F.col(day)) & (F.col("valid_to").isNull() | (F.col(day) < F.col("valid_to"))))
     hit = hit.groupBy("vehicle_id", day).agg(F.min_by("value", "valid_from").alias("value"))
     return rows.join(hit, ["vehicle_id", day], "left")

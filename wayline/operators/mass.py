@@ -88,12 +88,21 @@ def dominant_class(samples: DataFrame, keys: list[str], over_kmh: float = 1.0) -
     return samples.groupBy(*keys).agg(F.coalesce(F.mode(moving, True), F.mode("mass_class", True)).alias("mass_class"))
 
 
-def class_changes(rows: DataFrame, keys: list[str], window_min: float = 10.0, over_kmh: float = 1.0) -> DataFrame:
-    """``keys, split_ts, from_class, to_class`` where the class of moving readings changes next to a standing sample."""
+def standing_near(rows: DataFrame, window_min: float) -> DataFrame:
+    """``rows`` of whole legs with ``stands_near``: whether a standing sample lies within half the window on either side."""
     half = int(window_min * 30_000_000)
     near = Window.partitionBy(*LEG).orderBy("__us").rangeBetween(-half, half)
     standing = F.max((F.coalesce("speed_kmh", F.lit(0.0)) == 0).cast("int")).over(near) == 1
-    marked = rows.withColumn("__us", F.unix_micros("ts")).withColumn("stands_near", standing)
+    return rows.withColumn("__us", F.unix_micros("ts")).withColumn("stands_near", standing).drop("__us")
+
+
+def class_changes(samples: DataFrame, keys: list[str], window_min: float | None = 10.0, over_kmh: float = 1.0) -> DataFrame:
+    """``keys, split_ts, from_class, to_class`` where the class of a segment's moving samples changes next to a standing one.
+
+    ``samples`` are those of the segments; with ``stands_near`` (see ``standing_near``) the standing
+    sample may lie outside the segment. ``window_min`` None asks for none.
+    """
+    marked = samples if "stands_near" in samples.columns else samples.withColumn("stands_near", F.lit(True)) if window_min is None else standing_near(samples, window_min)
     moving = marked.where((F.col("speed_kmh") > over_kmh) & F.col("mass_class").isNotNull())
     before = F.lag("mass_class").over(Window.partitionBy(*keys).orderBy("ts", "row_no"))
     return moving.withColumn("from_class", before).where((F.col("from_class") != F.col("mass_class")) & F.col("stands_near")).select(*keys, F.col("ts").alias("split_ts"), "from_class", F.col("mass_class").alias("to_class"))

@@ -12,32 +12,6 @@ from .joins import as_of, in_interval
 G, ETA = 9.81, 0.90
 
 
-def measure_windows(windows: DataFrame, rows: DataFrame, capacity_kwh: float, min_soc_drop: float = 0.0) -> DataFrame:
-    """``windows`` (LEG, seg_no, start_ts, end_ts) with end points and energy of each.
-
-    State of charge: first and last reading inside, else the nearest before and after.
-    Energy, negative for use: the total counter between its readings at or before the
-    start and at or after the end, else the moving counter, else the state of charge.
-    """
-    keys = [*LEG, "seg_no"]
-    at = F.struct("ts", "row_no")
-    known = F.when(F.col("soc").isNotNull(), at)
-    inside = in_interval(rows, windows, keys).groupBy(*keys).agg(F.min_by("soc", known).alias("soc_first"), F.max_by("soc", known).alias("soc_last"))
-    found = windows
-    for value in ("soc", "odometer_km", "total_wh", "moving_wh"):
-        for side, at_column, direction in (("start", "start_ts", "backward"), ("end", "end_ts", "forward")):
-            keep = [c for c in found.columns if c not in LEG and c != at_column]
-            found = as_of(found, rows, value, keep, direction, at_column).withColumnsRenamed({value: f"{side}_{value}", f"{value}_ts": f"{side}_{value}_ts"})
-    found = found.join(inside, keys, "left").withColumns({"start_soc": F.coalesce("soc_first", "start_soc"), "end_soc": F.coalesce("soc_last", "end_soc")}).drop("soc_first", "soc_last")
-    delta_soc = F.col("end_soc") - F.col("start_soc")
-    used = lambda c: (F.col(f"start_{c}") - F.col(f"end_{c}")) / 1000
-    total, moving, estimate = used("total_wh"), used("moving_wh"), delta_soc / 100 * capacity_kwh
-    source = F.when(total < 0, "total_energy").when(moving < 0, "moving_energy").when(estimate < 0, "soc_estimate")
-    energy = F.when(total < 0, total).when(moving < 0, moving).when(estimate < 0, estimate)
-    distance = F.col("end_odometer_km") - F.col("start_odometer_km")
-    return found.withColumns({"delta_soc": delta_soc, "energy_source": source, "delta_kwh": energy, "distance_km": F.when(distance >= 0, distance), "capacity_kwh": F.when(delta_soc < 0, energy / delta_soc * 100)}).where(F.coalesce(-delta_soc >= min_soc_drop, F.lit(True)))
-
-
 def in_band(capacity: Column, nominal_kwh: float | None, low: float = 0.5, high: float = 2.0) -> Column:
     return F.lit(True) if nominal_kwh is None else capacity.between(nominal_kwh * low, nominal_kwh * high)
 
@@ -107,12 +81,48 @@ def speed_distance(samples: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def running_distance(rows: DataFrame) -> DataFrame:
-    """Distance of the trips so far, null on charges."""
+    """Distance of the trips so far, in the order of legs and segments; null on charges, on stops the row's before."""
     w = Window.partitionBy("vehicle_id").orderBy("leg_id", "start_ts", "seg_no").rowsBetween(Window.unboundedPreceding, 0)
     is_trip = F.col("kind") == "discharge"
     return rows.withColumn("cumulative_km", F.when(is_trip, F.sum(F.when(is_trip, F.col("distance_km"))).over(w)))
 
 
+def height_difference(samples: DataFrame, keys: list[str], altitude: str = "altitude_m") -> DataFrame:
+    """``keys, height_m``: last less first known altitude in time order, from two on, to one decimal."""
+    return samples.groupBy(*keys).agg(F.round(counter_change(altitude), 1).alias("height_m"))
+
+
+def propulsion_change(windows: DataFrame, rows: DataFrame, ident: list[str], value: str = "propulsion_wh") -> DataFrame:
+    """``windows`` with ``propulsion_kwh``: the counter's change between its values at both ends, on the lines between
+    readings; where the window reaches beyond them, last less first reading inside, from two on. Never negative."""
+    from .segments import around, line_at
+
+    found = around(windows, rows, [value], ident)
+    lines = line_at(f"{value}_b1", f"{value}_a1", F.col("end_ts")) - line_at(f"{value}_b0", f"{value}_a0", F.col("start_ts"))
+    inside = F.when(F.col(f"{value}_n") >= 2, (F.col(f"{value}_b1.v") - F.col(f"{value}_a0.v")).cast("double"))
+    change = F.coalesce(lines, inside) / 1000
+    return found.withColumn("propulsion_kwh", F.when(change >= 0, change)).drop(*(f"{value}_{x}" for x in ("b0", "a0", "b1", "a1", "n")))
+
+
+def corrected_performance(kwh: Column, km: Column, correction: Column, most_share: float = 0.8) -> Column:
+    """Energy for each kilometre without the correction; null where the correction is over ``most_share`` of the energy."""
+    return F.when(F.abs(correction) <= most_share * F.abs(kwh), energy_performance(kwh, km, correction))
+
+
+def battery_power(kwh: Column, start: Column, end: Column) -> Column:
+    hours = (F.unix_micros(end) - F.unix_micros(start)) / 3.6e9
+    return F.when(hours > 0, kwh / F.nullif(hours, F.lit(0.0)))
+
+
+def performance_without_aux(propulsion_kwh: Column, recuperation_kwh: Column, km: Column) -> Column:
+    return F.when(km > 0, (propulsion_kwh - recuperation_kwh) / F.nullif(km, F.lit(0.0)))
+
+
+def rising(change: Column, strict: bool = True) -> Column:
+    """A counter's change if it is positive (not strict: or zero), else null."""
+    return F.when(change > 0 if strict else change >= 0, change)
+
+
 def diesel_trips(trips: DataFrame, lhv_kwh_per_l: float = 10.0, min_km: float = 1.0) -> DataFrame:
     """Diesel trips worth a row, energy from fuel, and mass carried over from the trip before.
 

@@ -308,13 +308,9 @@ def _(spark, d):
 def _(spark, d):
     rows = _classed(spark, d)
     # The standing sample may lie outside the trip, so the window runs over the leg first.
-    half = 43_200_000_000
-    near = Window.partitionBy(*src.LEG).orderBy("us").rangeBetween(-half, half)
-    marked = rows.withColumn("near", F.max((F.coalesce("speed_kmh", F.lit(0.0)) == 0).cast("int")).over(near))
-    samples = joins.in_interval(marked, trips_of(rows), ID).where("speed_kmh > 1 and mass_class is not null")
-    before = F.lag("mass_class").over(Window.partitionBy(*ID).orderBy("ts", "row_no"))
-    changed = samples.withColumn("from_class", before).where("from_class <> mass_class and near = 1")
-    return changed.select("vehicle_id", "seg", F.col("us").alias("split_us"), F.col("from_class").cast("int").alias("from_class"), F.col("mass_class").cast("int").alias("to_class"))
+    samples = joins.in_interval(mass.standing_near(rows, 1440), trips_of(rows), ID)
+    changed = mass.class_changes(samples, ID)
+    return changed.select("vehicle_id", "seg", us("split_ts").alias("split_us"), F.col("from_class").cast("int").alias("from_class"), F.col("to_class").cast("int").alias("to_class"))
 
 
 @query("n12_merge_adjacent", TRIPS_SQL, CHARGES_SQL, BETWEEN_SQL, """mm AS (SELECT *, lag(seg % 3) OVER w AS pc, lag(end_us) OVER w AS pe FROM cb WINDOW w AS (PARTITION BY vehicle_id ORDER BY start_us, end_us))""",
@@ -490,7 +486,7 @@ def _(spark, d):
     return found.select("vehicle_id", "temperature", (F.floor(F.col("wind_deg") * 1e4 + 0.5).cast("long") % 3_600_000).alias("wind_1e4"), "weather_kind")
 
 
-@query("p_scalars", """SELECT c_custkey, ['N', 'NE', 'E', 'SE', 'S', 'SW', 'W', 'NW'][CAST(round_even(c_custkey * 9.0 / 45, 0) AS BIGINT) % 8 + 1] AS compass, CASE WHEN c_acctbal > 5000 AND c_custkey % 7 >= 3 THEN 'Mix' WHEN c_acctbal > 5000 THEN 'AC' ELSE 'DC charge' END AS charge,
+@query("p_scalars", """SELECT c_custkey, ['N', 'NE', 'E', 'SE', 'S', 'SW', 'W', 'NW'][CAST(round_even(c_custkey * 9.0 / 45, 0) AS BIGINT) % 8 + 1] AS compass, CASE WHEN c_acctbal > 5000 AND c_custkey % 7 >= 3 THEN 'Mix charge' WHEN c_acctbal > 5000 THEN 'AC charge' ELSE 'DC charge' END AS charge,
     CASE WHEN c_custkey % 4 = 0 THEN CASE WHEN c_custkey % 10 > 5 THEN 'Round Trip' ELSE 'In House' END WHEN c_custkey % 4 = 1 THEN 'Outbound' WHEN c_custkey % 4 = 2 THEN 'Return' ELSE 'In Transit' END AS leg_type FROM customer""")
 def _(spark, d):
     k = F.col("c_custkey")
@@ -551,5 +547,10 @@ def trip_report(spark, d):
 
 @query("ev_report")
 def _(spark, d):
-    report = ev_report(telematics(spark, d), TRIPS, CHARGES, spike_pct=3.0)
-    return shown(report, "vehicle_id", "kind", "start_ts", "end_ts", "distance_km", "delta_kwh", "delta_soc", "cumulative_km")
+    from .segment_queries import LIMITS, full
+
+    report = ev_report(full(spark, d), TRIPS, CHARGES, LIMITS, spike_pct=3.0, confirmed_km=0.5, split_by_mass=True, merge_gap_min=360.0, reconcile=True)
+    return shown(report, *report.columns)
+
+
+from . import segment_queries  # noqa: E402,F401  registers its own
