@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe_native import PATTERN, load_ranks, pair_table
-from .common import text_or_empty
+from .common import giving_back, text_or_empty
 
 NONE = np.int64(1 << 20)
 LONG_WORD = 128  # bytes; longer ones are merged one by one
@@ -184,7 +184,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...] = ("d
             arrays = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], arrays], names=[*batch.schema.names[:-1], "ids"])
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return source.mapInArrow(giving_back(run), T.StructType([*source.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 def _joined(pieces: pa.Array, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
@@ -208,7 +208,7 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...] = ("d
             texts = _joined(pieces, lists.flatten().to_numpy(zero_copy_only=False), bounds)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.binary())], names=[*batch.schema.names[:-1], "bytes"])
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], T.StructField("bytes", T.BinaryType())]))
+    return source.mapInArrow(giving_back(run), T.StructType([*source.schema.fields[:-1], T.StructField("bytes", T.BinaryType())]))
 
 
 def fingerprints(docs: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...] = ("doc_id",), text_column: str = "text") -> DataFrame:
@@ -228,4 +228,4 @@ def fingerprints(docs: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...]
             decoded = [digest(x) for x in _joined(pieces, ids, bounds)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.diff(bounds)), pa.array(named), pa.array(decoded)], names=[*batch.schema.names[:-1], *(f.name for f in made)])
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], *made]))
+    return source.mapInArrow(giving_back(run), T.StructType([*source.schema.fields[:-1], *made]))

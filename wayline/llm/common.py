@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Sequence
 
@@ -54,6 +57,20 @@ def scaled_partitions(spark: SparkSession, rows: int, rows_each: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_each))
 
 
+def giving_back(run: Callable) -> Callable:
+    """``run``, a function of batches, that gives freed memory back to the system at its end: Python
+    workers live on and serve later stages beside the executor's heap."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return wrapped
+
+
 def map_texts(df: DataFrame, keep: Sequence[str], column: str, run: Callable[[list], list], schema: str) -> DataFrame:
     """The ``keep`` columns and those of ``schema``, which ``run`` makes, as one list each,
     from the values of ``column`` of each Arrow batch (None for null)."""
@@ -68,4 +85,4 @@ def map_texts(df: DataFrame, keep: Sequence[str], column: str, run: Callable[[li
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], names=[*batch.schema.names[:-1], *out.names])
 
     source = df.select(*keep, F.col(column).alias("__in"))
-    return source.mapInArrow(batches, T.StructType([*kept, *made]))
+    return source.mapInArrow(giving_back(batches), T.StructType([*kept, *made]))

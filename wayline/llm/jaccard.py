@@ -30,14 +30,14 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
-from .common import cut, scaled_partitions, small
+from .common import cut, giving_back, scaled_partitions, small
 from .words import distinct, mix, shingles, words_of
 
 SKETCH_WORDS = 16  # of 64 bits: the short sketch that candidates are filtered by
 PIECE_BITS = 1 << 20  # bits of the long sketch in each piece
 SEEDS = 6  # after so many a document joins on its empty pieces too
 BUCKET_BYTES = 32_000_000  # of text, whose keys make a bucket
-KEYS_AT_ONCE = 1_500_000  # are packed together
+KEYS_AT_ONCE = 1_000_000  # are packed together
 MEMBERS_EACH = 1000  # of a key in a row
 SMALL = 160  # of a key with so many classes all pairs in different components are looked at in one round
 PIVOTS = 64  # of a larger one so many classes in its first round, and PIVOT_GROWTH times as many in each later one
@@ -106,7 +106,7 @@ def describe(docs: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(np.concatenate(count)), pa.array(np.concatenate(classes)), pa.array(sketch, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "n_shingles", "class", "sketch"])
 
     source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return source.mapInArrow(run, T.StructType([*source.schema.fields[:2], *T._parse_datatype_string("n_shingles long, class long, sketch array<long>").fields]))
+    return source.mapInArrow(giving_back(run), T.StructType([*source.schema.fields[:2], *T._parse_datatype_string("n_shingles long, class long, sketch array<long>").fields]))
 
 
 def piece_keys(hashes: np.ndarray, text: np.ndarray, texts: int, threshold: Fraction) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -188,7 +188,7 @@ def _packed_keys(docs: DataFrame, n: int, threshold: Fraction, buckets: int) ->
         if held:
             yield packed(*map(np.concatenate, zip(*parts)))
 
-    return docs.select("text").mapInArrow(pack, schema)
+    return docs.select("text").mapInArrow(giving_back(pack), schema)
 
 
 def _shared_keys(packed: DataFrame) -> DataFrame:
@@ -245,7 +245,7 @@ def _shared_keys(packed: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.append(s, e[-1]) - s[0], pa.int32()), pa.array(own[s[0] : e[-1]]))
             yield pa.RecordBatch.from_arrays([pa.array(value[s]), pa.nulls(len(s), pa.int64()), lists.cast(arrow.field("classes").type)], schema=arrow)
 
-    return packed.mapInArrow(meet, schema)
+    return packed.mapInArrow(giving_back(meet), schema)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, heads: DataFrame, unique: bool, n: int, threshold: Fraction) -> DataFrame:
@@ -274,7 +274,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, heads: DataFrame, unique: bool,
         return found if unique else found.dropDuplicates(wanted.columns)
 
     both = texts_of(pairs.select("a", "b"), "a").join(texts_of(pairs.select("b").distinct(), "b"), "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(giving_back(run), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from .common import giving_back
 from .patience import align
 from .words import NOT_ALNUM, words_of
 
@@ -209,4 +210,4 @@ def scan_licenses(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col
                         out[words.first + t].append({"license": name, "kind": kind, "start": int(words.start[low + a]) - begin, "end": int(words.end[low + b - 1]) - begin, "coverage": share})
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, arrow)], names=[*batch.schema.names[:-1], "findings"])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(giving_back(run), schema)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import cut, scaled_partitions, small
+from .common import cut, giving_back, scaled_partitions, small
 from .patience import align
 from .words import _BASE, SPACES, mix, words_of
 
@@ -31,7 +31,7 @@ WINDOW = 5  # of so many runs in a row one is an anchor: passages of 16 words ha
 REPLACED_WORDS = 2  # so many words replaced by as many others don't part two blocks
 PAIRS_EACH = 200  # of one earlier document in a join key
 BUCKET_BYTES = 32_000_000  # of text, whose runs make a bucket
-RUNS_AT_ONCE = 1_500_000  # are packed together
+RUNS_AT_ONCE = 1_000_000  # are packed together
 PAIRS_AT_ONCE = 100_000
 ALL_WORDS = 2**31 - 1
 HASH_BYTES = 6  # of a run's hash beside its bucket
@@ -102,7 +102,7 @@ def _bucketed(rows: DataFrame, buckets: int, n: int, window: int) -> DataFrame:
             if held:
                 yield packed(docs, np.concatenate(values), np.concatenate(texts))
 
-    return rows.mapInArrow(pack, schema)
+    return rows.mapInArrow(giving_back(pack), schema)
 
 
 def _ranks(docs: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +174,7 @@ def _pairs(bucketed: DataFrame, parts: int) -> DataFrame:
             table = pa.table([pa.chunked_array(x) for x in zip(*found)], names=arrow.names)
             yield from table.group_by(arrow.names, use_threads=False).aggregate([]).select(arrow.names).cast(arrow).to_batches(50_000)
 
-    return bucketed.mapInArrow(meet, packed).repartition(parts, "part").mapInArrow(once, schema)
+    return bucketed.mapInArrow(giving_back(meet), packed).repartition(parts, "part").mapInArrow(giving_back(once), schema)
 
 
 def copied_texts(rows: DataFrame) -> DataFrame:
@@ -229,7 +229,7 @@ def duplicate_passages(docs: DataFrame, copied: DataFrame, run_words: int = RUN_
     span = T._parse_datatype_string("array<struct<first:int,end:int>>")
     found_type = T.StructType([T.StructField("doc", later.schema["doc"].dataType), T.StructField("places", span)])
     spans = to_arrow_schema(found_type).field("places").type
-    found = both.select("doc", "own", "earlier").mapInArrow(blocks, found_type)
+    found = both.select("doc", "own", "earlier").mapInArrow(giving_back(blocks), found_type)
     places = found.groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"))
     return places.select("doc.doc_id", "doc.text_hash", "places").where(F.size("places") > 0)
 
@@ -332,4 +332,4 @@ def dedup_lines(docs: DataFrame, run_words: int = RUN_WORDS, window: int = WINDO
                 texts = pa.array(flat, arrow.field("text").type)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], texts.cast(arrow.field("text").type), pa.array(removed, arrow.field("removed").type)], schema=arrow)
 
-    return source.mapInArrow(strip, schema).select(*docs.columns, "removed")
+    return source.mapInArrow(giving_back(strip), schema).select(*docs.columns, "removed")

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import giving_back
 from .words import SPACES, mix, words_of
 
 BITS = 18
@@ -159,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
         some = np.flatnonzero(found.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(found[0][some]), pa.array(found[1][some])], names=["feature", "bad", "good"])
 
-    counts = texts.join(side, "doc_id").select("text", "y").mapInArrow(count, "feature long, bad long, good long")
+    counts = texts.join(side, "doc_id").select("text", "y").mapInArrow(giving_back(count), "feature long, bad long, good long")
     counts = counts.groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).toPandas()
     good, bad = np.full(1 << BITS, SMOOTHING), np.full(1 << BITS, SMOOTHING)
     np.add.at(good, counts["feature"].to_numpy(), counts["good"].to_numpy())
@@ -179,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
                     lists[first + i] = feature[bounds[i] : bounds[i + 1]].astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array([x.tobytes() for x in lists], pa.binary())], names=["doc_id", "y", "features"])
 
-    sample = texts.join(F.broadcast(chosen), "doc_id").select("text", "doc_id", "y").mapInArrow(featurise, "doc_id long, y boolean, features binary")
+    sample = texts.join(F.broadcast(chosen), "doc_id").select("text", "doc_id", "y").mapInArrow(giving_back(featurise), "doc_id long, y boolean, features binary")
     sample = sample.orderBy("doc_id", "features").toPandas()
     if sample["y"].nunique() < 2:
         return Model(np.zeros(1 << BITS), 0.0, 1.0, 30.0 if n_good * 2 >= n else -30.0)
@@ -205,4 +206,4 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(values)], names=[*batch.schema.names[:-1], "score"])
 
     source = docs.select(*keep, F.col("text").alias("__text"))
-    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], T.StructField("score", T.DoubleType())]))
+    return source.mapInArrow(giving_back(run), T.StructType([*source.schema.fields[:-1], T.StructField("score", T.DoubleType())]))
