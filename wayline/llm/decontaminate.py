@@ -15,48 +15,69 @@ from pyspark.sql import functions as F
 
 from .common import cut, text_or_empty
 
-MASKS = ("11011011", "10111101", "11101110")
+# Every 8 to 13 words of which ``SHARE`` are equal keep the words of one of these masks at some place.
+MASKS = ("11010011", "10011101", "11101010", "01111100")
 SPAN = 8
 WINDOW = 13
 SHARE = 0.8
-BROADCAST_SEEDS = 2_000_000  # distinct seeds; about 100 bytes each
+LOST = 2  # words that a window may differ in, also those beyond a document's ends
+BROADCAST_BYTES = 64 << 20  # of the seeds, of the items, of the ids to leave out
 
 
 def words_column(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def _places(df: DataFrame, keys: list[str], place: str) -> DataFrame:
-    """A row for each key, place and mask: the hash of the words that the mask keeps."""
-    at = df.where(F.size("words") >= SPAN).select(*keys, "words", F.explode(F.sequence(F.lit(0), F.size("words") - SPAN)).alias(place))
+def _places(df: DataFrame, keys: list[str], place: str, beyond: int = 0) -> DataFrame:
+    """A row for each place and mask: the keys, the words and the hash of the words that the
+    mask keeps. Places may reach ``beyond`` words over either end."""
+    at = F.explode(F.sequence(F.lit(-beyond), F.size("words") - SPAN + beyond)).alias(place)
+    at = df.where(F.size("words") >= SPAN - beyond).select(*keys, "words", at)
     hashes = [F.xxhash64(F.lit(m), *(F.get("words", F.col(place) + i) for i, c in enumerate(mask) if c == "1")) for m, mask in enumerate(MASKS)]
     return at.select(*keys, "words", place, F.explode(F.array(*hashes)).alias("seed"))
 
 
+def _fits(df: DataFrame, size: Column) -> bool:
+    """Whether the rows of ``df``, a table already written, are small enough to be broadcast."""
+    return (df.agg(F.sum(size + 64)).first()[0] or 0) <= BROADCAST_BYTES
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """``doc_id, item_id, n_match, first_word, last_word`` of every document and item that overlap.
 
     Words are runs of letters and digits, lower-cased. A window is ``window`` words of
     the item, or the whole item if it is shorter, of which ``share`` equal the
     document's words at the same distance; ``n_match`` is the most equal words in a
-    window, first and last word (from 0) bound the windows in the document. Null and
-    empty texts and items or texts of fewer than eight words overlap with nothing.
-    Rows that share an id give one result; a null id is an id of its own.
+    window, first and last word (from 0) bound the windows in the document. With the
+    window and share given here no overlap is missed. Null and empty texts and items of
+    fewer than eight words overlap with nothing. Rows that share an id give one result;
+    a null id is an id of its own.
     """
-    items = benchmark.select("item_id", words_column(text_or_empty()).alias("words"))
-    seeds = _places(items, ["item_id"], "q").groupBy("seed").agg(F.collect_set(F.struct("item_id", "q", F.col("words").alias("item"))).alias("at"))
-    seeds = cut(seeds)
-    if seeds.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
-        seeds = F.broadcast(seeds)
+    items = benchmark.select("item_id", words_column(text_or_empty()).alias("words")).where(F.size("words") >= SPAN)
+    items = cut(items.withColumn("item_hash", F.xxhash64("words")).dropDuplicates(["item_id", "item_hash"]))
+    seeds = cut(_places(items, ["item_id", "item_hash"], "q").drop("words"))
+    id_bytes = F.coalesce(F.octet_length(F.col("item_id").cast("string")), F.lit(0))
+    items_fit = _fits(items, F.octet_length(F.concat_ws(" ", "words")) + 16 * F.size("words") + id_bytes)
+    items = items.select(F.col("item_id").alias("__item"), F.col("item_hash").alias("__hash"), F.col("words").alias("item"))
+    if items_fit:
+        items = F.broadcast(items)
+    own = F.col("item_id").eqNullSafe(F.col("__item")) & (F.col("item_hash") == F.col("__hash"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words_column(text_or_empty()).alias("words"))
-    hits = _places(rows, ["doc_id", "text_hash"], "p").join(seeds, "seed")
-    hits = hits.select("doc_id", "text_hash", "words", "p", F.inline("at"))
+    line = ["doc_id", "text_hash", "item_id", "item_hash", "diagonal"]
     # Of the document only the words beside the item go on; those before its start are null.
-    begin = F.col("p") - F.col("q")
-    before = F.greatest(-begin, F.lit(0))
-    beside = F.slice("words", F.greatest(begin, F.lit(0)) + 1, F.greatest(F.size("item") - before, F.lit(0)))
-    hits = hits.select("doc_id", "text_hash", "item_id", begin.alias("diagonal"), "item", beside.alias("beside"))
-    lines = hits.groupBy("doc_id", "text_hash", "item_id", "diagonal", F.xxhash64("item").alias("item_hash")).agg(F.first("item").alias("item"), F.first("beside").alias("beside"))
+    begin = (F.col("p") - F.col("q")).alias("diagonal")
+    before = F.greatest(-F.col("diagonal"), F.lit(0))
+    beside = F.slice("words", F.greatest(F.col("diagonal"), F.lit(0)) + 1, F.greatest(F.size("item") - before, F.lit(0))).alias("beside")
+    places = _places(rows, ["doc_id", "text_hash"], "p", LOST)
+    if items_fit and _fits(seeds, id_bytes):
+        hits = places.join(F.broadcast(seeds), "seed").select(*line[:4], "words", begin).join(items, own).select(*line, "item", beside)
+        lines = hits.groupBy(*line).agg(F.first("item").alias("item"), F.first("beside").alias("beside"))
+    else:
+        # Ids alone are shuffled by the seeds; the words are fetched for the hits.
+        hits = places.drop("words").join(seeds, "seed").select(*line[:4], begin).distinct()
+        texts = rows.dropDuplicates(["doc_id", "text_hash"]).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text"), "words")
+        hits = hits.join(texts, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_hash") == F.col("__text")))
+        lines = hits.join(items, own).select(*line, "item", beside)
 
     skip = F.greatest(-F.col("diagonal"), F.lit(0))
     equal = F.transform("item", lambda w, i: F.coalesce((F.get("beside", i - skip) == w) & (i >= skip), F.lit(False)).cast("int"))
@@ -74,31 +95,28 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share:
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that overlap with no benchmark item, all their columns as they were."""
     bad = cut(overlaps(docs, benchmark).select(F.col("doc_id").alias("__bad")).distinct())
-    if bad.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
+    if _fits(bad, F.coalesce(F.octet_length(F.col("__bad").cast("string")), F.lit(0))):
         bad = F.broadcast(bad)
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad"]), "left_anti")
 
 
-#: The same matches by plain SQL: seeds are joined as their words.
+#: The same matches by plain SQL without masks: of 8 to 13 words that are equal in ``SHARE``, some three in a row are.
 OVERLAPS_SQL = r"""
     WITH d AS (
         SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL
     ), b AS (
-        SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark WHERE text IS NOT NULL
+        SELECT item_id, w FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark WHERE text IS NOT NULL)
+        WHERE len(w) >= 8
     ), dp AS (
-        SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS p FROM d WHERE len(w) >= 8
+        SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM d WHERE len(w) >= 3
     ), bp AS (
-        SELECT item_id, w, unnest(range(1, len(w) - 6)) AS q FROM b WHERE len(w) >= 8
+        SELECT item_id, w, unnest(range(1, len(w) - 1)) AS q FROM b
     ), ds AS (
-        SELECT doc_id, p, 'a ' || concat_ws(' ', w[p], w[p+1], w[p+3], w[p+4], w[p+6], w[p+7]) AS seed FROM dp
-        UNION ALL SELECT doc_id, p, 'b ' || concat_ws(' ', w[p], w[p+2], w[p+3], w[p+4], w[p+5], w[p+7]) FROM dp
-        UNION ALL SELECT doc_id, p, 'c ' || concat_ws(' ', w[p], w[p+1], w[p+2], w[p+4], w[p+5], w[p+6]) FROM dp
+        SELECT doc_id, p, concat_ws(' ', w[p], w[p+1], w[p+2]) AS three FROM dp
     ), bs AS (
-        SELECT item_id, q, 'a ' || concat_ws(' ', w[q], w[q+1], w[q+3], w[q+4], w[q+6], w[q+7]) AS seed FROM bp
-        UNION ALL SELECT item_id, q, 'b ' || concat_ws(' ', w[q], w[q+2], w[q+3], w[q+4], w[q+5], w[q+7]) FROM bp
-        UNION ALL SELECT item_id, q, 'c ' || concat_ws(' ', w[q], w[q+1], w[q+2], w[q+4], w[q+5], w[q+6]) FROM bp
+        SELECT item_id, q, concat_ws(' ', w[q], w[q+1], w[q+2]) AS three FROM bp
     ), lines AS (
-        SELECT DISTINCT doc_id, item_id, p - q AS diagonal FROM ds JOIN bs USING (seed)
+        SELECT DISTINCT doc_id, item_id, p - q AS diagonal FROM ds JOIN bs USING (three)
     ), pairs AS (
         SELECT doc_id, item_id, diagonal, len(b.w) AS n, least(len(b.w), 13) AS width, d.w AS dw, b.w AS bw
         FROM lines JOIN d USING (doc_id) JOIN b USING (item_id)
