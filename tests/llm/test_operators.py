@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -15,8 +16,9 @@ from importlib import import_module
 import numpy as np
 import pytest
 
-from wayline.llm import bpe, bpe_native, license_scan, quality
-from wayline.llm.decontaminate import MASKS, SHARE, SPAN, WINDOW, decontaminate, overlaps
+from wayline.llm import bpe, bpe_native, license_scan, quality, secrets
+from wayline.llm import decontaminate as decontamination
+from wayline.llm.decontaminate import SHARE, SPAN, WINDOW, decontaminate, overlaps
 from wayline.llm import html_text
 from wayline.llm.html_text import extract, extract_main_text
 from wayline.llm.jaccard import one_of_each_group, similarity_classes
@@ -102,6 +104,25 @@ def test_secret_scan_keeps_base_spans_and_adds_more(spark):
         assert (got[i].n_assign, got[i].n_access, got[i].n_hex) == tuple(sum(x[1] == k for x in spans) for k in range(3))
         assert set(got[i].base.split(",")) <= set(got[i].spans.split(",")) | {""}
     assert "model" in got[6].spans and got[7].spans == ""
+    assert scan_secrets(rows(spark, texts, EXTRA).limit(0)).count() == 0
+
+
+def test_secret_network_on_findings_it_has_not_seen():
+    net = secrets.train(*secrets.labelled_findings())
+    codes, labels = secrets.labelled_findings(2000, seed=77)
+    p = net.probability(codes)
+    found = p >= net.threshold
+    assert found[labels].mean() >= 0.9 and labels[found].mean() >= 0.9
+    assert abs(p.mean() - labels.mean()) < 0.05
+    for low in (0.0, 0.9):  # calibrated: of those given about p, about p are secrets
+        own = (p >= low) & (p <= low + 0.1)
+        assert abs(p[own].mean() - labels[own].mean()) < 0.1
+    value = "Zx81kQ92mPr47TyW65bNv3Lc"
+    for text in (f"db_pass={value}\n", f'client_secret_key: "{value}"', f"https://ab:{value}@host"):
+        _, spans, _ = secrets.find(text, net)
+        assert (text.index(value), text.index(value) + len(value)) in {(s, e) for s, _, e in spans}, text
+    covered = secrets.find(f"password={value} ", net)
+    assert covered[0] == covered[1] and covered[2] == 1
 
 
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href=/>Home</a></li></ul></nav>
@@ -161,12 +182,11 @@ def brute_overlaps(docs, items):
     out = {}
     for (d, text), (b, item) in itertools.product(docs, items):
         w, x = split(text), split(item)
-        if len(w) < SPAN or len(x) < SPAN:
+        if len(x) < SPAN:
             continue
-        diagonals = {p - q for p in range(len(w) - SPAN + 1) for q in range(len(x) - SPAN + 1) if any(all(w[p + i] == x[q + i] for i, c in enumerate(m) if c == "1") for m in MASKS)}
         width = min(len(x), WINDOW)
         found = []
-        for g in diagonals:
+        for g in range(-len(x), len(w)):
             equal = [0 <= i + g < len(w) and w[i + g] == x[i] for i in range(len(x))]
             found += [(sum(equal[i : i + width]), max(i + g, 0), i + g + width - 1) for i in range(len(x) - width + 1) if sum(equal[i : i + width]) >= width * SHARE]
         if found:
@@ -174,7 +194,7 @@ def brute_overlaps(docs, items):
     return out
 
 
-def test_decontamination_equals_all_pairs_without_python(spark):
+def test_decontamination_equals_all_pairs_without_python(spark, monkeypatch):
     rng = random.Random(5)
     items = [(i, prose(rng, n, 60)) for i, n in enumerate((8, 10, 13, 20, 40, 5), 1)] + [(7, None), (8, "")]
     docs = [(i, prose(rng, 40, 60)) for i in range(1, 12)]
@@ -183,13 +203,23 @@ def test_decontamination_equals_all_pairs_without_python(spark):
         words[len(words) // 2] = "other"
         docs.append((20 + k, prose(rng, 9) + " " + " ".join(words) + " " + prose(rng, 9)))
         docs.append((30 + k, " ".join(words[2:]) + " " + prose(rng, 30)))
-    docs += [(50, None), (51, "")]
+    docs += [(50, None), (51, ""), (None, items[3][1]), (None, items[4][1])]
+    # Every place of as many substitutions as the verification takes, and both ends cut off.
+    for i, (_, item) in enumerate(items[:3]):
+        words = item.split()
+        lost = len(words) - math.ceil(len(words) * SHARE)
+        for bad in itertools.combinations(range(len(words)), lost):
+            docs.append((100 + len(docs), " ".join("other" if k in bad else w for k, w in enumerate(words))))
+        docs += [(1000 + 10 * i, " ".join(words[lost:])), (1001 + 10 * i, " ".join(words[: len(words) - lost]))]
     frame = spark.createDataFrame([(*d, "x", 1) for d in docs], DOC + ", words string, item int")
     benchmark = spark.createDataFrame([(*b, "y") for b in items], "item_id long, text string, seed string")
     found = overlaps(frame, benchmark)
     want = brute_overlaps(docs, items)
     assert {(r.doc_id, r.item_id): (r.n_match, r.first_word, r.last_word) for r in found.collect()} == want and want
+    assert {d for d, _ in want} >= {d for d, _ in docs if d is not None and d >= 100}
     plan = found._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", -1)
+    assert {(r.doc_id, r.item_id): (r.n_match, r.first_word, r.last_word) for r in overlaps(frame.unionAll(frame), benchmark).collect()} == want
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
     bad = {d for d, _ in want}
     assert sorted(r.doc_id for r in decontaminate(frame, benchmark).collect()) == sorted(d for d, _ in docs if d not in bad)

@@ -30,7 +30,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", hex_sha256(F.col("base")).alias("base_sha256"), "spans")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", hex_sha256(F.col("base")).alias("base_sha256"), "spans", "n_model")
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,9 @@
-"""Secret scans: patterns, and a character convolutional network over all other candidates.
+"""Secret scans: patterns, and a character convolutional network over all candidates.
 
 Every run of token characters that mixes letters and digits is a candidate; the
-network sees the candidate with the characters around it. It is trained, in numpy,
+network scores them all, each with the characters around it. It is trained, in numpy,
 on labelled findings; its scores are calibrated by a logistic curve on findings it
-was not trained on, and its threshold is the highest that keeps the recall there.
+was not trained on, and its threshold is the highest that keeps the recall on others.
 """
 
 from __future__ import annotations
@@ -11,7 +11,9 @@ from __future__ import annotations
 import random
 import re
 import string
+from bisect import bisect_left
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -24,13 +26,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "model")
 _KEYWORD = re.compile(r"passw|secret|token|api_?key", re.I | re.A)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 
 LEFT, INSIDE, RIGHT = 32, 48, 16
 WIDTH = LEFT + INSIDE + RIGHT
 RECALL = 0.95
-LEAST_PROBABILITY = 0.5
-EXAMPLES, EPOCHS, FILTERS, SPAN, EMBEDDED = 3000, 6, 24, 5, 12
+EXAMPLES, EPOCHS, FILTERS, SPAN, EMBEDDED = 4000, 6, 24, 5, 12
 
 _CODES = np.full(256, 69, np.uint8)
 for _i, _c in enumerate(string.ascii_letters + string.digits):
@@ -94,13 +95,13 @@ class Network:
 
 
 def train(codes: np.ndarray, labels: np.ndarray, seed: int = 11, epochs: int = EPOCHS, recall: float = RECALL) -> Network:
-    """Fit by Adam on four fifths of the findings; calibrate and set the threshold on the rest."""
+    """Fit by Adam on three fifths of the findings, calibrate on a fourth, set the threshold on the last."""
     rng = np.random.default_rng(seed)
-    held = np.arange(len(labels)) % 5 == 0
+    fold = np.arange(len(labels)) // 2 % 5  # findings stand in pairs of both labels
     net = Network(rng.normal(0, 0.3, (_SYMBOLS, EMBEDDED)), rng.normal(0, 0.2, (SPAN * EMBEDDED, FILTERS)), np.zeros(FILTERS), rng.normal(0, 0.2, 2 * FILTERS), 0.0)
     names = ("embedding", "filters", "bias", "out", "out_bias")
     moment = {n: [np.zeros_like(getattr(net, n), float), np.zeros_like(getattr(net, n), float)] for n in names}
-    x, y, step = codes[~held], labels[~held].astype(float), 0
+    x, y, step = codes[fold > 1], labels[fold > 1].astype(float), 0
     for _ in range(epochs):
         order = rng.permutation(len(x))
         for at in range(0, len(x), 64):
@@ -125,16 +126,15 @@ def train(codes: np.ndarray, labels: np.ndarray, seed: int = 11, epochs: int = E
                 m[...] = 0.9 * m + 0.1 * gradients[n]
                 v[...] = 0.999 * v + 0.001 * gradients[n] ** 2
                 setattr(net, n, getattr(net, n) - 0.005 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8))
-    truth = labels[held].astype(float)
-    logits = net.forward(codes[held])[3]
+    truth = labels[fold == 0].astype(float)
+    logits = net.forward(codes[fold == 0])[3]
     a, b = 1.0, 0.0
     for _ in range(500):
         p = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30)))
         a, b = a - 0.05 * ((p - truth) * logits).mean(), b - 0.5 * (p - truth).mean()
     net.slope, net.offset = a, b
-    scores = np.sort(net.probability(codes[held])[truth > 0])
-    at_recall = scores[int((1 - recall) * len(scores))] if len(scores) else 1.0
-    net.threshold = float(max(at_recall, LEAST_PROBABILITY))
+    scores = np.sort(net.probability(codes[(fold == 1) & (labels > 0)]))
+    net.threshold = float(scores[int((1 - recall) * len(scores))]) if len(scores) else 1.0
     return net
 
 
@@ -147,14 +147,14 @@ def labelled_findings(n: int = EXAMPLES, seed: int = 5) -> tuple[np.ndarray, np.
     word = lambda: pick("aeioulnrstdhm", 2, 9)
     prose = lambda k: " ".join(word() for _ in range(k))
     keys = ("key", "access_key", "auth", "bearer", "pwd", "credential", "private_key", "client_secret", "token", "Authorization: Bearer", "pass", "apikey", "signature", "session")
-    starts = ("sk_live_", "ghp_", "xoxb-", "glpat-", "AIza", "npm_", "SG_", "")
+    starts = ("sk_live_", "ghp_", "xoxb-", "xoxp-", "glpat-", "AIza", "npm_", "SG_", "")
     texts, labels = [], []
     for i in range(n):
         positive = i % 2 == 0
         if positive:
             value = rng.choice((lambda: rng.choice(starts) + pick(alnum, 20, 44), lambda: pick(b64, 24, 60) + "=" * rng.randint(0, 2), lambda: pick(hexes.upper(), 32, 40), lambda: "eyJ" + pick(alnum + "_-", 30, 90)))()
-            before = rng.choice((f"{rng.choice(keys)} = ", f"{rng.choice(keys)}: ", f'"{rng.choice(keys)}":"', f"export {rng.choice(keys).upper()}=", f"--{rng.choice(keys)} ", f"my {rng.choice(keys)} is "))
-            after = rng.choice(('"', "'", " ", ";\n", "\n"))
+            before = rng.choice((f"{rng.choice(keys)} = ", f"{rng.choice(keys)}: ", f'"{rng.choice(keys)}":"', f"export {rng.choice(keys).upper()}=", f"--{rng.choice(keys)} ", f"my {rng.choice(keys)} is ", f"{word()}_{rng.choice(keys)}=", f"https://{word()}:"))
+            after = "@" + word() if before.startswith("https") else rng.choice(('"', "'", " ", ";\n", "\n"))
         else:
             value = rng.choice((lambda: "_".join(word() for _ in range(4)) + str(rng.randint(1, 99)), lambda: "-".join(word() for _ in range(4)) + f"-{rng.randint(1, 2030)}", lambda: "/".join(word() for _ in range(4)) + f"/{rng.randint(1, 999)}", lambda: pick(hexes, 8, 8) + "-" + pick(hexes, 4, 4) + "-4" + pick(hexes, 3, 3) + "-" + pick(hexes, 12, 12), lambda: pick(hexes.upper(), 32, 40), lambda: f"{rng.randint(1990, 2030)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}T{rng.randint(0, 23):02}0000Z", lambda: word() + word() + str(rng.randint(10**6, 10**9)) + word(), lambda: "=" * rng.randint(14, 30) + str(rng.randint(1, 9)) + "a"))()
             before = rng.choice((prose(3) + " ", "see ", "commit ", "sha256: ", "http://", "version ", "id ", "file ", "checksum ", "\n"))
@@ -167,14 +167,19 @@ def labelled_findings(n: int = EXAMPLES, seed: int = 5) -> tuple[np.ndarray, np.
     return np.stack(texts), np.array(labels)
 
 
-def find(text: str, net: Network) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """The pattern spans, and those with the network's spans that overlap none of them."""
+def find(text: str, net: Network) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
+    """The pattern spans, those with the network's spans that overlap none of them, and how many
+    candidates the network holds for secrets, those under pattern spans included."""
     base = base_spans(text)
-    free = [c for c in candidates(text) if all(c[1] <= s or c[0] >= e for s, _, e in base)]
-    if not free:
-        return base, base
-    scores = net.probability(np.stack([window(text, *c) for c in free]))
-    return base, sorted(base + [(s, 3, e) for (s, e), p in zip(free, scores) if p >= net.threshold])
+    every = candidates(text)
+    if not every:
+        return base, base, 0
+    scores = net.probability(np.stack([window(text, *c) for c in every]))
+    likely = [c for c, p in zip(every, scores) if p >= net.threshold]
+    starts, ends = [b[0] for b in base], list(accumulate((b[2] for b in base), max))
+    at = [bisect_left(starts, end) for _, end in likely]
+    added = [(start, 3, end) for k, (start, end) in zip(at, likely) if not k or ends[k - 1] <= start]
+    return base, sorted(base + added), len(likely)
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
@@ -182,8 +187,10 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 def scan_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_column: str = "text", net: Network | None = None) -> DataFrame:
-    """The ``keep`` columns of every row, the number of spans of each pattern, ``base`` (pattern
-    spans, kind:start:end by start, code points, end exclusive) and ``spans`` (all of them).
+    """The ``keep`` columns of every row, the number of spans of each pattern, ``n_model`` (candidates
+    that the network holds for secrets, those under pattern spans too), ``base`` (pattern spans,
+    kind:start:end by start, code points, end exclusive) and ``spans`` (all of them; the network's
+    where they overlap no pattern's).
 
     Null and empty texts have no spans, texts of any length are scanned whole, repeated rows
     each give a row.
@@ -191,13 +198,14 @@ def scan_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_colu
     net = net or train(*labelled_findings())
 
     def run(texts):
-        n, base, spans = ([], [], []), [], []
+        n, model, base, spans = ([], [], []), [], [], []
         for text in texts:
-            own, every = find(text or "", net)
+            own, every, likely = find(text or "", net)
+            model.append(likely)
             for kind in range(3):
                 n[kind].append(sum(s[1] == kind for s in own))
             base.append(joined(own))
             spans.append(joined(every))
-        return [*n, base, spans]
+        return [*n, model, base, spans]
 
-    return map_texts(docs, keep, text_column, run, "n_assign long, n_access long, n_hex long, base string, spans string")
+    return map_texts(docs, keep, text_column, run, "n_assign long, n_access long, n_hex long, n_model long, base string, spans string")
