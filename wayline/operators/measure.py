@@ -81,10 +81,12 @@ def speed_distance(samples: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def running_distance(rows: DataFrame) -> DataFrame:
-    """Distance of the trips so far, in the order of legs and segments; null on charges, on stops the row's before."""
+    """Distance of the trips so far, in the order of legs and segments; null on charges, on stops what the row before has."""
     w = Window.partitionBy("vehicle_id").orderBy("leg_id", "start_ts", "seg_no").rowsBetween(Window.unboundedPreceding, 0)
     is_trip = F.col("kind") == "discharge"
-    return rows.withColumn("cumulative_km", F.when(is_trip, F.sum(F.when(is_trip, F.col("distance_km"))).over(w)))
+    so_far = F.coalesce(F.sum(F.when(is_trip, F.col("distance_km"))).over(w), F.lit(0.0))
+    own = rows.withColumn("__km", F.when(F.col("kind") != "stop", F.struct(F.when(is_trip, so_far).alias("km"))))
+    return own.withColumn("cumulative_km", F.last("__km", True).over(w)["km"]).drop("__km")
 
 
 def height_difference(samples: DataFrame, keys: list[str], altitude: str = "altitude_m") -> DataFrame:

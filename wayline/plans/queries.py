@@ -553,4 +553,4 @@ def _(spark, d):
     return shown(report, *report.columns)
 
 
-from . import segment_queries  # noqa: E402,F401  registers its own
+from . import report_queries, segment_queries  # noqa: E402,F401  register their own
