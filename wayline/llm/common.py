@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
@@ -35,6 +36,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again: later steps read only the columns they use."""
+    path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, a narrow table that is already written, to be broadcast if it has at most ``rows`` rows."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

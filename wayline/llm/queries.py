@@ -7,7 +7,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality
+from . import bpe, context_tree, quality
 from .common import hex_sha256, table
 from .decontaminate import OVERLAPS_SQL, overlaps
 from .html_text import extract_main_text
@@ -77,6 +77,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", context_tree.held_out("doc_id"))
+    return context_tree.score_texts(docs, ~F.col("held_out"), keep=("doc_id", "held_out"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -88,6 +94,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_topk": op9_topk,
     "op10_license_scan": op10_license_scan,
+    "op12_lm_scoring": op12_lm_scoring,
 }
 
 ORACLE_SQL = {

@@ -43,12 +43,19 @@ class Words:
     start: np.ndarray
     end: np.ndarray
     text: np.ndarray  # for each word its text, from 0
-    hash: np.ndarray
+    hash: np.ndarray | None
 
     def bounds(self) -> np.ndarray:
         """texts + 1 bounds into the words."""
         return np.searchsorted(self.text, np.arange(self.texts + 1))
 
+    def pieces(self) -> pa.Array:
+        """The words as a binary array."""
+        length = self.end - self.start
+        offsets = np.concatenate(([0], np.cumsum(length)))
+        place = np.arange(offsets[-1]) + np.repeat(self.start - offsets[:-1], length)
+        return pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(self.data[place])])
+
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and n + 1 offsets of a string column; null counts as empty."""
@@ -78,8 +85,8 @@ def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix(np.add.reduceat(values, first) ^ (length.astype(np.uint64) << np.uint64(48)))
 
 
-def words_of(column: pa.Array, apart: np.ndarray = SPACES, lower: bool = True, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Words]:
-    """The words of every text, in chunks of whole texts of about ``chunk_bytes``."""
+def words_of(column: pa.Array, apart: np.ndarray = SPACES, lower: bool = True, chunk_bytes: int = CHUNK_BYTES, hashed: bool = True) -> Iterator[Words]:
+    """The words of every text, in chunks of whole texts of about ``chunk_bytes``; ``hashed`` or by their bounds only."""
     data, offsets = buffers(column)
     first = 0
     while first < len(offsets) - 1:
@@ -97,7 +104,7 @@ def words_of(column: pa.Array, apart: np.ndarray = SPACES, lower: bool = True, c
         end[:-1] &= ~inside[1:] | fresh[1:-1]
         start, end = np.flatnonzero(start), np.flatnonzero(end) + 1
         text = np.searchsorted(bounds, start, side="right") - 1
-        yield Words(first, last - first, own, bounds, start, end, text, hash_spans(own, start, end))
+        yield Words(first, last - first, own, bounds, start, end, text, hash_spans(own, start, end) if hashed else None)
         first = last
 
 
