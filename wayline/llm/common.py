@@ -9,6 +9,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def finite(column: str = "embedding") -> Column:
+    """Whether a vector is there and all its components are, and are finite."""
+    return F.col(column).isNotNull() & F.forall(column, lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf"))))
+
+
+def floors(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """floor(256 * x) of every component x of vectors of one width, as float64, which holds it exactly."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    width = len(column[0]) if len(column) else 0
+    return np.floor(256.0 * column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)).reshape(len(column), width)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
