@@ -6,15 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .joins import as_of
-
 ESTIMATES = ("soc_estimate", "soc_fallback")
 DAY = 86_400_000_000
 RELIABLE_ROWS = 5
 
 
 def is_donor() -> Column:
-    return F.col("capacity_kwh").isNotNull() & ~F.coalesce(F.col("energy_source").isin(*ESTIMATES), F.lit(True)) & F.col("delta_soc").isNotNull() & (F.col("delta_soc") != 0)
+    return F.col("capacity_kwh").isNotNull() & ~F.coalesce(F.col("energy_source").isin(*ESTIMATES), F.lit(False)) & F.col("delta_soc").isNotNull() & (F.col("delta_soc") != 0)
 
 
 def weighted_capacity(value: Column, weight: Column) -> Column:
@@ -61,59 +59,95 @@ def seed_capacity(vehicles: DataFrame, ledger: DataFrame, period: str) -> DataFr
     return vehicles.join(own, "vehicle_id", "left").join(mean, "vehicle_id", "left").withColumn("seed_kwh", F.coalesce("own", "mean", "platform_kwh", "nominal_kwh")).drop("own", "mean")
 
 
-def _local_mean(asked: DataFrame, donors: DataFrame, keep: list[str], into: str) -> DataFrame:
-    """``asked`` with the mean of the donors in the smallest window of 15, 30, 60 … days around
-    ``at`` that holds one; by running sums, so no row meets more than four donors."""
-    group = ["vehicle_id", "leg_id"]
-    so_far = Window.partitionBy(*group).orderBy("ts", "row_no").rowsBetween(Window.unboundedPreceding, 0)
-    donors = donors.withColumns({"w": F.abs("delta_soc"), "t": F.col("ts")}).withColumn("run", F.struct(F.sum(F.col("w") * F.col("capacity_kwh")).over(so_far).alias("wc"), F.sum("w").over(so_far).alias("w"), "t"))
-    spans = donors.groupBy(*group).agg((F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))).alias("span"))
-    found = asked.join(spans, group, "left").select(*group, "at", *keep, F.greatest(F.lit(15 * DAY), F.coalesce("span", F.lit(0))).alias("most"))
-    found = as_of(found, donors, "run", [*keep, "most"], "backward").withColumnsRenamed({"run": "b", "run_ts": "b_ts"})
-    found = as_of(found, donors, "run", [*keep, "most", "b", "b_ts"], "forward").withColumnsRenamed({"run_ts": "f_ts"}).drop("run")
-    near = F.least(F.unix_micros("at") - F.unix_micros("b_ts"), F.unix_micros("f_ts") - F.unix_micros("at"))
-    half = F.least(F.col("most").cast("double"), 15.0 * DAY * F.pow(F.lit(2.0), F.greatest(F.lit(0.0), F.ceil(F.log2(F.greatest(near, F.lit(1)) / (15.0 * DAY))))))
-    found = found.withColumn("half", F.when(near <= F.col("most"), half.cast("long")))
-    edges = {"top": F.timestamp_micros(F.unix_micros("at") + F.col("half")), "low": F.timestamp_micros(F.unix_micros("at") - F.col("half") - 1)}
-    for name, edge in edges.items():
-        held = [c for c in found.columns if c not in (*group, "at", name)]
-        side = found.withColumn("edge", F.coalesce(edge, F.lit("1900-01-01").cast("timestamp")))
-        found = as_of(side, donors, "run", [*held, "at"], "backward", "edge").withColumnRenamed("run", name).drop("edge", "run_ts")
-    weight = F.col("top.w") - F.coalesce(F.col("low.w"), F.lit(0.0))
-    value = (F.col("top.wc") - F.coalesce(F.col("low.wc"), F.lit(0.0))) / F.nullif(weight, F.lit(0.0))
-    return found.select(*group, "at", *keep, value.alias(into))
-
-
-def correct_estimates(rows: DataFrame, fallback_kwh: float | None = None) -> DataFrame:
+def _local_mean(rows: DataFrame, keys: list[str], asked: Column, sides: list[Column], into: str) -> DataFrame:
+    """``rows`` with ``into``: where ``asked``, the mean of donors in the smallest window of 15, 30, 60 … days
+    around ``ts`` that holds one, weighted by the change of charge. ``sides`` are conditions on donors in order of
+    preference; the first that has any in reach gives the mean. No window is wider than 15 days or the span of
+    all rows of a key. One shuffle by key: windows find how wide to look, running sums what lies in it.
+    """
+    own = Window.partitionBy(*keys)
+    back, ahead = (own.orderBy(order).rangeBetween(Window.unboundedPreceding, 0) for order in (F.asc("__at"), F.desc("__at")))
+    donor = F.coalesce(*(F.when(side & F.col("ts").isNotNull(), i) for i, side in enumerate(sides)))
+    columns = rows.columns
+    found = rows.withColumns({"__at": F.unix_micros("ts"), "__id": F.monotonically_increasing_id(), "__donor": donor, "__asked": F.coalesce(asked, F.lit(False)), "__w": F.abs(F.coalesce("delta_soc", F.lit(0.0)))})
+    found = found.withColumn("__most", F.greatest(F.lit(15 * DAY), F.coalesce(F.max("__at").over(own) - F.min("__at").over(own), F.lit(0))))
+    near = {}
+    for i in range(len(sides)):
+        at = F.when(F.col("__donor") == i, F.col("__at"))
+        near[f"__near{i}"] = F.least(F.col("__at") - F.max(at).over(back), F.min(at).over(ahead) - F.col("__at"))
+    found = found.withColumns(near)
+    within = [F.when(F.col(f"__near{i}") <= F.col("__most"), F.col(f"__near{i}")) for i in range(len(sides))]
+    found = found.withColumns({"__near": F.when(F.col("__asked"), F.coalesce(*within)), "__side": F.coalesce(*(F.when(x.isNotNull(), i) for i, x in enumerate(within)))})
+    doubled = 15.0 * DAY * F.pow(F.lit(2.0), F.greatest(F.lit(0.0), F.ceil(F.log2(F.greatest("__near", F.lit(1)) / (15.0 * DAY)))))
+    half = F.least(F.col("__most").cast("double"), doubled).cast("long")
+    # A row is itself a donor; a row that asks also marks both ends of its window, before and after the donors there.
+    edge = lambda at, order: F.struct(at.alias("at"), F.lit(order).alias("order"))
+    pieces = F.when(F.col("__near").isNotNull(), F.array(edge(F.col("__at"), 1), edge(F.col("__at") - half, 0), edge(F.col("__at") + half, 2))).otherwise(F.array(edge(F.col("__at"), 1)))
+    spread = found.select(*keys, "__id", "__side", "__donor", "__w", F.struct(*columns).alias("__row"), F.explode(pieces).alias("__edge"))
+    whole = F.col("__edge.order") == 1
+    so_far = own.orderBy("__edge.at", "__edge.order").rowsBetween(Window.unboundedPreceding, 0)
+    counts = whole & (F.col("__donor").isNotNull())
+    sums = []
+    for i in range(len(sides)):
+        of = lambda x: F.coalesce(F.sum(F.when(counts & (F.col("__donor") == i), x)).over(so_far), F.lit(0.0))  # noqa: B023,E731
+        sums.append(F.struct(of(F.col("__w") * F.col("__row.capacity_kwh")).alias("wc"), of(F.col("__w")).alias("w"), of(F.col("__row.capacity_kwh")).alias("c"), of(F.lit(1.0)).alias("n")))
+    picked = F.coalesce(*(F.when(F.col("__side") == i, x) for i, x in enumerate(sums)))
+    spread = spread.withColumns({"__sums": picked, "__row": F.when(whole, F.col("__row"))})
+    at_edge = lambda order: F.max(F.when(F.col("__edge.order") == order, F.col("__sums")))
+    back_together = spread.groupBy(*keys, "__id").agg(F.first("__row", True).alias("__row"), at_edge(2).alias("__top"), at_edge(0).alias("__low"))
+    between = lambda x: F.col(f"__top.{x}") - F.col(f"__low.{x}")
+    mean = F.when(between("w") > 0, between("wc") / between("w")).otherwise(between("c") / between("n"))
+    return back_together.select("__row.*", F.when(F.col("__top").isNotNull(), mean).alias(into))
+
+
+def _whole_mean(donor: Column, keys: list[str]) -> Column:
+    """The donors' weighted mean over all of a key, as a window; the plain mean without weights."""
+    own, weight = Window.partitionBy(*keys), F.coalesce(F.abs("delta_soc"), F.lit(0.0))
+    total = F.sum(F.when(donor, weight)).over(own)
+    return F.when(total > 0, F.sum(F.when(donor, weight * F.col("capacity_kwh"))).over(own) / total).otherwise(F.avg(F.when(donor, F.col("capacity_kwh"))).over(own))
+
+
+def correct_estimates(rows: DataFrame, fallback_kwh: float | None = None, keys: list[str] | None = None) -> DataFrame:
     """Step 1: capacity and energy of rows estimated from the charge, from the donors near in time.
 
-    ``rows``: vehicle_id, leg_id (the period), row_no, ts, delta_soc, capacity_kwh, energy_source,
-    delta_kwh. Charges give the local mean, else discharges, else the period's mean, else
-    ``fallback_kwh``.
+    ``rows``: ``keys`` (a vehicle's report), ts, delta_soc, capacity_kwh, energy_source, delta_kwh.
+    Charges give the local mean if there are any, else discharges; a row without a time takes
+    the mean of the whole report, charges first; a report without donors ``fallback_kwh``.
     """
-    group = ["vehicle_id", "leg_id"]
-    donors = rows.where(is_donor())
+    keys = keys or ["vehicle_id"]
     estimate = (F.col("energy_source") == "soc_estimate") & F.col("delta_soc").isNotNull()
-    asked = rows.where(estimate).select(*group, "row_no", F.col("ts").alias("at"))
-    local = _local_mean(asked, donors.where("delta_soc > 0"), ["row_no"], "up")
-    local = _local_mean(local, donors.where("delta_soc < 0"), ["row_no", "up"], "down")
-    whole = donors.groupBy(*group).agg(weighted_capacity(F.col("capacity_kwh"), F.abs("delta_soc")).alias("whole"))
-    fixed = local.join(whole, group, "left").select(*group, "row_no", F.coalesce("up", "down", "whole", F.lit(fallback_kwh).cast("double")).alias("fixed"))
-    out = rows.join(fixed, [*group, "row_no"], "left")
-    return out.withColumns({"capacity_kwh": F.coalesce("fixed", "capacity_kwh"), "delta_kwh": F.when(F.col("fixed").isNotNull(), F.col("delta_soc") / 100 * F.col("fixed")).otherwise(F.col("delta_kwh"))}).drop("fixed")
-
-
-def replace_outliers(rows: DataFrame) -> DataFrame:
-    """Step 2: capacities over one population deviation from the period's mean take the local mean of the others."""
-    group = ["vehicle_id", "leg_id"]
-    valid = F.col("capacity_kwh").isNotNull()
-    stats = rows.where(valid).groupBy(*group).agg(F.avg("capacity_kwh").alias("mean"), F.stddev_pop("capacity_kwh").alias("sd"), F.count("*").alias("n")).where("n >= 3")
-    marked = rows.join(stats, group, "left").withColumn("outlier", F.coalesce(valid & (F.abs(F.col("capacity_kwh") - F.col("mean")) > F.col("sd")), F.lit(False)))
-    donors = marked.where(valid & ~F.col("outlier") & F.col("mean").isNotNull() & (F.col("energy_source") != "soc_fallback")).withColumn("delta_soc", F.coalesce("delta_soc", F.lit(0.0)))
-    whole = donors.groupBy(*group).agg(weighted_capacity(F.col("capacity_kwh"), F.abs("delta_soc")).alias("whole"))
-    asked = marked.where("outlier").select(*group, "row_no", F.col("ts").alias("at"))
-    local = _local_mean(asked, donors, ["row_no"], "local").select(*group, "row_no", "local")
-    out = marked.join(local, [*group, "row_no"], "left").join(whole, group, "left")
-    fixed = F.when(F.col("outlier"), F.coalesce("local", "whole", "mean")).otherwise(F.col("capacity_kwh"))
-    energy = F.when(F.col("outlier") & (F.col("energy_source") == "soc_estimate") & (F.col("delta_soc") != 0), F.col("delta_soc") / 100 * fixed).otherwise(F.col("delta_kwh"))
-    return out.withColumns({"delta_kwh": energy, "capacity_kwh": fixed}).drop("mean", "sd", "n", "local", "whole")
+    up, down = is_donor() & (F.col("delta_soc") > 0), is_donor() & (F.col("delta_soc") < 0)
+    found = rows.withColumn("__whole", F.coalesce(_whole_mean(up, keys), _whole_mean(down, keys), F.lit(fallback_kwh).cast("double")))
+    found = _local_mean(found, keys, estimate, [up, down], "__local")
+    fixed = F.when(estimate, F.coalesce("__local", "__whole"))
+    return found.withColumns({"delta_kwh": F.coalesce(F.col("delta_soc") / 100 * fixed, F.col("delta_kwh")), "capacity_kwh": F.coalesce(fixed, F.col("capacity_kwh"))}).select(*rows.columns)
+
+
+def replace_outliers(rows: DataFrame, keys: list[str] | None = None, fallback: tuple[float, float] | None = None) -> DataFrame:
+    """Step 2: capacities over one population deviation from the report's mean take the local mean of the others.
+
+    Estimated rows take their energy from it as well. With ``fallback``, (least change of
+    charge in per cent, least relative deviation), so do counted rows that pass both, and their
+    source becomes ``soc_fallback``; otherwise a counter's energy stays. Under three
+    capacities nothing changes. ``outlier`` marks the rows.
+    """
+    keys = keys or ["vehicle_id"]
+    own, valid = Window.partitionBy(*keys), F.col("capacity_kwh").isNotNull()
+    found = rows.withColumns({"__mean": F.avg("capacity_kwh").over(own), "__sd": F.stddev_pop("capacity_kwh").over(own), "__n": F.count("capacity_kwh").over(own)})
+    far = F.abs(F.col("capacity_kwh") - F.col("__mean")) > F.col("__sd")
+    found = found.withColumn("outlier", F.coalesce(valid & (F.col("__n") >= 3) & far, F.lit(False)))
+    inlier = valid & ~F.col("outlier") & F.coalesce(F.col("energy_source") != "soc_fallback", F.lit(True))
+    found = found.withColumn("__whole", F.coalesce(_whole_mean(inlier & F.col("ts").isNotNull(), keys), F.col("__mean")))
+    found = _local_mean(found, keys, F.col("outlier"), [inlier], "__local")
+    new = F.coalesce("__local", "__whole")
+    estimate = (F.col("energy_source") == "soc_estimate") & (F.col("delta_soc") != 0)
+    distrusted = F.lit(False)
+    if fallback:
+        least_soc, least_off = fallback
+        distrusted = F.coalesce(F.coalesce(F.col("energy_source") != "soc_estimate", F.lit(True)) & (F.abs("delta_soc") >= least_soc) & (new > 0) & (F.abs(F.col("capacity_kwh") - new) / new >= least_off), F.lit(False))
+    again = F.col("outlier") & (F.coalesce(estimate, F.lit(False)) | distrusted)
+    return found.withColumns({
+        "delta_kwh": F.when(again, F.col("delta_soc") / 100 * new).otherwise(F.col("delta_kwh")),
+        "energy_source": F.when(F.col("outlier") & distrusted, "soc_fallback").otherwise(F.col("energy_source")),
+        "capacity_kwh": F.when(F.col("outlier"), new).otherwise(F.col("capacity_kwh")),
+    }).select(*rows.columns, "outlier")

@@ -154,16 +154,29 @@ def merge_adjacent(segments: DataFrame, max_gap_min: float) -> DataFrame:
 
 
 def clamp_anchors(segments: DataFrame) -> DataFrame:
-    """Energy anchors that reach into the next segment are cut at its start anchor, if the
-    energy stays negative; needs anchor_start_ts, anchor_end_ts, anchor_start_kwh, anchor_end_kwh."""
-    w = Window.partitionBy(*LEG).orderBy("start_ts", "end_ts")
-    follow = F.lead(F.struct("anchor_start_ts", "anchor_start_kwh")).over(w)
-    rows = segments.where(F.col("energy_source") != "distance_only").withColumn("next", follow)
-    energy = F.col("anchor_start_kwh") - F.col("next.anchor_start_kwh")
-    cuts = F.coalesce((F.col("energy_source") != "soc_estimate") & (F.col("anchor_end_ts") > F.col("next.anchor_start_ts")) & (energy < 0), F.lit(False))
+    """Energy anchors that reach past the next segment's start anchor are cut there, if the energy stays negative.
+
+    Needs energy_source, delta_kwh, delta_soc, capacity_kwh, outside_band and anchor_start_ts,
+    anchor_end_ts, anchor_start_kwh, anchor_end_kwh. Only segments that are cut change: their
+    energy is that between the anchors, their capacity follows it unless they are outside the
+    band. ``distance_only`` segments take no part; their neighbours meet each other. A segment
+    without anchors of its own, or estimated from the charge, is neither cut nor cuts.
+    """
+    no_part = F.coalesce(F.col("energy_source") == "distance_only", F.lit(False))
+    w = Window.partitionBy(*LEG, "__apart").orderBy("start_ts", "end_ts")
+    anchors = [F.col(f"anchor_{side}_{x}") for side in ("start", "end") for x in ("ts", "kwh")]
+    usable = F.coalesce(F.col("energy_source") != "soc_estimate", F.lit(True))
+    for anchor in anchors:
+        usable &= anchor.isNotNull()
+    rows = segments.withColumns({"__apart": no_part, "__usable": usable & ~no_part})
+    rows = rows.withColumn("__next", F.lead(F.struct("anchor_start_ts", "anchor_start_kwh", "__usable")).over(w))
+    energy = F.col("anchor_start_kwh") - F.col("__next.anchor_start_kwh")
+    cuts = F.coalesce(F.col("__usable") & F.col("__next.__usable") & (F.col("anchor_end_ts") > F.col("__next.anchor_start_ts")) & (energy < 0), F.lit(False))
+    follows = cuts & (F.abs("delta_soc") > 0) & ~F.coalesce("outside_band", F.lit(False))
     return rows.withColumns({
         "clamped": cuts,
-        "delta_kwh": F.when(cuts, energy).otherwise(F.col("anchor_start_kwh") - F.col("anchor_end_kwh")),
-        "anchor_end_ts": F.when(cuts, F.col("next.anchor_start_ts")).otherwise(F.col("anchor_end_ts")),
-        "anchor_end_kwh": F.when(cuts, F.col("next.anchor_start_kwh")).otherwise(F.col("anchor_end_kwh")),
-    }).drop("next")
+        "delta_kwh": F.when(cuts, energy).otherwise(F.col("delta_kwh")),
+        "capacity_kwh": F.when(follows, F.abs(energy) / (F.abs("delta_soc") / 100)).otherwise(F.col("capacity_kwh")),
+        "anchor_end_ts": F.when(cuts, F.col("__next.anchor_start_ts")).otherwise(F.col("anchor_end_ts")),
+        "anchor_end_kwh": F.when(cuts, F.col("__next.anchor_start_kwh")).otherwise(F.col("anchor_end_kwh")),
+    }).drop("__next", "__apart", "__usable")

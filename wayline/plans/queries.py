@@ -323,13 +323,22 @@ def _(spark, d):
     return shown(islands.merge_adjacent(trips, 2880), "vehicle_id", "start_ts", "end_ts", "n_parts")
 
 
-@query("n14_anchor_clamp", TRIPS_SQL, """an AS (SELECT vehicle_id, seg, start_us, end_us, start_us AS a0, end_us + 86400000000 AS a1, seg % 1000 AS e0, seg % 1000 + 50 AS e1 FROM trips)""",
-    """ld AS (SELECT *, lead(a0) OVER w AS n0, lead(e0) OVER w AS ne FROM an WINDOW w AS (PARTITION BY vehicle_id ORDER BY start_us, end_us))""",
-    """SELECT vehicle_id, seg, CASE WHEN a1 > n0 AND e0 - ne < 0 THEN n0 ELSE a1 END AS anchor_end_us, CASE WHEN a1 > n0 AND e0 - ne < 0 THEN e0 - ne ELSE e0 - e1 END AS delta_kwh FROM ld""")
+#: Trips with energies, sources and anchors that differ from each other, so that what stays can be told from what is cut.
+ANCHORED_SQL = """an AS (SELECT vehicle_id, seg, start_us, end_us, CASE WHEN seg % 5 = 0 THEN 'soc_estimate' WHEN seg % 7 = 0 THEN 'distance_only' ELSE 'total_energy' END AS src, -CAST(seg % 97 + 1 AS DOUBLE) AS kwh, -CAST(seg % 41 AS DOUBLE) AS ds, CAST(seg % 89 + 100 AS DOUBLE) AS cap, seg % 3 = 0 AS outside,
+    start_us AS a0, CASE WHEN seg % 11 <> 0 THEN end_us + 86400000000 END AS a1, CAST(seg % 1000 AS DOUBLE) AS e0, CAST(seg % 1000 + 50 AS DOUBLE) AS e1 FROM trips)"""
+
+
+@query("n14_anchor_clamp", TRIPS_SQL, ANCHORED_SQL, """us_ AS (SELECT *, src NOT IN ('soc_estimate', 'distance_only') AND a1 IS NOT NULL AS usable FROM an)""",
+    """ld AS (SELECT *, lead(a0) OVER w AS n0, lead(e0) OVER w AS ne, lead(usable) OVER w AS nu FROM us_ WHERE src <> 'distance_only' WINDOW w AS (PARTITION BY vehicle_id ORDER BY start_us, end_us))""",
+    """cl AS (SELECT *, coalesce(usable AND nu AND a1 > n0 AND e0 - ne < 0, false) AS cut FROM ld)""",
+    """SELECT vehicle_id, seg, CASE WHEN cut THEN n0 ELSE a1 END AS anchor_end_us, CASE WHEN cut THEN ne ELSE e1 END AS anchor_end_kwh, CASE WHEN cut THEN e0 - ne ELSE kwh END AS delta_kwh, CASE WHEN cut AND ds <> 0 AND NOT outside THEN abs(e0 - ne) / (abs(ds) / 100) ELSE cap END AS capacity_kwh FROM cl
+    UNION ALL SELECT vehicle_id, seg, a1, e1, kwh, cap FROM an WHERE src = 'distance_only'""")
 def _(spark, d):
-    day = F.expr("interval 1 day")
-    trips = trips_of(telematics(spark, d)).withColumns({"anchor_start_ts": F.col("start_ts"), "anchor_end_ts": F.col("end_ts") + day, "anchor_start_kwh": F.col("seg") % 1000, "anchor_end_kwh": F.col("seg") % 1000 + 50, "energy_source": F.lit("total_energy")})
-    return shown(islands.clamp_anchors(trips), "vehicle_id", "seg", "anchor_end_ts", "delta_kwh")
+    seg, number = F.col("seg"), lambda c: c.cast("double")
+    trips = trips_of(telematics(spark, d)).withColumns({
+        "energy_source": F.when(seg % 5 == 0, "soc_estimate").when(seg % 7 == 0, "distance_only").otherwise("total_energy"), "delta_kwh": -number(seg % 97 + 1), "delta_soc": -number(seg % 41), "capacity_kwh": number(seg % 89 + 100), "outside_band": seg % 3 == 0,
+        "anchor_start_ts": F.col("start_ts"), "anchor_end_ts": F.when(seg % 11 != 0, F.col("end_ts") + F.expr("interval 1 day")), "anchor_start_kwh": number(seg % 1000), "anchor_end_kwh": number(seg % 1000 + 50)})
+    return shown(islands.clamp_anchors(trips), "vehicle_id", "seg", "anchor_end_ts", "anchor_end_kwh", "delta_kwh", "capacity_kwh")
 
 
 @query("a8_interpolated", TRIPS_SQL, """b AS (SELECT trips.vehicle_id, seg, k.wh AS v0, k.us AS t0 FROM trips ASOF LEFT JOIN (SELECT * FROM t WHERE wh IS NOT NULL) k ON trips.vehicle_id = k.vehicle_id AND seg >= k.us)""",
@@ -375,21 +384,42 @@ def _(spark, d):
     return C.period_capacity(_capacity_rows(spark, d), ["vehicle_id"])
 
 
-@query("a17_local_capacity", CAP_SQL, """sp AS (SELECT vehicle_id, greatest(1296000000000, max(us) - min(us)) AS most FROM c WHERE src = 'ac_dc' GROUP BY 1)""",
-    """nr AS (SELECT e.vehicle_id, e.row_no, e.us, most, min(abs(x.us - e.us)) AS near FROM c e JOIN sp USING (vehicle_id) JOIN c x ON x.vehicle_id = e.vehicle_id AND x.src = 'ac_dc' WHERE e.src = 'soc_estimate' GROUP BY ALL)""",
-    """hf AS (SELECT *, CAST(least(most, 1296000000000 * pow(2, greatest(0, ceil(log2(greatest(near, 1) / 1296000000000))))) AS BIGINT) AS half FROM nr WHERE near <= most)""",
-    """lc AS (SELECT h.row_no, sum(x.cap * x.w) / sum(x.w) AS v FROM hf h JOIN c x ON x.vehicle_id = h.vehicle_id AND x.src = 'ac_dc' AND abs(x.us - h.us) <= half GROUP BY 1)""",
-    """SELECT row_no, v AS capacity_kwh FROM lc""")
+def local_sql(name: str, table: str, asked: str, donors: list[str]) -> list[str]:
+    """Rows of ``table`` that ask, with the mean ``v`` of the first of ``donors`` that there are, all pairs compared."""
+    near = ", ".join(f"min(abs(x.us - e.us)) FILTER ({d}) AS n{i}" for i, d in enumerate(donors))
+    side = "CASE " + " ".join(f"WHEN n{i} IS NOT NULL THEN {i}" for i in range(len(donors))) + " END"
+    is_side = " OR ".join(f"(side = {i} AND {d})" for i, d in enumerate(donors))
+    return [
+        f"{name}s AS (SELECT vehicle_id, greatest(1296000000000, max(us) - min(us)) AS most FROM {table} GROUP BY 1)",
+        f"{name}n AS (SELECT e.vehicle_id, e.row_no, e.us, {near} FROM {table} e JOIN {table} x USING (vehicle_id) WHERE e.{asked} GROUP BY ALL)",
+        f"{name}h AS (SELECT n.*, {side} AS side, CAST(least(most, 1296000000000 * pow(2, greatest(0, ceil(log2(greatest(coalesce({', '.join(f'n{i}' for i in range(len(donors)))}), 1) / 1296000000000))))) AS BIGINT) AS half FROM {name}n n JOIN {name}s USING (vehicle_id))",
+        f"{name} AS (SELECT h.row_no, CASE WHEN sum(abs(x.ds)) > 0 THEN sum(x.cap * abs(x.ds)) / sum(abs(x.ds)) ELSE avg(x.cap) END AS v FROM {name}h h JOIN {table} x ON x.vehicle_id = h.vehicle_id AND abs(x.us - h.us) <= half WHERE {is_side} GROUP BY 1)",
+    ]
+
+
+#: Users differ in what gives their capacity: charges, discharges only, or nothing.
+SOURCES_SQL = "c1 AS (SELECT * REPLACE (CASE WHEN vehicle_id % 3 > 0 AND src = 'ac_dc' THEN 'soc_estimate' WHEN vehicle_id % 3 = 2 AND vehicle_id % 2 = 0 THEN 'soc_estimate' ELSE src END AS src) FROM c), c2 AS (SELECT *, src = 'soc_estimate' AS est FROM c1)"
+STEP1_SQL = [CAP_SQL, SOURCES_SQL, *local_sql("lc", "c2", "est", ["NOT x.est AND x.ds > 0", "NOT x.est AND x.ds < 0"]), "st1 AS (SELECT c2.*, CASE WHEN est THEN coalesce(v, 280) ELSE cap END AS cap1, CASE WHEN est THEN ds / 100 * coalesce(v, 280) END AS kwh1 FROM c2 LEFT JOIN lc USING (row_no))"]
+
+
+def _sourced(spark, d):
+    user, source = F.col("vehicle_id"), F.col("energy_source")
+    return _capacity_rows(spark, d).withColumn("energy_source", F.when((user % 3 > 0) & (source == "ac_dc"), "soc_estimate").when((user % 3 == 2) & (user % 2 == 0), "soc_estimate").otherwise(source))
+
+
+@query("a17_local_capacity", *STEP1_SQL, "SELECT row_no, cap1 AS capacity_kwh, kwh1 AS delta_kwh FROM st1")
 def _(spark, d):
-    rows = _capacity_rows(spark, d)
-    fixed = C.correct_estimates(rows.where("energy_source in ('ac_dc', 'soc_estimate')"))
-    has = rows.where("energy_source = 'ac_dc'").select("vehicle_id").distinct()
-    return fixed.where("energy_source = 'soc_estimate'").join(has, "vehicle_id", "left_semi").select("row_no", "capacity_kwh")
+    return C.correct_estimates(_sourced(spark, d), 280.0).select("row_no", "capacity_kwh", "delta_kwh")
+
+
+#: Whole capacities, so that who is an outlier doesn't hang on the order of a sum.
+OUTLIER_SQL = [CAP_SQL, """mm AS (SELECT vehicle_id, avg(cap) AS m, stddev_pop(cap) AS s, count(*) AS n FROM c GROUP BY 1)""", """oc AS (SELECT c.*, n >= 3 AND abs(cap - m) > s AS bad, m FROM c JOIN mm USING (vehicle_id))""", *local_sql("lo", "oc", "bad", ["NOT x.bad"]),
+    """fx AS (SELECT oc.*, coalesce(v, m) AS new, bad AND src <> 'soc_estimate' AND abs(ds) >= 10 AND abs(cap - coalesce(v, m)) / coalesce(v, m) >= 0.1 AS back FROM oc LEFT JOIN lo USING (row_no))"""]
 
 
-@query("a17_outliers", CAP_SQL, """st AS (SELECT vehicle_id, avg(cap) AS m, stddev_pop(cap) AS s, count(*) AS n FROM c GROUP BY 1)""", "SELECT row_no, n >= 3 AND abs(cap - m) > s AS outlier FROM c JOIN st USING (vehicle_id)")
+@query("a17_outliers", *OUTLIER_SQL, "SELECT row_no, bad AS outlier, CASE WHEN bad THEN new ELSE cap END AS capacity_kwh, CASE WHEN bad AND (src = 'soc_estimate' OR back) THEN ds / 100 * new END AS delta_kwh, CASE WHEN back THEN 'soc_fallback' ELSE src END AS energy_source FROM fx")
 def _(spark, d):
-    return C.replace_outliers(_capacity_rows(spark, d)).select("row_no", "outlier")
+    return C.replace_outliers(_capacity_rows(spark, d), fallback=(10.0, 0.1)).select("row_no", "outlier", "capacity_kwh", "delta_kwh", "energy_source")
 
 
 LEDGER_SQL = "SELECT vehicle_id, coalesce(sum(kwh * n) FILTER (n >= 5) / sum(n) FILTER (n >= 5), sum(kwh * n) FILTER (n > 0) / sum(n) FILTER (n > 0)) AS kwh FROM l GROUP BY 1"
