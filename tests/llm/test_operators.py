@@ -177,6 +177,30 @@ def test_html_ratios_decide_where_nothing_is_marked(monkeypatch):
     assert not any(extract(p).endswith(w) for p, w in zip(pages, want))
 
 
+def test_html_form_around_a_page_is_no_form():
+    prose_ = "A long paragraph of the article, which says several things. It goes on for a while, until it ends here. Really."
+    page = f"<html><body><form id=whole><div class=menu><a href=x>Home</a></div><div><h1>Title</h1><p>{prose_}</p><p>{prose_}</p></div><input></form></body></html>"
+    assert extract(page) == f"Title\n{prose_}\n{prose_}"
+    page = f"<html><body><div><h1>Title</h1><p>{prose_}</p><p>{prose_}</p></div><form><p>Subscribe to our letter.</p><input><label>Your mail</label></form></body></html>"
+    assert extract(page) == f"Title\n{prose_}\n{prose_}"
+
+
+@pytest.mark.parametrize("length", range(12, 21))
+def test_line_dedup_finds_every_passage_from_twelve_words_on(spark, length):
+    rng = random.Random(length)
+    passages = [" ".join(f"p{length}x{i}y{k}" for k in range(length)) for i in range(60)]
+    texts = passages + [f"{prose(rng, 20, 10**6)} {p} {prose(rng, 20, 10**6)}" for p in passages]
+    found = {r.doc_id: r.text for r in dedup_lines(rows(spark, texts)).collect()}
+    assert not [i for i, p in enumerate(passages) if p.split()[0] in found[len(passages) + i + 1]]
+
+
+def test_quality_model_takes_ids_of_any_type(spark):
+    docs = spark.createDataFrame([(f"d{i}", ("good clean words here " if i % 2 else "bad spam junk !!! ") * 5) for i in range(200)] + [(None, "x"), ("d1", None)], "doc_id string, text string")
+    labels = spark.createDataFrame([(f"d{i}", i % 2) for i in range(200)], "doc_id string, quality int")
+    found = quality.score(docs.withColumn("score", quality.F.lit("kept")), quality.fit(docs, labels), keep=("doc_id", "score"), name="made").collect()
+    assert len(found) == 202 and all((r.made > 0.5) == (int(r.doc_id[1:]) % 2 == 1) for r in found if r.doc_id not in (None, "d1")) and {r.score for r in found} == {"kept"}
+
+
 def brute_overlaps(docs, items):
     split = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
     out = {}
@@ -590,3 +614,23 @@ def test_pipeline_on_a_small_corpus(spark, tmp_path):
     # The copies, the near copy, the junk and the text with the benchmark item are gone.
     assert set(got) == set(range(60))
     assert all(n > 0 for n in got.values())
+
+
+def test_stages_on_odd_rows_and_clashing_names(spark, tmp_path):
+    """Nulls in every column, empty and long texts, repeated rows, no rows, and columns named like the stages' own."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(4)
+    texts = [*(prose(rng, 60, 5000) for _ in range(20)), "", None, prose(rng, 50_000, 5000), "one"]
+    schema = "doc_id string, text string, lang string, source string, n_chars long, score double, removed int, ids string, n_tokens int, class long, __text string, __words string"
+    made = [(f"d{i}", t, None, "s", None, 0.5, 1, "x", 2, 3, "y", "z") for i, t in enumerate(texts)]
+    made += [made[0], made[0], (None, texts[1], None, None, None, None, None, None, None, None, None, None)]
+    spark.createDataFrame([(1, prose(rng, 20, 5000)), (2, None), (None, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(f"d{i}", 1) for i in range(20)] + [(None, 1), ("d1", None)], "doc_id string, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame(made, schema)
+    for name, stage in corpus_pipeline.STAGES:
+        kept, none = stage(spark, docs, str(tmp_path)), stage(spark, docs.limit(0), str(tmp_path))
+        assert none.count() == 0 and {r.doc_id for r in kept.collect()} >= {f"d{i}" for i in range(2, 20)}, name
+        if name == "bpe":
+            assert {"ids", "n_tokens", "score", "removed"} <= set(kept.columns) and dict(kept.dtypes)["ids"] == "array<int>"
+        else:
+            assert kept.columns == docs.columns and {r.score for r in kept.collect()} <= {0.5, None}, name

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe_native import PATTERN, load_ranks, pair_table
-from .common import giving_back, text_or_empty
+from .common import free_name, giving_back, text_or_empty
 
 NONE = np.int64(1 << 20)
 LONG_WORD = 128  # bytes; longer ones are merged one by one
@@ -175,7 +175,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...] = ("d
 
     Null and empty texts have no ids; repeated rows each give a row.
     """
-    source = docs.select(*keep, _words(docs, text_column).alias("__words"))
+    source = docs.select(*keep, _words(docs, text_column).alias(free_name(keep, "__words")))
 
     def run(batches):
         coder = _Batches(Codec(ranks))
@@ -214,7 +214,7 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...] = ("d
 def fingerprints(docs: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...] = ("doc_id",), text_column: str = "text") -> DataFrame:
     """The ``keep`` columns of every row and, of its whole text: ``n_tokens``, ``ids_sha256`` (of the
     decimal ids joined by commas), ``decoded_sha256`` (of the bytes that the ids decode to)."""
-    source = docs.select(*keep, _words(docs, text_column).alias("__words"))
+    source = docs.select(*keep, _words(docs, text_column).alias(free_name(keep, "__words")))
     made = T._parse_datatype_string("n_tokens long, ids_sha256 string, decoded_sha256 string").fields
 
     def run(batches):

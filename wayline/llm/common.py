@@ -69,6 +69,13 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def free_name(columns: Sequence[str], name: str) -> str:
+    """``name``, or with underscores before it one that no column has."""
+    while name.lower() in (c.lower() for c in columns):
+        name = "_" + name
+    return name
+
+
 def hex_sha256(column: Column) -> Column:
     return F.sha2(column, 256)
 

@@ -24,9 +24,9 @@ from .common import map_texts
 # HTML's own element names, by what they are for.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 IN_HEAD = {"title", "meta", "link", "style", "script", "base", "noscript", "template"}
-UNSHOWN = {"head", "title", "script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio", "video", "select", "option", "button", "textarea", "form", "dialog", "datalist"}
-FRAME = {"nav", "footer", "aside", "menu"}
-INLINE_UNSHOWN = UNSHOWN - {"head", "form", "dialog"}
+UNSHOWN = {"head", "title", "script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio", "video", "select", "option", "button", "textarea", "dialog", "datalist"}
+FRAME = {"nav", "footer", "aside", "menu", "form"}
+INLINE_UNSHOWN = UNSHOWN - {"head", "dialog"}
 BLOCK = {"html", "body", "address", "article", "aside", "blockquote", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"} | UNSHOWN
 CLOSES_P = BLOCK - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"} - UNSHOWN | {"form"}
 SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -42,6 +42,7 @@ PUNCTUATION = re.compile(r"[.,;:!?¿¡…。，、！？]")
 LINK_WEIGHT = 0.25
 THRESHOLD = 0.13  # of the best path's score
 HALF_LENGTH, HALF_MARKS = 30, 4  # a path's own ratios count in full far beyond these
+FORM_PROSE = (100, 2)  # a form with a block of so many characters and sentence signs wraps text, as server-side forms wrap pages
 DEEPEST = 256  # elements below count as in the one at this depth
 OVERRULED = 0.1  # where what isn't excluded holds less of the page's score, class names are not believed
 
@@ -57,6 +58,8 @@ class _Blocks(HTMLParser):
         self.closings = Counter(x.lower() for x in re.findall(r"</([a-zA-Z]+)", html) if x.lower() in UNSHOWN)
         self.open: list[tuple[str, str, bool, int]] = []
         self.blocks: list[tuple[tuple[str, ...], str, int, tuple[int, ...]]] = []
+        self.forms: list[list[tuple[int, int]]] = []  # of each block the forms around it: place in the path, number
+        self.prose: set[int] = set()  # forms that hold prose
         self.number = 0
         self.text: list[str] = []
         self.linked = self.links = self.unshown = 0
@@ -66,6 +69,10 @@ class _Blocks(HTMLParser):
         if text:
             shown = [x for x in self.open if x[1]]
             self.blocks.append((tuple(x[1] for x in shown), text, self.linked, tuple(x[3] for x in shown[:-1])))
+            forms = [(at, x[3]) for at, x in enumerate(shown) if x[0] == "form"]
+            self.forms.append(forms)
+            if len(text) - self.linked >= FORM_PROSE[0] and len(PUNCTUATION.findall(text)) >= FORM_PROSE[1]:
+                self.prose.update(number for _, number in forms)
         self.text, self.linked = [], 0
 
     def close_from(self, at: int):
@@ -141,7 +148,10 @@ def blocks_of(html: str) -> list[tuple[tuple[str, ...], str, int, tuple[int, ...
     parser.feed(html)
     parser.close()
     parser.flush()
-    return parser.blocks
+    # A form that wraps prose is no form to fill in.
+    wraps = lambda forms: {at for at, number in forms if number in parser.prose}
+    bare = lambda path, at: tuple(part.replace("!form", "") if i in at else part for i, part in enumerate(path))
+    return [(bare(path, wraps(forms)), *rest) for (path, *rest), forms in zip(parser.blocks, parser.forms)]
 
 
 def _excluded(path: tuple[str, ...], believe_names: bool = True) -> bool:

@@ -1,12 +1,12 @@
 """Line dedup by pairwise alignment of passages, wherever in a line they begin or end.
 
-The words of a text are one sequence. Runs of ``run_words`` words are hashed, and of
-every ``window`` runs in a row the one with the least hash is an anchor, so two texts
-that share ``run_words + window - 1`` words share an anchor, wherever it stands. Each
+The words of a text are one sequence. Runs of ``run_words - window + 1`` words are hashed,
+and of every ``window`` runs in a row the one with the least hash is an anchor, so two
+texts that share ``run_words`` words share an anchor, wherever it stands. Each
 later document that holds an anchor is paired with the anchor's earliest holder, however
 many hold it. Anchors go to buckets as packed hashes, so a hot one is some bytes a
 document in one bucket. Each pair's texts are aligned by patience diff on their common
-runs; what the runs cover leaves the later document, and so do a few words that were
+runs of ``run_words`` words; what the runs cover leaves the later document, and so do a few words that were
 replaced one for one between two aligned runs. The earliest holder of a run never loses
 it. A text that an earlier document has word for word loses everything and is not
 paired at all.
@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import cut, giving_back, scaled_partitions, small
+from .common import cut, free_name, giving_back, scaled_partitions, small
 from .patience import align
 from .words import _BASE, SPACES, mix, words_of
 
 RUN_WORDS = 12  # least words of a common block that goes
-WINDOW = 5  # of so many runs in a row one is an anchor: passages of 16 words have one
+WINDOW = 5  # of so many shorter runs in a row one is an anchor: passages of RUN_WORDS words have one
 REPLACED_WORDS = 2  # so many words replaced by as many others don't part two blocks
 PAIRS_EACH = 200  # of one earlier document in a join key
 BUCKET_BYTES = 32_000_000  # of text, whose runs make a bucket
@@ -192,9 +192,9 @@ def duplicate_passages(docs: DataFrame, copied: DataFrame, run_words: int = RUN_
     for documents that lose any and aren't later copies of a text in ``copied``.
 
     Words are runs of other characters than ASCII white space, compared as they are. What
-    goes are runs of ``run_words`` words that an earlier document holds; of a passage of
-    ``run_words + window - 1`` words or more that an earlier document holds, at most
-    ``window - 1`` words at either end stay. Rows with the same id and text are one
+    goes are runs of ``run_words`` words that an earlier document holds. Every passage of that
+    length meets an anchor; a document is paired with the earliest holder of each of its
+    anchors, so of a longer passage that this one holds in part the rest may stay. Rows with the same id and text are one
     document; the order of documents is by id and then a hash of the text. Null ids
     and null or empty texts take no part.
     """
@@ -202,7 +202,7 @@ def duplicate_passages(docs: DataFrame, copied: DataFrame, run_words: int = RUN_
     rows = rows.join(copied, [a == b for a, b in zip(text_key(), (copied["hash"], copied["crc"], copied["bytes"]))] + [rows["doc_id"] > copied["first_id"]], "left_anti")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = scaled_partitions(docs.sparkSession, size, BUCKET_BYTES)
-    pairs = cut(_pairs(_bucketed(rows, buckets, run_words, window).repartition(buckets, "bucket"), buckets))
+    pairs = cut(_pairs(_bucketed(rows, buckets, run_words - window + 1, window).repartition(buckets, "bucket"), buckets))
 
     # Texts are read where the documents are, if the pairs are few, and meet at the earlier one's; one
     # that many later documents follow goes out in copies, so its pairs fall to many tasks.
@@ -291,8 +291,8 @@ def without(data: bytes, start: np.ndarray, end: np.ndarray, spans) -> bytes:
     return b"".join([*out, data[at:]])
 
 
-def dedup_lines(docs: DataFrame, run_words: int = RUN_WORDS, window: int = WINDOW) -> DataFrame:
-    """All rows and columns of ``docs``, with ``text`` without its duplicate passages, and ``removed``,
+def dedup_lines(docs: DataFrame, run_words: int = RUN_WORDS, window: int = WINDOW, removed: str = "removed") -> DataFrame:
+    """All rows and columns of ``docs``, with ``text`` without its duplicate passages, and as ``removed``
     the spans ``first, end`` of the words that went (empty if none). A text that lost all its words is
     empty, as is a later copy of a whole text of ``run_words`` words or more. Rows with a null id or
     text stay as they are, and so do rows that repeat one id and text."""
@@ -303,8 +303,8 @@ def dedup_lines(docs: DataFrame, run_words: int = RUN_WORDS, window: int = WINDO
     joined = marked.join(small(cut(gone)), (docs["doc_id"] == F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), "left")
     others = [docs[c] for c in docs.columns if c != "text"]
     everything = F.when(F.col("__copy_hash").isNotNull(), F.array(F.struct(F.lit(0).alias("first"), F.lit(ALL_WORDS).alias("end"))))
-    source = joined.select(*others, docs["text"].alias("__text"), F.coalesce(everything, "__places").alias("__places"))
-    schema = T.StructType([*(docs.schema[c] for c in docs.columns if c != "text"), T.StructField("text", docs.schema["text"].dataType), T.StructField("removed", gone.schema["__places"].dataType)])
+    source = joined.select(*others, docs["text"].alias(free_name(docs.columns, "__text")), F.coalesce(everything, "__places").alias(free_name(docs.columns, "__places")))
+    schema = T.StructType([*(docs.schema[c] for c in docs.columns if c != "text"), T.StructField("text", docs.schema["text"].dataType), T.StructField(removed, gone.schema["__places"].dataType)])
     arrow = to_arrow_schema(schema)
 
     def strip(batches):
@@ -312,7 +312,7 @@ def dedup_lines(docs: DataFrame, run_words: int = RUN_WORDS, window: int = WINDO
             texts, places = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
             hit = np.flatnonzero(places.is_valid().to_numpy(zero_copy_only=False))
             kept: dict[int, str] = {}
-            removed: list[list] = [[] for _ in range(batch.num_rows)]
+            went: list[list] = [[] for _ in range(batch.num_rows)]
             chosen = texts.take(pa.array(hit, pa.int64()))
             for words in words_of(chosen, SPACES, lower=False):
                 bounds = words.bounds()
@@ -324,12 +324,12 @@ def dedup_lines(docs: DataFrame, run_words: int = RUN_WORDS, window: int = WINDO
                         spans = []
                     data = words.data[begin : int(words.offsets[t + 1])].tobytes()
                     kept[row] = without(data, words.start[low:high] - begin, words.end[low:high] - begin, spans).decode()
-                    removed[row] = [{"first": a, "end": b} for a, b in spans]
+                    went[row] = [{"first": a, "end": b} for a, b in spans]
             if kept:
                 flat = texts.to_pylist()
                 for row, text in kept.items():
                     flat[row] = text
                 texts = pa.array(flat, arrow.field("text").type)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], texts.cast(arrow.field("text").type), pa.array(removed, arrow.field("removed").type)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], texts.cast(arrow.field("text").type), pa.array(went, arrow.field(removed).type)], schema=arrow)
 
-    return source.mapInArrow(giving_back(strip), schema).select(*docs.columns, "removed")
+    return source.mapInArrow(giving_back(strip), schema).select(*docs.columns, removed)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import giving_back
+from .common import free_name, giving_back
 from .words import SPACES, mix, words_of
 
 BITS = 18
@@ -138,7 +138,7 @@ def held_out(id_column: str | Column = "doc_id") -> Column:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: int = FIT_ROWS) -> Model:
     """A model from the labelled rows that aren't held out.
 
-    An id with several labels counts as 1 if at least half of them are. With no
+    Ids may be of any type that both tables share. An id with several labels counts as 1 if at least half of them are. With no
     labelled rows, or rows of one class, every score is that class's share (0.5 if none).
     """
     given = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out("doc_id"))
@@ -180,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
                     lists[first + i] = feature[bounds[i] : bounds[i + 1]].astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array([x.tobytes() for x in lists], pa.binary())], names=["doc_id", "y", "features"])
 
-    sample = texts.join(F.broadcast(chosen), "doc_id").select("text", "doc_id", "y").mapInArrow(giving_back(featurise), "doc_id long, y boolean, features binary")
+    sample = texts.join(F.broadcast(chosen), "doc_id").select("text", "doc_id", "y").mapInArrow(giving_back(featurise), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y boolean, features binary")
     sample = sample.orderBy("doc_id", "features").toPandas()
     if sample["y"].nunique() < 2:
         return Model(np.zeros(1 << BITS), 0.0, 1.0, 30.0 if n_good * 2 >= n else -30.0)
@@ -197,13 +197,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
     return Model(w * ratio, bias, slope, offset)
 
 
-def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns of every row and its ``score``; a null text counts as empty."""
+def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """The ``keep`` columns of every row and its score as ``name``; a null text counts as empty."""
 
     def run(batches):
         for batch in batches:
             values = model.score(batch.column(batch.num_columns - 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(values)], names=[*batch.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(values)], names=[*batch.schema.names[:-1], name])
 
-    source = docs.select(*keep, F.col("text").alias("__text"))
-    return source.mapInArrow(giving_back(run), T.StructType([*source.schema.fields[:-1], T.StructField("score", T.DoubleType())]))
+    source = docs.select(*keep, F.col("text").alias(free_name(keep, "__text")))
+    return source.mapInArrow(giving_back(run), T.StructType([*source.schema.fields[:-1], T.StructField(name, T.DoubleType())]))
