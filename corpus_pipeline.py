@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayline.llm import bpe, quality
-from wayline.llm.common import shared_dir, table
+from wayline.llm.common import free_name, shared_dir, table
 from wayline.llm.decontaminate import decontaminate
 from wayline.llm.jaccard import one_of_each_group
 from wayline.llm.line_dedup import dedup_lines
@@ -23,16 +23,17 @@ REJECT_BELOW = 0.3
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score is under ``REJECT_BELOW`` go."""
+    """Documents whose score is under ``REJECT_BELOW`` go; null and empty texts have a score like any other."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, keep=tuple(docs.columns))
-    return scored.where(F.col("score") >= REJECT_BELOW).drop("score")
+    name = free_name(docs.columns, "score")
+    return quality.score(docs, model, keep=tuple(docs.columns), name=name).where(F.col(name) >= REJECT_BELOW).drop(name)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document holds leave the later one, and a document that has
-    nothing else goes; ``n_chars`` follows the text."""
-    rows = dedup_lines(docs).where((F.size("removed") == 0) | (F.trim("text") != "")).drop("removed")
+    nothing else goes; ``n_chars`` follows the text. Null ids and null texts stay as they are."""
+    name = free_name(docs.columns, "removed")
+    rows = dedup_lines(docs, removed=name).where((F.size(name) == 0) | (F.trim("text") != "")).drop(name)
     return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else rows
 
 
@@ -47,9 +48,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of each whole text."""
+    """``ids``, the token ids of each whole text, and ``n_tokens`` in place of ``text`` and of columns of these names; none for null."""
     path = import_module("public_tokenizers").path("byte_bpe_multi_50k.tiktoken")
-    tokens = bpe.encode(docs, bpe.load_ranks(path), keep=tuple(c for c in docs.columns if c != "text"))
+    tokens = bpe.encode(docs, bpe.load_ranks(path), keep=tuple(c for c in docs.columns if c.lower() not in ("text", "ids", "n_tokens")))
     return tokens.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
