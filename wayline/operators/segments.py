@@ -8,8 +8,8 @@ from pyspark.sql.window import Window
 
 from ..sources.store import written
 from ..sources.telematics import LEG
-from .islands import MINUTE, us
-from .joins import in_interval, subtract_intervals
+from .islands import MINUTE, discharge_blocks, speed_trips, us
+from .joins import as_of_nearest, in_interval, subtract_intervals
 
 COUNTERS = ("total_energy", "moving_energy")
 STEP_RATE, STEP_SHARE = 300.0, 0.5  # per cent an hour, and of the change: quicker is no discharge
@@ -58,12 +58,16 @@ def _inside(c: str, first: bool) -> Column:
     return F.when(ok, F.col(f"{side}.v"))
 
 
-def measure_trips(windows: DataFrame, rows: DataFrame, ident: list[str], nominal_kwh: float | None = None, min_soc_drop: float = 0.0, min_energy_kwh: float = 0.0, band: tuple[float, float] | None = None, keep_outside_band: bool = False) -> DataFrame:
+Number = float | Column
+
+
+def measure_trips(windows: DataFrame, rows: DataFrame, ident: list[str], nominal_kwh: float | None = None, min_soc_drop: Number = 0.0, min_energy_kwh: Number = 0.0, band: tuple[Number, Number] | None = None, keep_outside_band: bool | Column = False) -> DataFrame:
     """Trip windows with charge, energy, distance and place of each, and ``failed``: the first gate that a
     window does not pass (``soc``, ``no_energy``, ``energy``, ``band``), null if it passes all.
 
     The charge is that of the first and last reading inside, else of the nearest before and
-    after. Energy, negative for use, is the change of the total counter between its readings
+    after, unless the windows bring ``start_soc`` and ``end_soc``. Limits may be columns of the
+    windows, so that windows of several kinds are measured at once. Energy, negative for use, is the change of the total counter between its readings
     at or before the start and at or after the end, else of the moving counter, else the
     charge's share of ``nominal_kwh``. Capacity is null without a drop; with
     ``keep_outside_band`` a counted trip outside the band stays, without a capacity.
@@ -72,6 +76,8 @@ def measure_trips(windows: DataFrame, rows: DataFrame, ident: list[str], nominal
     none = F.col("soc_n") < 1
     start_soc = F.when(none, F.col("soc_b0.v")).otherwise(_inside("soc", True))
     end_soc = F.when(none, F.col("soc_a1.v")).otherwise(_inside("soc", False))
+    if "start_soc" in windows.columns:
+        start_soc, end_soc = F.coalesce("start_soc", start_soc), F.coalesce("end_soc", end_soc)
     found = found.withColumns({"start_soc": start_soc, "end_soc": end_soc})
     found = found.withColumn("delta_soc", F.coalesce(F.col("end_soc") - F.col("start_soc"), F.lit(0.0)))
     used = lambda c: F.nullif(F.greatest(F.col(f"{c}_a1.v") - F.col(f"{c}_b0.v"), F.lit(0.0)), F.lit(0.0)) / 1000
@@ -83,7 +89,7 @@ def measure_trips(windows: DataFrame, rows: DataFrame, ident: list[str], nominal
     capacity = F.when(F.col("delta_soc") < 0, F.abs("delta_kwh") / (-F.col("delta_soc") / 100))
     found = found.withColumn("capacity_kwh", capacity)
     outside = F.coalesce(~F.col("capacity_kwh").between(*band), F.lit(False)) if band else F.lit(False)
-    kept = outside & F.col("energy_source").isin(*COUNTERS) & F.lit(keep_outside_band)
+    kept = outside & F.col("energy_source").isin(*COUNTERS) & (keep_outside_band if isinstance(keep_outside_band, Column) else F.lit(keep_outside_band))
     known_soc = F.col("start_soc").isNotNull() & F.col("end_soc").isNotNull()
     failed = F.when(known_soc & (-F.col("delta_soc") < min_soc_drop), "soc").when(F.col("delta_kwh").isNull(), "no_energy").when((F.abs("delta_kwh") < min_energy_kwh) | (F.col("delta_kwh") >= 0), "energy").when(outside & ~kept, "band")
     found = found.withColumns({
@@ -96,9 +102,64 @@ def measure_trips(windows: DataFrame, rows: DataFrame, ident: list[str], nominal
     return found.withColumn("capacity_kwh", F.when(~F.col("outside_band"), F.col("capacity_kwh"))).drop(*(f"{c}_{x}" for c in ("soc", "odometer_km", "total_wh", "moving_wh", "lat", "lon") for x in ("b0", "a0", "b1", "a1", "n")))
 
 
-def long_enough(trips: DataFrame, min_km: float) -> DataFrame:
-    """Trips of at least ``min_km``; those without a distance stay."""
-    return trips.where(F.col("distance_km").isNull() | (F.col("distance_km") >= min_km))
+def speed_rows(rows: DataFrame, logger: DataFrame | None = None, prefer_logger: bool = False) -> DataFrame:
+    """The samples that each leg's speed comes from: its own, or the logger's (vehicle, leg, ts, row_no, speed_kmh) where
+    the leg has no speed above zero, or wherever there are any with ``prefer_logger``."""
+    own = rows.select(*LEG, "ts", F.col("row_no").cast("long").alias("row_no"), F.col("speed_kmh").cast("double").alias("speed_kmh"), F.lit(False).alias("logged"))
+    if logger is None:
+        return own.drop("logged")
+    both = own.unionByName(logger.select(*LEG, "ts", F.col("row_no").cast("long").alias("row_no"), F.col("speed_kmh").cast("double").alias("speed_kmh"), F.lit(True).alias("logged")))
+    leg = Window.partitionBy(*LEG)
+    moves = F.bool_or(~F.col("logged") & F.coalesce(F.col("speed_kmh") > 0, F.lit(False))).over(leg)
+    return both.withColumn("use", F.bool_or("logged").over(leg) & (F.lit(prefer_logger) | ~moves)).where(F.col("logged") == F.col("use")).drop("logged", "use")
+
+
+def with_logger_mass(rows: DataFrame, logger: DataFrame, tolerance_min: float = 5.0) -> DataFrame:
+    """``rows`` whose legs have no mass above zero take the logger's (vehicle, leg, ts, row_no, mass_kg) nearest in time, if it is near enough."""
+    bare = F.bool_and(F.coalesce(F.col("mass_kg") <= 0, F.lit(True))).over(Window.partitionBy(*LEG))
+    marked = rows.withColumn("__bare", bare)
+    asked = marked.where("__bare").select(*LEG, F.col("row_no").alias("of_row"), F.col("ts").alias("at"))
+    known = logger.select(*LEG, "ts", "row_no", F.col("mass_kg").cast("double").alias("logger_kg"))
+    near = as_of_nearest(asked, known, "logger_kg", ["of_row"], tolerance_min).select(*LEG, F.col("of_row").alias("row_no"), "logger_kg")
+    joined = marked.join(near, [*LEG, "row_no"], "left")
+    return joined.withColumn("mass_kg", F.when(F.col("__bare"), F.col("logger_kg")).otherwise(F.col("mass_kg"))).select(*rows.columns)
+
+
+def discharge_segments(rows: DataFrame, charges: DataFrame | None = None, trip_options: dict | None = None, block_options: dict | None = None, trip_limits: dict | None = None, block_limits: dict | None = None, nominal_kwh: float | None = None, min_block_km: float = 0.0, confirmed_km: float | None = None, logger: DataFrame | None = None, prefer_logger: bool = False) -> DataFrame:
+    """Every leg's discharges, by speed or by the state of charge, measured in one pass.
+
+    A leg's ``branch`` (a column of ``rows``; without it all are ``speed``) says how: ``speed``
+    takes its trips, from the logger's speed where it has none of its own, ``soc`` the blocks
+    in which the charge falls. A speed leg of whose trips none is left, nor rescued by
+    the odometer (``confirmed_km``, outside ``charges`` c_start, c_end), takes its blocks instead.
+    Blocks under ``min_block_km`` go. Both kinds of windows are one table: readings around
+    them are looked up at once and limits go by the kind. Adds ``branch`` and ``seg``.
+    """
+    if "branch" not in rows.columns:
+        rows = rows.withColumn("branch", F.lit("speed"))
+    known = F.when(F.col("branch").isin("speed", "soc"), F.col("branch")).otherwise(F.raise_error(F.concat(F.lit("unknown branch "), F.coalesce("branch", F.lit("null")))))
+    rows = rows.withColumn("branch", known)
+    legs = rows.groupBy(*LEG).agg(F.first("branch").alias("leg_branch"))
+    moving = speed_rows(rows.where("branch = 'speed'"), logger, prefer_logger)
+    trips = speed_trips(moving, **(trip_options or {})).select(*LEG, "start_ts", "end_ts", F.lit("speed").alias("branch"), F.lit(None).cast("double").alias("start_soc"), F.lit(None).cast("double").alias("end_soc"), us("motion_start_ts").alias("seg"))
+    blocks = discharge_blocks(rows, **(block_options or {})).select(*LEG, "start_ts", "end_ts", F.lit("soc").alias("branch"), F.col("start_soc").cast("double").alias("start_soc"), F.col("end_soc").cast("double").alias("end_soc"), us("start_ts").alias("seg"))
+    by_block = F.col("branch") == "soc"
+    sides = [trip_limits or {}, block_limits or {}]
+    by_kind = lambda name: F.when(by_block, sides[1].get(name, 0.0)).otherwise(sides[0].get(name, 0.0))
+    bands = [side.get("band") for side in sides]
+    band = tuple(F.when(by_block, bands[1][i] if bands[1] else None).otherwise(bands[0][i] if bands[0] else None) for i in (0, 1)) if any(bands) else None
+    ident = ["branch", "seg"]
+    measured = measure_trips(written(trips.unionByName(blocks)), rows, ident, nominal_kwh, by_kind("min_soc_drop"), by_kind("min_energy_kwh"), band, ~by_block & F.lit(sides[0].get("keep_outside_band", False)))
+    measured = written(measured)
+    good = measured.where("failed is null").withColumn("odometer_confirmed", F.lit(False))
+    if min_block_km > 0:
+        good = good.where((F.col("branch") == "speed") | F.col("distance_km").isNull() | (F.col("distance_km") >= min_block_km))
+    if confirmed_km is not None and charges is not None:
+        limits = {"nominal_kwh": nominal_kwh, **sides[0]}
+        good = good.unionByName(odometer_confirmed(measured.where("branch = 'speed'"), charges, rows, ident, confirmed_km, **limits), allowMissingColumns=True)
+    by_speed = F.bool_or(F.col("branch") == "speed").over(Window.partitionBy(*LEG))
+    chosen = good.join(legs, LEG).withColumn("by_speed", by_speed & (F.col("leg_branch") == "speed"))
+    return chosen.where(F.col("branch") == F.when(F.col("by_speed"), "speed").otherwise("soc")).drop("by_speed", "leg_branch", "failed")
 
 
 def charge_energy(charges: DataFrame, rows: DataFrame, nominal_kwh: float | None = None, min_energy_kwh: float = 5.0, band: tuple[float, float] | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ..operators import enrich, islands, joins, mass, measure, segments
 from ..sources import telematics as src
 from ..sources.fixture_tables import telematics
 from ..sources.store import written
-from .queries import CHARGES_SQL, CLASSES_SQL, ID, TELEMATICS_SQL, TRIPS_SQL, charges_of, query, shown, trips_of, us
+from .queries import CHARGES_SQL, CLASSES_SQL, DISCHARGES, ID, TELEMATICS_SQL, TRIPS, TRIPS_SQL, blocks_sql, charges_of, query, shown, trips_of, us
 
 #: More channels of the same rows, as whole numbers.
 FULL_SQL = """u AS (SELECT *, CASE WHEN trigger_type IN ('TIMER', 'SIGNUP') THEN odo * 600 END AS ac, CASE WHEN trigger_type IN ('TIMER', 'SIGNUP', 'CLICK') THEN odo * 400 END AS dc,
@@ -54,6 +56,31 @@ def _(spark, d):
     return found.select("vehicle_id", "seg", "start_soc", "end_soc", "delta_soc", "energy_source", "delta_kwh", "delta_moving_kwh", "distance_km", "capacity_kwh", "failed")
 
 
+#: Every third user's legs go by the charge; every third has no speed, half of these the logger's.
+BRANCH_SQL = TRIPS_SQL.replace("t AS (", "t0 AS (", 1).replace(", trips AS (", ", t AS (SELECT * REPLACE (CASE WHEN vehicle_id % 3 = 1 AND vehicle_id % 2 = 1 THEN NULL ELSE speed END AS speed) FROM t0), trips AS (", 1)
+BLOCK_LIMITS = {"min_soc_drop": 5.0, "min_energy_kwh": 5.0, "band": (100.0, 8000.0)}
+
+
+def measured_sql(windows: str, out: str, limits: dict) -> list[str]:
+    """``MEASURED_SQL`` over other windows, into other names."""
+    steps = [around_sql(f"{out}0", windows, "soc", "odo", "wh", "mov"), *MEASURED_SQL]
+    low, high = limits["band"]
+    steps[-1] = steps[-1].replace("< 1 THEN", f"< {limits['min_soc_drop']:g} THEN").replace("< 2 OR", f"< {limits['min_energy_kwh']:g} OR").replace("BETWEEN 150 AND 6000", f"BETWEEN {low:g} AND {high:g}")
+    return [steps[0], *(re.sub(r"\bm([0-5])\b", rf"{out}\1", x) for x in steps[1:])]
+
+
+@query("n18_leg_dispatch", BRANCH_SQL, blocks_sql("falls", -1, 43_200_000_000, "prev_against < 2", 5), FULL_SQL, "tw AS (SELECT * FROM trips WHERE vehicle_id % 3 > 0)", "fw AS (SELECT vehicle_id, leg_id, start_us AS seg, start_us, end_us FROM falls)", *measured_sql("tw", "p", LIMITS), *measured_sql("fw", "b", BLOCK_LIMITS),
+    "al AS (SELECT 'speed' AS branch, * FROM p5 WHERE failed IS NULL UNION ALL BY NAME SELECT 'soc' AS branch, * FROM b5 WHERE failed IS NULL AND distance_km >= 30)", "pk AS (SELECT *, bool_or(branch = 'speed') OVER (PARTITION BY vehicle_id) AS by_speed FROM al)",
+    "SELECT branch, vehicle_id, seg, start_us, end_us, start_soc, end_soc, delta_soc, energy_source, delta_kwh, mv AS delta_moving_kwh, distance_km, cap AS capacity_kwh FROM pk WHERE (branch = 'speed') = by_speed")
+def _(spark, d):
+    rows, user = full(spark, d), F.col("vehicle_id")
+    logger = rows.where((user % 3 == 1) & (user % 2 == 0)).select(*src.LEG, "ts", "row_no", "speed_kmh")
+    rows = rows.withColumns({"branch": F.when(user % 3 == 0, "soc").otherwise("speed"), "speed_kmh": F.when(user % 3 != 1, F.col("speed_kmh"))})
+    limits = {k: v for k, v in LIMITS.items() if k != "nominal_kwh"}
+    found = segments.discharge_segments(rows, None, TRIPS, DISCHARGES, limits, BLOCK_LIMITS, 300.0, min_block_km=30.0, logger=logger)
+    return shown(found, "branch", "vehicle_id", "seg", "start_ts", "end_ts", "start_soc", "end_soc", "delta_soc", "energy_source", "delta_kwh", "delta_moving_kwh", "distance_km", "capacity_kwh")
+
+
 CHARGED_SQL = ["""q AS (SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY us, row_no) AS place FROM u)""", """k AS (SELECT * FROM q WHERE ac IS NOT NULL AND dc IS NOT NULL)""",
     """cp AS (SELECT c.*, a.place AS p0, b.place AS p1 FROM charges c JOIN q a ON a.vehicle_id = c.vehicle_id AND a.us = c.start_us JOIN q b ON b.vehicle_id = c.vehicle_id AND b.us = c.end_us)""",
     """ce AS (SELECT cp.*, coalesce((SELECT max(place) FROM k WHERE k.vehicle_id = cp.vehicle_id AND place <= p0), (SELECT min(place) FROM k WHERE k.vehicle_id = cp.vehicle_id)) AS lo, coalesce((SELECT min(place) FROM k WHERE k.vehicle_id = cp.vehicle_id AND place >= p1), (SELECT max(place) FROM k WHERE k.vehicle_id = cp.vehicle_id)) AS hi FROM cp)""",
