@@ -145,19 +145,7 @@ def test_mass_classes(spark):
     assert [r.mass_class for r in mass.mass_classes(rows).orderBy("row_no").collect()] == [None, None, 1, 1, 2, None]
 
 
-def plain_kept(times, least):
-    out, last = [], None
-    for i, t in enumerate(times):
-        if last is None or t - last >= least:
-            out, last = [*out, i], t
-    return out
-
-
 def test_folds():
-    rng = random.Random(2)
-    for _ in range(200):
-        times = sorted(rng.randrange(100) for _ in range(rng.randrange(20)))
-        assert sequence.kept_by_interval(times, 7) == plain_kept(times, 7)
     assert sequence.pedal_peaks([0, 5, 12, 30, 25, 20, 22, 40, 10]) == [3, 7]
     assert sequence.pedal_peaks([50, 40, 49, 41]) == [] and sequence.pedal_peaks([]) == []
 

@@ -1,35 +1,50 @@
-"""Operators whose state runs through a leg's samples one by one: folds over arrays or Arrow groups."""
+"""Operators whose state runs through a leg's samples: chains of successors, pedal events, quanta."""
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.store import written
 from ..sources.telematics import LEG
 from .islands import in_time, us
-
-
-def kept_by_interval(times: list[int], least: int) -> list[int]:
-    """Places kept when each must come ``least`` or more after the one kept before."""
-    kept: list[int] = []
-    for i, t in enumerate(times):
-        if not kept or t - times[kept[-1]] >= least:
-            kept.append(i)
-    return kept
+from .joins import as_of
 
 
 def downsample(rows: DataFrame, least_seconds: float) -> DataFrame:
-    """``vehicle_id, leg_id, row_no, ts`` of the samples kept, leg by leg."""
-    least = int(least_seconds * 1_000_000)
-    slim = rows.select(*LEG, "row_no", "ts", us("ts").alias("us"))
+    """``vehicle_id, leg_id, row_no, ts`` of the samples kept: the first of a leg, and then each first one that comes
+    ``least_seconds`` or more after the one kept before.
 
-    def fold(leg: pd.DataFrame) -> pd.DataFrame:
-        leg = leg.sort_values(["us", "row_no"], kind="stable")
-        return leg.iloc[kept_by_interval(leg["us"].tolist(), least)][[*LEG, "row_no", "ts"]]
-
-    return slim.groupBy(*LEG).applyInPandas(fold, slim.select(*LEG, "row_no", "ts").schema)
+    Every sample has a successor, the first one late enough; what is kept is the chain from the
+    leg's first sample. Only samples that are somebody's successor can be on it. The chain is
+    walked by doubling: who is known to be kept reaches 1, 2, 4 … successors further at
+    each step, by joins on leg and row, so a long leg is spread like any other.
+    """
+    if not least_seconds > 0:
+        raise ValueError("the interval must be positive")
+    least = int(least_seconds * 1_000_000)
+    slim = rows.where(F.col("ts").isNotNull()).select(*LEG, F.col("row_no").cast("long").alias("row_no"), "ts")
+    asked = slim.select(*LEG, "row_no", F.timestamp_micros(us("ts") + least).alias("at"))
+    here = F.struct("row_no", "ts")
+    successor = as_of(asked, slim.withColumn("next", here), "next", ["row_no"], "forward").select(*LEG, "row_no", F.col("next.row_no").alias("next"))
+    first = slim.groupBy(*LEG).agg(F.min(F.struct("ts", "row_no")).alias("f"), F.max("ts").alias("last"))
+    first = first.select(*LEG, F.col("f.row_no").alias("row_no"), (us("last") - us("f.ts")).alias("span"))
+    steps = math.ceil(math.log2((first.agg(F.max("span")).first()[0] or 0) // least + 2))
+    kept = first.select(*LEG, "row_no")
+    links = successor.where("next is not null")
+    reached = links.select(*LEG, F.col("next").alias("row_no")).unionByName(kept).distinct()
+    links = written(links.join(reached, [*LEG, "row_no"], "left_semi"))
+    for step in range(steps):
+        ahead = kept.join(links, [*LEG, "row_no"]).select(*LEG, F.col("next").alias("row_no"))
+        kept = written(kept.unionByName(ahead))
+        if step + 1 < steps:
+            far = links.select(*LEG, F.col("row_no").alias("next"), F.col("next").alias("far"))
+            links = written(links.join(far, [*LEG, "next"]).select(*LEG, "row_no", F.col("far").alias("next")))
+    return slim.join(kept, [*LEG, "row_no"], "left_semi").select(*LEG, "row_no", "ts")
 
 
 def pedal_peaks(values: list[float], rise: float = 10.0, fall: float = 8.0, least_width: int = 1, least_apart: int = 1) -> list[int]:

@@ -487,11 +487,6 @@ def _(spark, d):
     return sequence.soc_quantum(telematics(spark, d)).select("vehicle_id", "soc_quantum")
 
 
-@query("n16_downsample")
-def _(spark, d):
-    return sequence.downsample(telematics(spark, d), 86_400).select("vehicle_id", "row_no")
-
-
 @query("n17_pedal_histogram")
 def _(spark, d):
     return sequence.peak_histogram(sequence.pedal_events(telematics(spark, d), "speed_kmh"), ["vehicle_id"])
@@ -583,4 +578,4 @@ def _(spark, d):
     return shown(report, *report.columns)
 
 
-from . import report_queries, segment_queries  # noqa: E402,F401  register their own
+from . import report_queries, segment_queries, source_queries  # noqa: E402,F401  register their own

@@ -4,17 +4,21 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder in ``spark.checkpoint.dir`` and read again, so that what follows is a
-    plan of its own. A local session that names none, as in tests, gets a folder of its own."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; a local session that names none, as in tests, gets one of its own."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not sc.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="wayline-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read again, so that what follows is a plan of its own."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
