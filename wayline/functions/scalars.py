@@ -25,8 +25,8 @@ def point_part(text: Column, part: int) -> Column:
 
 
 def cardinal(degrees: Column) -> Column:
-    """One of eight compass points; half-way goes to the even one."""
-    return F.element_at(F.array(*map(F.lit, COMPASS)), (F.pmod(F.rint(degrees / 45).cast("int"), F.lit(8)) + 1).cast("int"))
+    """One of eight compass points; half-way goes to the even one. None for null, which ``element_at`` itself doesn't give."""
+    return F.when(degrees.isNotNull(), F.element_at(F.array(*map(F.lit, COMPASS)), (F.pmod(F.rint(degrees / 45).cast("int"), F.lit(8)) + 1).cast("int")))
 
 
 def weather_key(lat: str, lon: str, ts: str) -> Column:
@@ -63,7 +63,8 @@ def is_trip_label(label: Column) -> Column:
 def resource_url(base: Column, path: str, start: Column, end: Column, uri: Column, types: list[str] = ()) -> Column:
     """A link under the host of ``base`` with start, end, types and resource as parameters."""
     host = F.concat(F.parse_url(base, F.lit("PROTOCOL")), F.lit("://"), F.parse_url(base, F.lit("HOST")))
-    iso = lambda t: F.url_encode(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'+00:00'"))
+    part = lambda t: F.when(F.unix_micros(t) % 1_000_000 == 0, F.date_format(t, "yyyy-MM-dd HH:mm:ss")).otherwise(F.date_format(t, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    iso = lambda t: F.url_encode(F.concat(part(t), F.lit("+00:00")))
     kinds = "".join(f"&type={t}" for t in types)
     return F.concat(host, F.lit(f"/{path}?start="), iso(start), F.lit("&end="), iso(end), F.lit(kinds + "&resourceUri="), F.url_encode(uri))
 

@@ -97,13 +97,10 @@ def height_difference(samples: DataFrame, keys: list[str], altitude: str = "alti
 def propulsion_change(windows: DataFrame, rows: DataFrame, ident: list[str], value: str = "propulsion_wh") -> DataFrame:
     """``windows`` with ``propulsion_kwh``: the counter's change between its values at both ends, on the lines between
     readings; where the window reaches beyond them, last less first reading inside, from two on. Never negative."""
-    from .segments import around, line_at
+    from .segments import around, propelled
 
     found = around(windows, rows, [value], ident)
-    lines = line_at(f"{value}_b1", f"{value}_a1", F.col("end_ts")) - line_at(f"{value}_b0", f"{value}_a0", F.col("start_ts"))
-    inside = F.when(F.col(f"{value}_n") >= 2, (F.col(f"{value}_b1.v") - F.col(f"{value}_a0.v")).cast("double"))
-    change = F.coalesce(lines, inside) / 1000
-    return found.withColumn("propulsion_kwh", F.when(change >= 0, change)).drop(*(f"{value}_{x}" for x in ("b0", "a0", "b1", "a1", "n")))
+    return found.withColumn("propulsion_kwh", propelled(value)).drop(*(f"{value}_{x}" for x in ("b0", "a0", "b1", "a1", "n")))
 
 
 def corrected_performance(kwh: Column, km: Column, correction: Column, most_share: float = 0.8) -> Column:

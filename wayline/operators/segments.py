@@ -51,6 +51,15 @@ def line_at(before: str, after: str, at: Column, clamp: bool = False) -> Column:
     return F.coalesce(line, a, b) if clamp else line
 
 
+def propelled(value: str = "propulsion_wh") -> Column:
+    """The counter's change in thousands from what ``around`` found: on the lines at both ends, else between the first and
+    last reading inside, from two on; null if it falls."""
+    lines = line_at(f"{value}_b1", f"{value}_a1", F.col("end_ts")) - line_at(f"{value}_b0", f"{value}_a0", F.col("start_ts"))
+    inside = F.when(F.col(f"{value}_n") >= 2, (F.col(f"{value}_b1.v") - F.col(f"{value}_a0.v")).cast("double"))
+    change = F.coalesce(lines, inside) / 1000
+    return F.when(change >= 0, change)
+
+
 def _inside(c: str, first: bool) -> Column:
     """The first or last reading within the window, or null."""
     side, edge = (f"{c}_a0", F.col("end_ts")) if first else (f"{c}_b1", F.col("start_ts"))
@@ -148,7 +157,7 @@ def discharge_segments(rows: DataFrame, charges: DataFrame | None = None, trip_o
     by_kind = lambda name: F.when(by_block, sides[1].get(name, 0.0)).otherwise(sides[0].get(name, 0.0))
     bands = [side.get("band") for side in sides]
     band = tuple(F.when(by_block, bands[1][i] if bands[1] else None).otherwise(bands[0][i] if bands[0] else None) for i in (0, 1)) if any(bands) else None
-    ident = ["branch", "seg"]
+    ident, rows = ["branch", "seg"], rows.drop("branch")
     measured = measure_trips(written(trips.unionByName(blocks)), rows, ident, nominal_kwh, by_kind("min_soc_drop"), by_kind("min_energy_kwh"), band, ~by_block & F.lit(sides[0].get("keep_outside_band", False)))
     measured = written(measured)
     good = measured.where("failed is null").withColumn("odometer_confirmed", F.lit(False))
@@ -284,10 +293,12 @@ def counter_gap_minutes(rows: DataFrame, counter: str) -> DataFrame:
 
 def audit(segments: DataFrame, rows: DataFrame, ident: list[str]) -> DataFrame:
     """``segments`` with what grading asks: counter_kwh, outside_km, outside_min (between the energy anchors but outside the
-    trip), dist_outside_km (between the odometer's own anchors), odo_samples, samples, step_pct, step_rate."""
+    trip), dist_outside_km (between the odometer's own anchors), odo_samples, samples, step_pct, step_rate; where
+    ``rows`` have a propulsion counter ``propulsion_kwh`` as well (see ``propulsion_change``), from the same pass."""
     keys = [*LEG, *(c for c in ident if c not in LEG)]
     rows = rows.withColumn("any", F.lit(1))
-    trip = around(segments, rows, ["odometer_km", "any"], ident)
+    drive = ["propulsion_wh"] if "propulsion_wh" in rows.columns else []
+    trip = around(segments, rows, ["odometer_km", "any", *drive], ident)
     ends = around(segments.select(*keys, "anchor_start_ts", "anchor_end_ts"), rows, ["odometer_km"], ident, "anchor_start_ts", "anchor_end_ts")
     at_anchors = ends.select(*keys, line_at("odometer_km_b0", "odometer_km_a0", F.col("anchor_start_ts"), True).alias("km_from"), line_at("odometer_km_b1", "odometer_km_a1", F.col("anchor_end_ts"), True).alias("km_to"))
     found = trip.join(at_anchors, keys, "left")
@@ -300,7 +311,8 @@ def audit(segments: DataFrame, rows: DataFrame, ident: list[str]) -> DataFrame:
     found = found.withColumns({
         "counter_kwh": F.col("anchor_end_kwh") - F.col("anchor_start_kwh"), "outside_km": F.when(known & F.col("km_from").isNotNull() & F.col("km_to").isNotNull(), outside), "outside_min": F.when(known, minutes),
         "dist_outside_km": F.when(F.col("odometer_km_b0").isNotNull() & F.col("odometer_km_a1").isNotNull(), own), "odo_samples": F.col("odometer_km_n"), "samples": F.col("any_n"),
+        "propulsion_kwh": propelled() if drive else F.lit(None).cast("double"),
     })
     steps = fastest_drop(in_interval(rows, segments, keys), keys)
-    made = [c for c in ("counter_kwh", "outside_km", "outside_min", "dist_outside_km", "odo_samples", "samples") if c not in segments.columns]
+    made = [c for c in ("counter_kwh", "outside_km", "outside_min", "dist_outside_km", "odo_samples", "samples", "propulsion_kwh") if c not in segments.columns]
     return found.select(*segments.columns, *made).join(steps, keys, "left")

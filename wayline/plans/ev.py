@@ -5,25 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import leg_type
 from ..operators.capacity import correct_estimates, replace_outliers
 from ..operators.clean import blank_soc_spikes, clean_odometer
 from ..operators.enrich import relabel_home
 from ..operators.grade import grade
-from ..operators.islands import charge_blocks, clamp_anchors, merge_adjacent, speed_trips, stop_segments
+from ..operators.islands import charge_blocks, clamp_anchors, merge_adjacent
 from ..operators.joins import as_of, charge_between, in_interval, reconcile_charges
 from ..operators.mass import class_changes, dominant_class, mass_classes, standing_near
-from ..operators.measure import average_speed, battery_power, energy_performance, running_distance
-from ..operators.segments import anchors_again, audit, charge_energy, charge_places, measure_trips, odometer_confirmed, split_at
+from ..operators.measure import average_speed, energy_performance, running_distance
+from ..operators.report import scrub
+from ..operators.rows import named_rows, sample_figures, stops_between, trip_kinetics, with_links, with_performance
+from ..operators.segments import anchors_again, audit, charge_energy, charge_places, discharge_segments, split_at, with_logger_mass
 from ..operators.sequence import soc_quantum
 from ..sources.store import written
 from ..sources.telematics import LEG
 
-REPORT = [
-    "kind", "leg_type", "start_ts", "end_ts", "start_soc", "end_soc", "delta_soc", "delta_kwh", "energy_source", "delta_moving_kwh", "capacity_kwh", "charge_type", "ac_kwh", "dc_kwh", "distance_km", "cumulative_km",
-    "ep", "avg_speed_kmh", "battery_power_kw", "grade", "reason", "lat_start", "lon_start", "lat_end", "lon_end", "odometer_confirmed",
-]
-
 
 def trip_rows(rows: DataFrame, trips: DataFrame) -> DataFrame:
     """Trips with odometer and counter readings at or before the start and at or after the end."""
@@ -38,63 +34,67 @@ def trip_rows(rows: DataFrame, trips: DataFrame) -> DataFrame:
     return found.withColumns({"ep_kwh_km": energy_performance(F.col("delta_kwh"), F.col("distance_km")), "avg_speed_kmh": average_speed(F.col("distance_km"), F.col("start_ts"), F.col("end_ts"))})
 
 
-def ev_report(rows: DataFrame, trip_options: dict | None = None, charge_options: dict | None = None, limits: dict | None = None, spike_pct: float | None = None, clean: bool = True, confirmed_km: float | None = None, split_by_mass: bool = False, merge_gap_min: float | None = None, reconcile: bool = False, least_charge_kwh: float = 5.0) -> DataFrame:
-    """Trip, charge and stop rows of every vehicle.
+def ev_segments(rows: DataFrame, trip_options: dict | None = None, charge_options: dict | None = None, limits: dict | None = None, spike_pct: float | None = None, clean: bool = True, confirmed_km: float | None = None, split_by_mass: bool = False, merge_gap_min: float | None = None, reconcile: bool = False, least_charge_kwh: float = 5.0, block_options: dict | None = None, block_limits: dict | None = None, min_block_km: float = 0.0, logger_speed: DataFrame | None = None, logger_mass: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The cleaned rows, the charges and the discharges of every leg, as three written tables.
 
-    ``rows`` are canonical samples. In order: odometer cleaning, spike cleaning if a limit is
-    given; charges with their energy and place; trips with charge, energy and distance
-    (``limits`` as in ``measure_trips``), those that failed a floor rescued by the odometer
-    if ``confirmed_km`` is given; trips cut where the mass class changes at a stop, joined
-    over gaps under ``merge_gap_min``; energy anchors looked up again and kept apart; charges
-    cut back at trips; the audit and its grade; capacities corrected and outliers replaced
-    within each leg; home and leg types; distance so far; stops in gaps of over a minute.
+    In order: odometer cleaning, spike cleaning if a limit is given, mass classes; charges with
+    their energy and place; discharges by speed or by the charge (``discharge_segments``);
+    trips cut where the mass class changes at a stop, joined over gaps under ``merge_gap_min``;
+    energy anchors looked up again and kept apart; charges cut back at trips.
     """
-    limits = limits or {}
-    rows = written(rows)
+    limits = dict(limits or {})
+    nominal, stop_min = limits.pop("nominal_kwh", None), (trip_options or {}).get("min_stop_min", 5.0)
+    by_mass = split_by_mass or merge_gap_min is not None
     if clean:
         rows = clean_odometer(rows)
     if spike_pct is not None:
         rows = blank_soc_spikes(rows, spike_pct)
-    rows = written(rows)
-    nominal = limits.get("nominal_kwh")
+    if logger_mass is not None:
+        rows = with_logger_mass(written(rows), logger_mass)
+    rows = written(standing_near(mass_classes(rows), 2 * stop_min) if by_mass else rows)
     charges = charge_energy(charge_blocks(rows, **(charge_options or {})), rows, nominal, least_charge_kwh, limits.get("band"))
-    charges = written(charges)
-    charges = charge_places(charges.withColumn("seg", F.unix_micros("start_ts")), rows, ["seg"])
-    charges = written(charges)
-    windows = speed_trips(rows, **(trip_options or {})).withColumn("seg", F.unix_micros("start_ts"))
-    measured = written(measure_trips(written(windows), rows, ["seg"], **limits))
-    trips = measured.where("failed is null").withColumn("odometer_confirmed", F.lit(False))
+    charges = written(charge_places(written(charges.withColumn("seg", F.unix_micros("start_ts"))), rows, ["seg"]))
     spans = charges.select(*LEG, F.col("start_ts").alias("c_start"), F.col("end_ts").alias("c_end"))
-    if confirmed_km is not None:
-        rescued = odometer_confirmed(measured, spans, rows, ["seg"], confirmed_km, **limits)
-        trips = trips.unionByName(rescued, allowMissingColumns=True)
+    trips = discharge_segments(rows, spans, trip_options, block_options, limits, block_limits, nominal, min_block_km, confirmed_km, logger_speed)
     trips = written(trips.withColumn("seg", F.unix_micros("start_ts")))
-    if split_by_mass or merge_gap_min is not None:
-        labelled = written(standing_near(mass_classes(rows), 2 * (trip_options or {}).get("min_stop_min", 5.0)))
-        if split_by_mass:
-            changes = class_changes(in_interval(labelled, trips, [*LEG, "seg"]), [*LEG, "seg"])
-            trips = written(split_at(trips, written(changes), rows, ["seg"]).withColumn("seg", F.unix_micros("start_ts")))
-        if merge_gap_min is not None:
-            dominant = dominant_class(in_interval(labelled, trips, [*LEG, "seg"]), [*LEG, "seg"])
-            between = charge_between(trips.join(dominant, [*LEG, "seg"], "left"), spans.withColumnsRenamed({"c_start": "o_start", "c_end": "o_end"}))
-            trips = written(merge_adjacent(written(between), merge_gap_min))
-    trips = written(anchors_again(trips, rows))
-    trips = clamp_anchors(trips).unionByName(trips.where("energy_source = 'distance_only'"), allowMissingColumns=True)
-    trips = written(trips)
+    if split_by_mass:
+        changes = class_changes(in_interval(rows, trips, [*LEG, "seg"]), [*LEG, "seg"])
+        trips = written(split_at(trips, written(changes), rows, ["seg"]).withColumn("seg", F.unix_micros("start_ts")))
+    if merge_gap_min is not None:
+        dominant = dominant_class(in_interval(rows, trips, [*LEG, "seg"]), [*LEG, "seg"])
+        between = charge_between(trips.join(dominant, [*LEG, "seg"], "left"), spans.withColumnsRenamed({"c_start": "o_start", "c_end": "o_end"}))
+        trips = written(merge_adjacent(between, merge_gap_min))
+    trips = written(clamp_anchors(anchors_again(trips, rows)))
     if reconcile:
         charges = reconcile_charges(charges, trips.select(*LEG, F.col("start_ts").alias("o_start"), F.col("end_ts").alias("o_end")), ["seg"])
-    audited = written(audit(trips, rows, ["seg"])).join(soc_quantum(rows), LEG, "left")
+    return rows, charges, trips
+
+
+def ev_report(rows: DataFrame, *, legs: DataFrame | None = None, chargers: DataFrame | None = None, loggers: DataFrame | None = None, logger_speed: DataFrame | None = None, fallback: tuple[float, float] | None = None, mass_method: str = "mean", **options) -> DataFrame:
+    """Trip, charge and stop rows of every vehicle, with the columns of ``rows.REPORT``.
+
+    ``rows`` are canonical samples, ``options`` those of ``ev_segments``. After the segments: what
+    samples say of them, the audit, capacities corrected and outliers replaced over all of a
+    vehicle's rows, performance and its grade, home and leg types, distance so far, links and
+    operators where ``legs``, ``chargers`` and ``loggers`` are given, and stops in gaps of over a
+    minute. Weather is filled in later (``enrich.fill_missing``).
+    """
+    nominal = (options.get("limits") or {}).get("nominal_kwh")
+    rows, charges, trips = ev_segments(rows, logger_speed=logger_speed, **options)
+    audited = audit(trips, rows, ["seg"]).join(soc_quantum(rows), LEG, "left")
     both = audited.withColumn("kind", F.lit("discharge")).unionByName(charges.withColumn("kind", F.lit("charge")), allowMissingColumns=True)
-    both = both.withColumnsRenamed({"start_ts": "ts"}).withColumn("row_no", F.col("seg"))
-    both = written(replace_outliers(written(correct_estimates(written(both), nominal)))).withColumnsRenamed({"ts": "start_ts"})
-    referee = both.where("capacity_kwh is not null").groupBy(*LEG).agg(F.avg("capacity_kwh").alias("referee_kwh"))
-    both = both.join(referee, LEG, "left")
+    both = both.withColumn("distance_km", F.when(F.col("distance_km") > 0, F.col("distance_km")))
+    both = written(sample_figures(both, rows, ["kind", "seg"], mass_method))
+    if logger_speed is not None:
+        kinetic = trip_kinetics(both.where("kind = 'discharge'"), logger_speed, ["kind", "seg"]).select(*LEG, "kind", "seg", "kinetic_kwh")
+        both = both.join(kinetic, [*LEG, "kind", "seg"], "left")
+    else:
+        both = both.withColumn("kinetic_kwh", F.lit(None).cast("double"))
+    fixed = replace_outliers(correct_estimates(both.withColumn("ts", F.col("start_ts")), nominal), fallback=fallback).drop("ts", "outlier")
+    fixed = written(fixed)
+    referee = fixed.where("capacity_kwh is not null").groupBy("vehicle_id").agg(F.avg("capacity_kwh").alias("referee_kwh"))
+    graded = grade(with_performance(fixed.join(referee, "vehicle_id", "left")))
     trip = F.col("kind") == "discharge"
-    both = both.withColumns({"ep": F.when(trip, energy_performance(F.col("delta_kwh"), F.col("distance_km"))), "avg_speed_kmh": F.when(trip, average_speed(F.col("distance_km"), F.col("start_ts"), F.col("end_ts"))), "battery_power_kw": F.when(~trip, battery_power(F.col("delta_kwh"), F.col("start_ts"), F.col("end_ts")))})
-    graded = grade(both)
     graded = graded.withColumns({c: F.when(trip, F.col(c)) for c in ("grade", "reason")}).withColumn("seg_no", F.col("seg"))
-    homed = relabel_home(graded)
-    kind = leg_type(F.col("kind"), F.col("ac_kwh"), F.col("dc_kwh"), F.coalesce("at_home", "start_home"), F.col("end_home"), F.coalesce("distance_km", F.lit(0.0)))
-    report = running_distance(homed.withColumn("leg_type", kind)).select("vehicle_id", "leg_id", *REPORT)
-    stops = stop_segments(report).withColumn("leg_type", F.lit("Stop"))
-    return report.unionByName(stops, allowMissingColumns=True)
+    report = with_links(running_distance(named_rows(relabel_home(graded))), legs, chargers, loggers)
+    return scrub(stops_between(report))

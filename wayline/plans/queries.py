@@ -570,12 +570,18 @@ def trip_report(spark, d):
     return shown(trip_rows(rows, trips_of(rows)), "vehicle_id", "start_ts", "end_ts", "distance_km", "delta_kwh", "ep_kwh_km", "avg_speed_kmh")
 
 
+EV = {"trip_options": TRIPS, "charge_options": CHARGES, "block_options": DISCHARGES, "spike_pct": 3.0, "confirmed_km": 0.5, "split_by_mass": True, "merge_gap_min": 360.0, "reconcile": True}
+
+
 @query("ev_report")
 def _(spark, d):
     from .segment_queries import LIMITS, full
 
-    report = ev_report(full(spark, d), TRIPS, CHARGES, LIMITS, spike_pct=3.0, confirmed_km=0.5, split_by_mass=True, merge_gap_min=360.0, reconcile=True)
+    rows, user = full(spark, d), F.col("vehicle_id")
+    legs = rows.select(*src.LEG).distinct().withColumns({"leg_uri": F.concat(F.lit("https://fleet.example/api/legs/"), user.cast("string")), "operator": F.when(user % 3 > 0, F.concat(F.lit("OP_"), (user % 3).cast("string")))})
+    named = lambda kind: _sessions(rows).withColumn("uri", F.concat(F.lit(f"https://fleet.example/api/{kind}/"), F.col("uri").cast("string")))
+    report = ev_report(rows, legs=legs, chargers=named("charger"), loggers=named("logger"), logger_speed=rows.where(user % 2 == 0).select(*src.LEG, "ts", "row_no", "speed_kmh"), fallback=(10.0, 0.3), limits=LIMITS, block_limits=LIMITS, **EV)
     return shown(report, *report.columns)
 
 
-from . import report_queries, segment_queries, source_queries  # noqa: E402,F401  register their own
+from . import diesel_queries, report_queries, segment_queries, source_queries  # noqa: E402,F401  register their own

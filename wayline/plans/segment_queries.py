@@ -16,14 +16,14 @@ from .queries import CHARGES_SQL, CLASSES_SQL, DISCHARGES, ID, TELEMATICS_SQL, T
 
 #: More channels of the same rows, as whole numbers.
 FULL_SQL = """u AS (SELECT *, CASE WHEN trigger_type IN ('TIMER', 'SIGNUP') THEN odo * 600 END AS ac, CASE WHEN trigger_type IN ('TIMER', 'SIGNUP', 'CLICK') THEN odo * 400 END AS dc,
-    CASE WHEN trigger_type IN ('CLICK', 'PURCHASE') THEN odo * 800 END AS mov, CASE WHEN row_no % 3 > 0 THEN 50 + (row_no % 100) / 128.0 END AS lat, CASE WHEN row_no % 3 > 0 THEN (row_no % 77) / 128.0 END AS lon FROM t)"""
+    CASE WHEN trigger_type IN ('CLICK', 'PURCHASE') THEN odo * 800 END AS mov, CASE WHEN trigger_type IN ('CLICK', 'SIGNUP') THEN odo * 100 END AS rec, CASE WHEN trigger_type IN ('TIMER', 'PURCHASE') THEN odo * 900 END AS pro, CASE WHEN row_no % 3 > 0 THEN 50 + (row_no % 100) / 128.0 END AS lat, CASE WHEN row_no % 3 > 0 THEN (row_no % 77) / 128.0 END AS lon FROM t)"""
 
 
 def full(spark, d) -> DataFrame:
     rows = telematics(spark, d)
     kind, n, km = F.col("trigger_type"), F.col("row_no"), F.col("odometer_km")
     return rows.withColumns({
-        "ac_wh": F.when(kind.isin("TIMER", "SIGNUP"), km * 600), "dc_wh": F.when(kind.isin("TIMER", "SIGNUP", "CLICK"), km * 400), "moving_wh": F.when(kind.isin("CLICK", "PURCHASE"), km * 800),
+        "ac_wh": F.when(kind.isin("TIMER", "SIGNUP"), km * 600), "dc_wh": F.when(kind.isin("TIMER", "SIGNUP", "CLICK"), km * 400), "moving_wh": F.when(kind.isin("CLICK", "PURCHASE"), km * 800), "recup_wh": F.when(kind.isin("CLICK", "SIGNUP"), km * 100), "propulsion_wh": F.when(kind.isin("TIMER", "PURCHASE"), km * 900),
         "lat": F.when(n % 3 > 0, 50 + (n % 100) / 128.0), "lon": F.when(n % 3 > 0, (n % 77) / 128.0), "altitude_m": (n % 500).cast("double"),
     })
 
