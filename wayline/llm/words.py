@@ -69,20 +69,34 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8), offsets
 
 
+_tables: list[np.ndarray] = []  # powers of the base, and of its inverse, as far as any chunk has needed them
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    if not _tables or len(_tables[0]) < n:
+        n = max(n, CHUNK_BYTES + 1)
+        made = []
+        for base in (int(_BASE), pow(int(_BASE), -1, 2**64)):
+            powers = np.full(n, base, np.uint64)
+            powers[0] = 1
+            made.append(np.multiply.accumulate(powers))
+        _tables[:] = made
+    return _tables
+
+
 def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A hash of each span data[start:end]; spans don't overlap and aren't empty."""
-    length = end - start
-    if not len(length):
+    """A hash of each span data[start:end]; spans aren't empty.
+
+    A polynomial in the span's bytes, from one running sum over all bytes: a difference of
+    sums, divided by the power at its start, is the span's own.
+    """
+    if not len(start):
         return np.zeros(0, np.uint64)
-    powers = np.full(int(length.max()), _BASE, np.uint64)
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    first = np.cumsum(length) - length
-    place = np.arange(int(length.sum())) - np.repeat(first, length)
-    values = data[place + np.repeat(start, length)].astype(np.uint64)
-    values += np.uint64(1)
-    values *= powers[place]
-    return mix(np.add.reduceat(values, first) ^ (length.astype(np.uint64) << np.uint64(48)))
+    powers, inverse = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
+    own = (sums[end] - sums[start]) * inverse[start]
+    return mix(own ^ ((end - start).astype(np.uint64) << np.uint64(48)))
 
 
 def words_of(column: pa.Array, apart: np.ndarray = SPACES, lower: bool = True, chunk_bytes: int = CHUNK_BYTES, hashed: bool = True) -> Iterator[Words]:
@@ -103,7 +117,7 @@ def words_of(column: pa.Array, apart: np.ndarray = SPACES, lower: bool = True, c
         end = inside.copy()
         end[:-1] &= ~inside[1:] | fresh[1:-1]
         start, end = np.flatnonzero(start), np.flatnonzero(end) + 1
-        text = np.searchsorted(bounds, start, side="right") - 1
+        text = np.repeat(np.arange(last - first), np.diff(np.searchsorted(start, bounds)))
         yield Words(first, last - first, own, bounds, start, end, text, hash_spans(own, start, end) if hashed else None)
         first = last
 
