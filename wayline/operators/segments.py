@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..sources.store import written
 from ..sources.telematics import LEG
-from .islands import MINUTE, discharge_blocks, speed_trips, us
+from .islands import MINUTE, backwards, discharge_blocks, speed_trips, us
 from .joins import as_of_nearest, in_interval, subtract_intervals
 
 COUNTERS = ("total_energy", "moving_energy")
@@ -182,8 +182,9 @@ def charge_energy(charges: DataFrame, rows: DataFrame, nominal_kwh: float | None
     w = Window.partitionBy(*LEG).orderBy("ts", "row_no")
     placed = rows.withColumn("place", F.row_number().over(w))
     both = F.when(F.col("ac_wh").isNotNull() & F.col("dc_wh").isNotNull(), F.struct("place", "ts", F.col("ac_wh").alias("ac"), F.col("dc_wh").alias("dc")))
-    upto, onward, leg = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing), Window.partitionBy(*LEG)
-    placed = placed.withColumn("both", both).select(*LEG, "row_no", F.coalesce(F.last("both", True).over(upto), F.min("both").over(leg)).alias("low"), F.coalesce(F.first("both", True).over(onward), F.max("both").over(leg)).alias("high"))
+    # What follows is what precedes in the opposite order: a frame to the end would be read anew for each row.
+    upto, onward, leg = w.rowsBetween(Window.unboundedPreceding, 0), backwards().rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(*LEG)
+    placed = placed.withColumn("both", both).select(*LEG, "row_no", F.coalesce(F.last("both", True).over(upto), F.min("both").over(leg)).alias("low"), F.coalesce(F.last("both", True).over(onward), F.max("both").over(leg)).alias("high"))
     found = charges.join(placed.select(*LEG, F.col("row_no").alias("start_row"), "low"), [*LEG, "start_row"]).join(placed.select(*LEG, F.col("row_no").alias("end_row"), "high"), [*LEG, "end_row"])
     ac, dc = (F.col("high.ac") - F.col("low.ac")) / 1000, (F.col("high.dc") - F.col("low.dc")) / 1000
     counted = F.when((F.col("low.place") < F.col("high.place")) & (ac + dc > 0), ac + dc)

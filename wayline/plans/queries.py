@@ -487,9 +487,18 @@ def _(spark, d):
     return sequence.soc_quantum(telematics(spark, d)).select("vehicle_id", "soc_quantum")
 
 
-@query("n17_pedal_histogram")
+#: The machine by recursion over each user's readings, after a median of five.
+PEDAL_SQL = ["""v5 AS (SELECT vehicle_id, row_number() OVER (PARTITION BY vehicle_id ORDER BY us, row_no) - 1 AS i, CASE WHEN count(*) OVER w = 5 THEN median(speed) OVER w END AS m FROM t WINDOW w AS (PARTITION BY vehicle_id ORDER BY us, row_no ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))""",
+    """y AS (SELECT vehicle_id, i, coalesce(m, first_value(m IGNORE NULLS) OVER (PARTITION BY vehicle_id ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), last_value(m IGNORE NULLS) OVER (PARTITION BY vehicle_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS v FROM v5)""",
+    """st AS (SELECT vehicle_id, i, false AS ev, v AS low, i AS low_at, v AS peak, i AS peak_at, -1000000000 AS ended, NULL::DOUBLE AS hit FROM y WHERE i = 0
+    UNION ALL SELECT n.vehicle_id, n.i, CASE WHEN NOT ev THEN n.v - least(low, n.v) >= 10 ELSE greatest(peak, n.v) - n.v < 8 END, CASE WHEN NOT ev THEN least(low, n.v) WHEN greatest(peak, n.v) - n.v >= 8 THEN n.v ELSE low END, CASE WHEN NOT ev AND n.v < low OR ev AND greatest(peak, n.v) - n.v >= 8 THEN n.i ELSE low_at END,
+        CASE WHEN NOT ev THEN n.v ELSE greatest(peak, n.v) END, CASE WHEN NOT ev OR n.v > peak THEN n.i ELSE peak_at END, CASE WHEN ev AND greatest(peak, n.v) - n.v >= 8 AND (CASE WHEN n.v > peak THEN n.i ELSE peak_at END) - low_at + 1 >= 2 AND n.i - ended >= 3 THEN n.i ELSE ended END,
+        CASE WHEN ev AND greatest(peak, n.v) - n.v >= 8 AND (CASE WHEN n.v > peak THEN n.i ELSE peak_at END) - low_at + 1 >= 2 AND n.i - ended >= 3 THEN greatest(peak, n.v) END FROM st JOIN y n ON n.vehicle_id = st.vehicle_id AND n.i = st.i + 1)"""]
+
+
+@query("n17_pedal_histogram", "RECURSIVE " + TELEMATICS_SQL.strip(), *PEDAL_SQL, "SELECT vehicle_id, " + " || ',' || ".join(f"CAST(count(*) FILTER (least(floor(hit / 10), 9) = {i}) AS VARCHAR)" for i in range(10)) + " AS histogram FROM st WHERE hit IS NOT NULL GROUP BY 1")
 def _(spark, d):
-    return sequence.peak_histogram(sequence.pedal_events(telematics(spark, d), "speed_kmh"), ["vehicle_id"])
+    return sequence.pedal_histograms(telematics(spark, d), "speed_kmh", ["vehicle_id"], smooth=5, least_width=2, least_apart=3)
 
 
 @query("a20_chart_fit", """SELECT l_suppkey, count(*) AS n, CAST(floor(regr_slope(l_extendedprice, l_quantity) * 1000 + 0.5) AS BIGINT) AS slope_milli, CAST(floor(regr_intercept(l_extendedprice, l_quantity) * 100 + 0.5) AS BIGINT) AS intercept_centi, CAST(floor(regr_r2(l_extendedprice, l_quantity) * 1e6 + 0.5) AS BIGINT) AS r2_micro FROM lineitem GROUP BY 1""")
