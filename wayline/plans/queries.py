@@ -593,4 +593,4 @@ def _(spark, d):
     return shown(report, *report.columns)
 
 
-from . import diesel_queries, patch_queries, report_queries, segment_queries, source_queries  # noqa: E402,F401  register their own
+from . import diesel_queries, patch_queries, raw_queries, report_queries, segment_queries, source_queries  # noqa: E402,F401  register their own
