@@ -10,23 +10,13 @@ LIMITS = {
     "DUP_ENERGY": (1.05, 1.30), "SPLIT_ALLOC": (0.80, None), "ENERGY_WINDOW": (0.10, 0.30), "IDLE_WINDOW": (0.10, 0.30), "DIST_WINDOW": (0.10, 0.30),
     "SOC_RES": (0.10, 0.25), "SOC_STEP": (0.25, 0.50), "CAP_INCONS": (0.30, 0.60), "SHORT_DIST": (3.0, 1.0), "SPEED": (95.0, 105.0), "EP_LOW": (0.15, 0.08), "EP_HIGH": (4.0, 8.0),
 }
-ORDER = ["DUP_ENERGY", "SPLIT_ALLOC", "ENERGY_WINDOW", "IDLE_WINDOW", "DIST_WINDOW", "DIST_EXTRAP", "SOC_RES", "SOC_STEP", "CAP_INCONS", "SHORT_DIST", "SPEED", "EP_RANGE"]
+# Checks whose values are bad above their limits (SOC_STEP at them), and the code that two of them share.
+ABOVE = {"DUP_ENERGY", "ENERGY_WINDOW", "IDLE_WINDOW", "DIST_WINDOW", "DIST_EXTRAP", "SOC_RES", "SOC_STEP", "CAP_INCONS", "SPEED", "EP_HIGH"}
+CODES = {"EP_LOW": "EP_RANGE", "EP_HIGH": "EP_RANGE"}
 IDLE_KW, STEP_RATE, GATE_SOC, GATE_RES = 3.0, 300.0, 10.0, 0.10
 COUNTERS, ESTIMATES = ("total_energy", "moving_energy"), ("soc_estimate", "soc_fallback")
 
 
-def _above(value: Column, name: str, inclusive: bool = False) -> Column:
-    caution, poor = LIMITS[name]
-    over = (lambda x: value >= x) if inclusive else (lambda x: value > x)
-    return F.when(over(poor), 2).when(over(caution), 1).otherwise(0)
-
-
-def _below(value: Column, name: str) -> Column:
-    caution, poor = LIMITS[name]
-    found = F.when(value < poor, 2) if poor is not None else F.when(F.lit(False), 2)
-    return found.when(value < caution, 1).otherwise(0)
-
-
 def grade(rows: DataFrame, capacity: str = "referee_kwh") -> DataFrame:
     """``rows`` with ``grade`` (good, caution, poor; null without a figure) and ``reason``, worst first.
 
@@ -43,28 +33,27 @@ def grade(rows: DataFrame, capacity: str = "referee_kwh") -> DataFrame:
     expected = soc / 100 * F.col(capacity)
     gate = (soc >= GATE_SOC) & F.coalesce(res <= GATE_RES, F.lit(True))
     values = {
-        "DUP_ENERGY": (F.when(counter, ratio), lambda v: _above(v, "DUP_ENERGY")),
-        "SPLIT_ALLOC": (F.when(counter, ratio), lambda v: _below(v, "SPLIT_ALLOC")),
-        "ENERGY_WINDOW": (F.when(counter, part(F.col("outside_km"), km)), lambda v: _above(v, "ENERGY_WINDOW")),
-        "IDLE_WINDOW": (F.when(counter, part(F.col("outside_min") / 60 * IDLE_KW, energy)), lambda v: _above(v, "IDLE_WINDOW")),
-        "DIST_WINDOW": (part(F.col("dist_outside_km"), km), lambda v: _above(v, "DIST_WINDOW")),
-        "DIST_EXTRAP": (F.when((F.col("odo_samples") == 0) & (F.col("samples") > 0), F.lit(0.0)), lambda v: F.lit(2)),
-        "SOC_RES": (F.when(estimated, res), lambda v: _above(v, "SOC_RES")),
-        "SOC_STEP": (F.when(estimated & (F.col("step_rate") > STEP_RATE), part(F.col("step_pct"), soc)), lambda v: _above(v, "SOC_STEP", True)),
-        "CAP_INCONS": (F.when(counter & gate, part(F.abs(energy - expected), expected)), lambda v: _above(v, "CAP_INCONS")),
-        "SHORT_DIST": (km, lambda v: _below(v, "SHORT_DIST")),
-        "SPEED": (part(km, hours), lambda v: _above(v, "SPEED")),
-        "EP_RANGE": (F.col("ep"), lambda v: F.greatest(_below(v, "EP_LOW"), _above(v, "EP_HIGH"))),
+        "DUP_ENERGY": F.when(counter, ratio), "SPLIT_ALLOC": F.when(counter, ratio), "ENERGY_WINDOW": F.when(counter, part(F.col("outside_km"), km)), "IDLE_WINDOW": F.when(counter, part(F.col("outside_min") / 60 * IDLE_KW, energy)),
+        "DIST_WINDOW": part(F.col("dist_outside_km"), km), "DIST_EXTRAP": F.when((F.col("odo_samples") == 0) & (F.col("samples") > 0), F.lit(0.0)), "SOC_RES": F.when(estimated, res),
+        "SOC_STEP": F.when(estimated & (F.col("step_rate") > STEP_RATE), part(F.col("step_pct"), soc)), "CAP_INCONS": F.when(counter & gate, part(F.abs(energy - expected), expected)), "SHORT_DIST": km, "SPEED": part(km, hours), "EP_LOW": F.col("ep"), "EP_HIGH": F.col("ep"),
     }
-    # Severities first, as plain numbers; texts are written only for findings.
-    severity = {f"__s{i}": F.when(values[name][0].isNull(), 0).otherwise(values[name][1](values[name][0])) for i, name in enumerate(ORDER)}
-    found = rows.withColumns({f"__v{i}": values[name][0] for i, name in enumerate(ORDER)}).withColumns(severity)
+    # The values first, then one rule over all of them: as code of its own for each check this outgrows what a JVM compiles.
+    rules = F.array(*(F.struct(F.lit(CODES.get(name, name)).alias("code"), F.lit(1.0 if name in ABOVE else -1.0).alias("sign"), *(F.lit(x).cast("double").alias(k) for k, x in zip(("caution", "poor"), LIMITS.get(name, (-2.0, -1.0))))) for name in values))
+    found = rows.withColumn("__values", F.array(*(v.cast("double") for v in values.values())))
+
+    def severity(value: Column, rule: Column) -> Column:
+        over = lambda limit: F.when(rule["code"] == "SOC_STEP", value >= limit).otherwise(value * rule["sign"] > limit * rule["sign"])
+        return F.struct(F.when(over(rule["poor"]), 2).when(over(rule["caution"]), 1).otherwise(0).alias("s"), rule["code"].alias("code"), value.alias("v"))
+
+    found = found.withColumn("__found", F.filter(F.zip_with("__values", rules, severity), lambda x: x["s"] > 0))
     graded = F.col("ep").isNotNull() & (F.col("energy_source") != "distance_only")
-    worst = F.greatest(*severity)
+    worst = F.coalesce(F.array_max(F.transform("__found", lambda x: x["s"])), F.lit(0))
     found = found.withColumn("__worst", F.when(graded, worst))
-    text = lambda i, name: F.concat(F.lit(name + " "), F.format_string("%.0f" if name == "SPEED" else "%.2f", F.col(f"__v{i}")))
-    hit = lambda level: [F.when(F.col(f"__s{i}") == level, text(i, name)) for i, name in enumerate(ORDER)]
-    reason = F.when(F.col("__worst") > 0, F.concat_ws("; ", *hit(2), *hit(1))).when(F.col("__worst") == 0, "").when(F.col("energy_source") == "distance_only", "NO_ENERGY")
+    # Only findings become texts, each once, the worse ones first.
+    decimals = lambda v, n: F.coalesce(v.try_cast(f"decimal(20,{n})").cast("string"), F.format_string(f"%.{n}f", v))
+    text = lambda x: F.concat(x["code"], F.lit(" "), F.when(x["code"] == "SPEED", decimals(x["v"], 0)).otherwise(decimals(x["v"], 2)))
+    of = lambda level: F.transform(F.filter("__found", lambda x: x["s"] == level), text)
+    reason = F.when(F.col("__worst") > 0, F.array_join(F.concat(of(2), of(1)), "; ")).when(F.col("__worst") == 0, "").when(F.col("energy_source") == "distance_only", "NO_ENERGY")
     grades = F.when(F.col("__worst") == 2, "poor").when(F.col("__worst") == 1, "caution").when(F.col("__worst") == 0, "good")
     return found.withColumns({"grade": grades, "reason": reason}).select(*rows.columns, "grade", "reason")
 
