@@ -14,17 +14,6 @@ def missing_weather(asked: DataFrame, cache: DataFrame) -> DataFrame:
     return asked.select(weather_key("lat", "lon", "ts").alias("key")).where("key is not null").distinct().join(cache, "key", "left_anti")
 
 
-def coarse_weather(trips: DataFrame, cache: DataFrame) -> DataFrame:
-    """Trips with the mean of the weather at both ends (plain mean of the wind, as the two-point form has it) and the origin's type."""
-    names = ["temperature", "pressure", "humidity", "wind_speed", "wind_deg"]
-    keyed = trips.withColumns({"start_key": weather_key("lat_start", "lon_start", "start_ts"), "end_key": weather_key("lat_end", "lon_end", "end_ts")})
-    a = cache.select(F.col("key").alias("start_key"), F.struct(*names, "kind").alias("a"))
-    b = cache.select(F.col("key").alias("end_key"), F.struct(*names, "kind").alias("b"))
-    both = keyed.join(a, "start_key", "left").join(b, "end_key", "left")
-    mean = lambda n: F.when(F.col(f"a.{n}").isNull(), F.col(f"b.{n}")).when(F.col(f"b.{n}").isNull(), F.col(f"a.{n}")).otherwise((F.col(f"a.{n}") + F.col(f"b.{n}")) / 2)
-    return both.withColumns({n: mean(n) for n in names} | {"weather_kind": F.col("a.kind")}).drop("a", "b", "start_key", "end_key")
-
-
 def circular_mean(degrees: Column) -> Column:
     """Aggregate: mean direction, 0 to 360."""
     angle = F.radians(degrees)
@@ -87,31 +76,49 @@ def relabel_home(rows: DataFrame, within_km: float = 0.5) -> DataFrame:
 def nearest_place(points: DataFrame, places: DataFrame, ident: list[str], within_km: float = 0.5) -> DataFrame:
     """``points`` (lat, lon) with the ``postcode`` of the nearest of ``places`` (lat, lon, postcode) within reach, null if none.
 
-    Both sides meet in cells of a hundredth of a degree (at least as large as the reach up to 60 degrees of latitude)."""
+    Both sides meet in cells of a hundredth of a degree of latitude and as many kilometres of
+    longitude, by bands of a degree: a point looks in the cells around it, in the band's own
+    width, and near a band's edge in the next band as well, so no latitude loses a place.
+    """
     from ..functions.scalars import distance_km
 
-    cell = lambda c, by=0: (F.floor(F.col(c) * 100) + by).cast("long")
-    at = points.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(*ident, F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), cell("lat").alias("y"), cell("lon").alias("x"))
-    near = F.array(*(F.lit(i) for i in (-1, 0, 1)))
-    spread = places.withColumn("dy", F.explode(near)).withColumn("dx", F.explode(near)).select("postcode", "lat", "lon", (cell("lat") + F.col("dy")).alias("y"), (cell("lon") + F.col("dx")).alias("x"))
+    row = lambda lat: F.floor(lat * 100).cast("long")
+    steps = int(within_km / 1.1) + 1  # a cell is over 1.1 km high
+    around = F.array(*(F.lit(i) for i in range(-steps, steps + 1)))
+    # A cell's width in degrees at its band's far edge, where a degree is shortest; at the poles one cell is all round.
+    width = lambda y: 0.01 / F.greatest(F.cos(F.radians(F.least(F.greatest(F.abs(F.floor(y / 100)), F.abs(F.floor(y / 100) + 1)), F.lit(89.9)))), F.lit(0.002))
+    count = lambda y: F.ceil(360 / width(y)).cast("long")
+    column = lambda lon, y: F.pmod(F.floor(F.pmod(lon, F.lit(360.0)) / width(y)).cast("long"), count(y))
+    at = points.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(*ident, F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
+    at = at.withColumn("y", F.explode(F.transform(around, lambda i: row(F.col("p_lat")) + i)))
+    at = at.withColumn("x", F.explode(F.array_distinct(F.transform(around, lambda i: F.pmod(column(F.col("p_lon"), F.col("y")) + i, count(F.col("y")))))))
+    spread = places.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("postcode", "lat", "lon", row(F.col("lat")).alias("y")).withColumn("x", column(F.col("lon"), F.col("y")))
     met = at.join(spread, ["y", "x"]).withColumn("km", distance_km(F.col("p_lat"), F.col("p_lon"), F.col("lat"), F.col("lon"))).where(F.col("km") <= within_km)
     best = met.groupBy(*ident).agg(F.min(F.struct("km", "postcode")).alias("best")).select(*ident, F.col("best.postcode").alias("postcode"))
     return points.join(best, ident, "left")
 
 
-def leg_operator(legs: DataFrame, tokens: DataFrame, organisations: DataFrame, settings: DataFrame, makers: list[str], generic: tuple[str, ...] = ()) -> DataFrame:
-    """Each leg's operator code and where it is from: the trial's description, the organisation, the dated setting,
-    or none. The lookups (token/code, name/code in lower case, vehicle/dates/code) are small tables; a token
-    that isn't in its table gives itself in capitals with underscores, an organisation only what the table has."""
+def leg_operator(legs: DataFrame, tokens: DataFrame, organisations: DataFrame, settings: DataFrame, makers: list[str], generic: tuple[str, ...] = (), known: tuple[str, ...] = ()) -> DataFrame:
+    """``legs`` (vehicle_id, leg_id, trial_desc, organisation, leg_date) with ``operator``, ``operator_source`` and ``operator_unknown``.
+
+    The operator is that of the trial's description, else the organisation's, else the setting whose
+    dates hold the leg's day. A token that ``tokens`` (token, code) lacks gives itself in capitals
+    with underscores; an organisation gives only what ``organisations`` (name, code) has, and
+    ``generic`` ones nothing. Of ``settings`` (vehicle_id, place, valid_from, valid_to, code) the first
+    by ``place`` counts; a single operator is one with open dates, placed last. Unknown are
+    codes that aren't in ``known``, and legs without any.
+    """
     from ..functions.scalars import operator_token, upper_snake
 
-    rows = legs.withColumns({"token": operator_token(F.col("trial_desc"), makers), "org": F.lower(F.trim("organisation"))})
-    rows = rows.join(tokens.select(F.lower("token").alias("__token"), F.col("code").alias("known_code")), F.lower("token") == F.col("__token"), "left")
-    named = organisations.where(~F.lower("name").isin(*generic)) if generic else organisations
-    rows = rows.join(named.select(F.lower("name").alias("__org"), F.col("code").alias("org_code")), F.col("org") == F.col("__org"), "left")
-    rows = rows.withColumn("trial_code", F.coalesce("known_code", upper_snake(F.col("token"))))
-    dated = legs.join(settings, "vehicle_id").where((F.col("valid_from") <= F.col("leg_date")) & (F.col("valid_to").isNull() | (F.col("leg_date") < F.col("valid_to"))))
-    dated = dated.groupBy("vehicle_id", "leg_id").agg(F.min_by("code", "valid_from").alias("dated_code"))
-    rows = rows.join(dated, ["vehicle_id", "leg_id"], "left")
-    source = F.when(F.col("trial_code").isNotNull(), "trial").when(F.col("org_code").isNotNull(), "organisation").when(F.col("dated_code").isNotNull(), "config")
-    return rows.withColumns({"operator": F.coalesce("trial_code", "org_code", "dated_code"), "operator_source": source}).drop("token", "org", "__token", "__org", "known_code", "trial_code", "org_code", "dated_code")
+    plain = lambda c: F.lower(F.trim(F.col(c)))
+    once = lambda df, name, key, code: df.groupBy(plain(name).alias(key)).agg(F.min("code").alias(code))
+    rows = legs.withColumns({"__token": operator_token(F.col("trial_desc"), makers), "__org": plain("organisation")}).withColumn("__key", F.lower("__token"))
+    rows = rows.join(once(tokens, "token", "__key", "__known"), "__key", "left")
+    rows = rows.join(once(organisations, "name", "__org", "__org_code").where(~F.col("__org").isin(*generic) if generic else F.lit(True)), "__org", "left")
+    dated = legs.select("vehicle_id", "leg_id", "leg_date").join(settings.where(F.trim("code") != ""), "vehicle_id")
+    dated = dated.where((F.col("valid_from").isNull() | (F.col("valid_from") <= F.col("leg_date"))) & (F.col("valid_to").isNull() | (F.col("leg_date") < F.col("valid_to"))))
+    dated = dated.groupBy("vehicle_id", "leg_id").agg(F.min_by(F.trim("code"), "place").alias("__dated"))
+    rows = rows.join(dated, ["vehicle_id", "leg_id"], "left").withColumn("__trial", F.coalesce("__known", F.nullif(upper_snake(F.col("__token")), F.lit(""))))
+    source = F.when(F.col("__trial").isNotNull(), "trial").when(F.col("__org_code").isNotNull(), "organisation").when(F.col("__dated").isNotNull(), "config").otherwise("none")
+    code = F.coalesce("__trial", "__org_code", "__dated")
+    return rows.select(*legs.columns, code.alias("operator"), source.alias("operator_source"), (~F.coalesce(code.isin(*known) if known else F.lit(False), F.lit(False))).alias("operator_unknown"))

@@ -97,24 +97,6 @@ def discharge_blocks(rows: DataFrame, plateau_min: float = 60.0, rise_abort: flo
     return _soc_blocks(rows, -1, plateau_min, rise_abort).where((-F.col("delta_soc") >= min_drop) & (F.col("delta_soc") < 0))
 
 
-def stop_segments(segments: DataFrame, least_seconds: float = 60.0) -> DataFrame:
-    """Stop rows as segments: times, the charge at both ends, the place where the row before ended (or the next
-    one starts) and that row's mass and distance so far; no distance, no energy."""
-    w = Window.partitionBy("vehicle_id").orderBy("start_ts", "end_ts")
-    has = set(segments.columns)
-    follow = F.lead(F.struct("start_ts", *(c for c in ("start_soc", "lat_start", "lon_start") if c in has))).over(w)
-    gaps = segments.withColumn("__next", follow).where(us("__next.start_ts") - us("end_ts") > int(least_seconds * 1_000_000))
-    made = {"kind": F.lit("stop"), "start_ts": F.col("end_ts"), "end_ts": F.col("__next.start_ts"), "distance_km": F.lit(0.0)}
-    if "start_soc" in has:
-        made |= {"start_soc": F.col("end_soc"), "end_soc": F.col("__next.start_soc"), "delta_soc": F.col("__next.start_soc") - F.col("end_soc")}
-    if "lat_start" in has:
-        for x in ("lat", "lon"):
-            place = F.coalesce(f"{x}_end", F.col(f"__next.{x}_start"))
-            made |= {f"{x}_start": place, f"{x}_end": place}
-    kept = [c for c in ("vehicle_id", "leg_id", "mass_kg", "cumulative_km") if c in has]
-    return gaps.select(*kept, *(v.alias(k) for k, v in made.items()))
-
-
 def stop_rows(segments: DataFrame, least_seconds: float = 60.0, keys: tuple[str, ...] = ("vehicle_id",)) -> DataFrame:
     """A row for each gap of more than ``least_seconds`` between a segment and the next."""
     w = Window.partitionBy(*keys).orderBy("start_ts", "end_ts")

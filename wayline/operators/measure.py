@@ -103,11 +103,6 @@ def propulsion_change(windows: DataFrame, rows: DataFrame, ident: list[str], val
     return found.withColumn("propulsion_kwh", propelled(value)).drop(*(f"{value}_{x}" for x in ("b0", "a0", "b1", "a1", "n")))
 
 
-def corrected_performance(kwh: Column, km: Column, correction: Column, most_share: float = 0.8) -> Column:
-    """Energy for each kilometre without the correction; null where the correction is over ``most_share`` of the energy."""
-    return F.when(F.abs(correction) <= most_share * F.abs(kwh), energy_performance(kwh, km, correction))
-
-
 def battery_power(kwh: Column, start: Column, end: Column) -> Column:
     hours = (F.unix_micros(end) - F.unix_micros(start)) / 3.6e9
     return F.when(hours > 0, kwh / F.nullif(hours, F.lit(0.0)))
