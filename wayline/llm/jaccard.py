@@ -42,6 +42,9 @@ MEMBERS_EACH = 1000  # of a key in a row
 SMALL = 160  # of a key with so many classes all pairs in different components are looked at in one round
 PIVOTS = 64  # of a larger one so many classes in its first round, and PIVOT_GROWTH times as many in each later one
 PIVOT_GROWTH = 4
+BLOCK_CLASSES = 4_096  # of a key, which meet its pivots in one task
+PIVOTS_AT_ONCE = 64
+PART_CLASSES = 20_000  # of all keys to a task
 
 
 def size_bands(threshold: Fraction, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -305,6 +308,41 @@ def _near(a: str, b: str, t: Fraction) -> Column:
     return sizes & (far * (t.denominator + t.numerator) <= total * (t.denominator - t.numerator))
 
 
+def _close_in_keys(own: DataFrame, rows: int, t: Fraction) -> DataFrame:
+    """``a, b``: of each key the pivots with the classes after them (by rank) in other components, as far as sizes and short
+    sketches allow a link. Pairs are looked at in blocks of classes inside a task; only those that may link leave it."""
+    blocks = F.ceil(F.col("size") / BLOCK_CLASSES).cast("int")
+    at = F.floor((F.col("rank") - 1) / BLOCK_CLASSES).cast("int")
+    dealt = own.select("key", "class", "component", "rank", "pivot", "n", "s", at.alias("at"), F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(at))).alias("block"))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("key", "block"), F.lit(scaled_partitions(own.sparkSession, rows, PART_CLASSES))).cast("int"))
+
+    def close(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("key", "ascending"), ("block", "ascending"), ("rank", "ascending")])
+        key, block, at, rank, component, n, name = (group[c].to_numpy() for c in ("key", "block", "at", "rank", "component", "n", "class"))
+        pivot = group["pivot"].to_numpy(zero_copy_only=False).astype(bool)
+        sketch = group["s"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(group.num_rows, SKETCH_WORDS)
+        start = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (block[1:] != block[:-1]))) if len(key) else []
+        found = [np.zeros((2, 0), np.int64)]
+        for low, high in zip(start, np.append(start[1:], len(key))):
+            own = np.arange(low, high)
+            after = own[at[own] == block[low]]
+            pivots = own[pivot[own]]
+            for i in range(0, len(pivots), PIVOTS_AT_ONCE):
+                some = pivots[i : i + PIVOTS_AT_ONCE]
+                a, b = np.nonzero((rank[some][:, None] < rank[after]) & (component[some][:, None] != component[after]))
+                a, b = some[a], after[b]
+                least, most = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+                sizes = least * t.denominator >= most * t.numerator
+                a, b = a[sizes], b[sizes]
+                far = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
+                near = far * (t.denominator + t.numerator) <= (n[a] + n[b]) * (t.denominator - t.numerator)
+                found.append(np.sort([name[a[near]], name[b[near]]], axis=0))
+        a, b = np.concatenate(found, axis=1)
+        return pa.table({"a": a, "b": b})
+
+    return dealt.groupBy("part").applyInArrow(close, "a long, b long")
+
+
 def similarity_classes(docs: DataFrame, n: int = 5, threshold: str = "0.8") -> DataFrame:
     """``doc_id, text_hash, n_shingles, class_id, n_verified, component_id`` of every row.
 
@@ -355,13 +393,8 @@ def similarity_classes(docs: DataFrame, n: int = 5, threshold: str = "0.8") -> D
         most = F.when(F.col("size") <= SMALL, F.col("size")).otherwise(pivots)
         pivots *= PIVOT_GROWTH
         own = cut(own.withColumn("pivot", F.col("rank") <= most).select("key", "class", "component", "size", "rank", "pivot"))
-        # A pivot is held against the classes after it that are in other components.
-        a = own.where("pivot").select("key", F.col("class").alias("a"), F.col("component").alias("ca"), F.col("rank").alias("ra"))
-        b = own.select(F.col("key").alias("key_b"), F.col("class").alias("b"), F.col("component").alias("cb"), F.col("rank").alias("rb"))
-        pairs = a.join(b, (F.col("key") == F.col("key_b")) & (F.col("ca") != F.col("cb")) & (F.col("ra") < F.col("rb")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        close = cut(close_ones(pairs.join(known, ["a", "b"], "left_anti")))
+        close = cut(_close_in_keys(own.join(facts, "class"), own.count(), t).distinct().join(known, ["a", "b"], "left_anti"))
         # A pivot is done with its key.
         keys = cut(own.where((F.col("size") > SMALL) & ~F.col("pivot")).select("key", "class"))
         if close.isEmpty():
