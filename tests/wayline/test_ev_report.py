@@ -126,3 +126,34 @@ def test_mass_of_the_logger_where_a_leg_has_none(spark):
     logger = spark.createDataFrame([("v", 0, at(3), 0, 30.0), ("v", 0, at(4), 1, 40.0), ("v", 0, at(16), 2, 50.0), ("v", 1, at(1), 0, 60.0)], "vehicle_id string, leg_id int, ts timestamp, row_no long, mass_kg double")
     got = {(r.leg_id, r.row_no): r.mass_kg for r in segments.with_logger_mass(rows, logger).collect()}
     assert got == {(0, 0): 30.0, (0, 1): None, (1, 0): 9.0, (1, 1): None}
+
+
+def test_charges_come_before_trips_that_start_with_them(spark):
+    from wayline.operators.report import numbered
+
+    rows = spark.createDataFrame([("v", "Outbound", at(0), at(5)), ("v", "DC Home", at(0), at(9)), ("v", "AC Away", at(-1), at(0))], "vehicle_id string, leg_type string, start_ts timestamp, end_ts timestamp")
+    assert [r.leg_type for r in numbered(rows).orderBy("leg_number").collect()] == ["AC Away", "DC Home", "Outbound"]
+
+
+def test_trips_that_fail_a_floor_stay_on_the_odometers_word(spark):
+    rows = leg(0, (0, 0.0, 80.0, 100.0, 500.0, 1.0, 1.0, 52.0), (30, 60.0, 80.0, 130.0, 501.0, 1.0, 1.0, 52.2), (60, 0.0, 80.0, 130.2, 502.0, 1.0, 1.0, 52.2), (90, 0.0, 79.0, 140.0, 503.0, 1.0, 1.0, 52.3), (120, 0.0, 90.0, 140.0, 503.0, 1.0, 50.0, 52.3), (150, 0.0, 70.0, 180.0, 560.0, 1.0, 50.0, 52.3))
+    rows = spark.createDataFrame(rows, ROWS)
+    window = "vehicle_id string, leg_id int, seg int, start_ts timestamp, end_ts timestamp"
+    windows = spark.createDataFrame([("v", 0, 1, at(0), at(30)), ("v", 0, 2, at(30), at(60)), ("v", 0, 3, at(60), at(150))], window)
+    charges = spark.createDataFrame([("v", 0, at(90), at(120))], "vehicle_id string, leg_id int, c_start timestamp, c_end timestamp")
+    limits = {"min_soc_drop": 15.0, "min_energy_kwh": 2.0}
+    measured = segments.measure_trips(windows, rows, ["seg"], **limits)
+    assert {r.seg: r.failed for r in measured.collect()} == {1: "soc", 2: "soc", 3: "soc"}
+    got = {(r.seg, r.start_ts, r.end_ts): (r.energy_source, r.delta_kwh, r.distance_km, r.odometer_confirmed) for r in segments.odometer_confirmed(measured, charges, rows, ["seg"], 0.5, **limits).collect()}
+    # A part under half a kilometre goes; a charge parts the third, whose charge did not rise on the whole, so its parts have no energy.
+    assert got == {(1, at(0), at(30)): ("distance_only", None, 30.0, True), (3, at(60), at(90)): ("distance_only", None, pytest.approx(9.8), True), (3, at(120), at(150)): ("distance_only", None, 40.0, True)}
+
+
+def test_parts_of_a_trip_whose_charge_rose_are_measured_again(spark):
+    rows = leg(0, (0, 60.0, 50.0, 100.0, 500.0, 1.0, 1.0, 52.0), (60, 60.0, 30.0, 160.0, 560.0, 1.0, 1.0, 52.0), (90, 0.0, 95.0, 160.0, 560.0, 1.0, 200.0, 52.0), (150, 60.0, 75.0, 220.0, 620.0, 1.0, 200.0, 52.0))
+    rows = spark.createDataFrame(rows, ROWS)
+    windows = spark.createDataFrame([("v", 0, 1, at(0), at(150))], "vehicle_id string, leg_id int, seg int, start_ts timestamp, end_ts timestamp")
+    charges = spark.createDataFrame([("v", 0, at(60), at(90))], "vehicle_id string, leg_id int, c_start timestamp, c_end timestamp")
+    measured = segments.measure_trips(windows, rows, ["seg"], min_soc_drop=5.0)
+    got = [(r.start_ts, r.end_ts, r.energy_source, r.delta_kwh, r.delta_soc, r.capacity_kwh) for r in segments.odometer_confirmed(measured, charges, rows, ["seg"], 0.5, min_soc_drop=5.0).orderBy("start_ts").collect()]
+    assert got == [(at(0), at(60), "total_energy", -60.0, -20.0, 300.0), (at(90), at(150), "total_energy", -60.0, -20.0, 300.0)]

@@ -85,9 +85,9 @@ def row_class(label: Column) -> Column:
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``leg_number`` from 1 by start (then end and kind), one report for each vehicle, and ``colour`` by kind of row."""
-    order = Window.partitionBy("vehicle_id").orderBy("start_ts", "end_ts", "leg_type")
+    """``rows`` with ``leg_number`` from 1 by start (charges before trips that start with them), one report for each vehicle, and ``colour`` by kind of row."""
     kind = row_class(F.col("leg_type"))
+    order = Window.partitionBy("vehicle_id").orderBy("start_ts", F.when(kind == "charge", 0).otherwise(1), "end_ts", "leg_type")
     colour = F.coalesce(*(F.when(kind == k, c) for k, c in COLOURS.items()))
     return rows.withColumns({"leg_number": F.row_number().over(order).cast("long"), "colour": colour})
 
