@@ -5,16 +5,20 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from functools import lru_cache
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from wayline.llm import context_tree
 from wayline.llm.context_tree import DEPTH, SIGN, held_out, log_kt, score_texts
+from wayline.llm.queries import op12_lm_scoring
 
 
 def lower(text):
@@ -125,6 +129,30 @@ def test_scores_of_ids_that_are_null_or_repeated_and_of_nothing(spark):
     assert blank.score == pytest.approx(-(len("one two") + 1) * 8 * math.log10(2)) or blank.score == pytest.approx(-(len("one three") + 1) * 8 * math.log10(2))
 
 
+def test_query_says_nothing_of_the_fold_of_a_row_without_an_id(spark, tmp_path):
+    rows = [(None, "one two"), (None, None), *((i, "one three") for i in range(30))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = op12_lm_scoring(spark, str(tmp_path)).collect()
+    learned = sum(zlib.crc32(str(i).encode()) % 10 != 0 for i in range(30))
+    assert 0 < learned < 30 and {r.train_tokens for r in got} == {3 * learned}
+    assert sorted((r.n_tokens, r.n_known) for r in got if r.doc_id is None) == [(1, 1), (3, 2)]
+    assert all(r.held_out == (None if r.doc_id is None else zlib.crc32(str(r.doc_id).encode()) % 10 == 0) for r in got)
+
+
+def test_both_passes_stay_small_on_many_bytes():
+    rng = random.Random(4)
+    texts = [" ".join(f"{rng.getrandbits(20):x}" for _ in range(2000)) for _ in range(700)]  # some 8 MB
+    batch = lambda *columns: pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b"])
+    none = pa.array([], pa.large_binary()), np.zeros(0)
+    add = context_tree._adder(SimpleNamespace(value={context_tree.WORD: none, context_tree.GRAM: (np.zeros(0, np.int64), np.zeros(0))}), 1.0)
+    for run in (lambda: context_tree.count_terms([batch(texts, [True] * len(texts))]), lambda: add([batch(list(range(len(texts))), texts)])):
+        tracemalloc.start()
+        rows = sum(made.num_rows for made in run())
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows > 0 and peak < 130e6, peak
+
+
 def test_estimates_of_large_counts():
     for a, b in ((0, 0), (1, 0), (63, 64), (64, 1000), (10**7, 3)):
         want = math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
