@@ -133,8 +133,13 @@ def replace_outliers(rows: DataFrame, keys: list[str] | None = None, fallback: t
     """
     keys = keys or ["vehicle_id"]
     own, valid = Window.partitionBy(*keys), F.col("capacity_kwh").isNotNull()
-    found = rows.withColumns({"__mean": F.avg("capacity_kwh").over(own), "__sd": F.stddev_pop("capacity_kwh").over(own), "__n": F.count("capacity_kwh").over(own)})
-    far = F.abs(F.col("capacity_kwh") - F.col("__mean")) > F.col("__sd")
+    # Deviation and distance squared, times the count squared, over the least capacity: no root or quotient rounds, so
+    # a whole capacity just one deviation off is none over it, in whatever order the rows come.
+    x = F.col("capacity_kwh") - F.min("capacity_kwh").over(own)
+    found = rows.withColumns({"__mean": F.avg("capacity_kwh").over(own), "__x": x, "__n": F.count("capacity_kwh").over(own)})
+    found = found.withColumns({"__sum": F.sum("__x").over(own), "__squares": F.sum(F.col("__x") * F.col("__x")).over(own)})
+    off = F.col("__n") * F.col("__x") - F.col("__sum")
+    far = off * off > F.col("__n") * F.col("__squares") - F.col("__sum") * F.col("__sum")
     found = found.withColumn("outlier", F.coalesce(valid & (F.col("__n") >= 3) & far, F.lit(False)))
     inlier = valid & ~F.col("outlier") & F.coalesce(F.col("energy_source") != "soc_fallback", F.lit(True))
     found = found.withColumn("__whole", F.coalesce(_whole_mean(inlier & F.col("ts").isNotNull(), keys), F.col("__mean")))
