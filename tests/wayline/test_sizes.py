@@ -8,6 +8,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from wayline.operators import capacity
+from wayline.operators.grade import grade, grade_tally
+from wayline.plans.queries import QUERIES
+from wayline.sources import settings
 
 
 def plan_of(df) -> str:
@@ -26,3 +29,18 @@ def test_whole_capacities_one_deviation_off_are_no_outliers_in_any_order(spark):
     rows += [(-2, datetime(2024, 1, 1), 5.0, x, "total_energy", None) for x in (300.0, 300.0, 300.0, 400.0)]
     df = spark.createDataFrame(rows, "vehicle_id long, ts timestamp, delta_soc double, capacity_kwh double, energy_source string, delta_kwh double")
     assert [(r.vehicle_id, r.capacity_kwh) for r in capacity.replace_outliers(df).where("outlier").collect()] == [(-2, 300.0)]
+
+
+def test_a_tally_works_grades_out_once_and_without_interpreted_rules(spark):
+    plan = plan_of(QUERIES["a26_grade_tally"](spark, "/root/testdata/sf0.001"))
+    assert "lambda" not in plan and plan.count("105.0") == 1
+
+
+def test_grades_at_limits(spark):
+    fixed = "'soc_estimate' AS energy_source, -9.0D AS delta_kwh, 10.0D AS distance_km, timestamp'2024-01-01 00:00:00' AS start_ts, timestamp'2024-01-01 01:00:00' AS end_ts, 0.9D AS ep, 1.0D AS counter_kwh, 0.0D AS outside_km, 0.0D AS outside_min, 0.0D AS dist_outside_km, 5 AS odo_samples, 5 AS samples, 900.0D AS step_rate, 300.0D AS referee_kwh"
+    rows = spark.sql(f"SELECT n, {fixed}, -8.0D AS delta_soc, quantum AS soc_quantum, step AS step_pct FROM VALUES (1, 0D, 2D), (2, 0D, 4D), (3, 0D, 1.9999D), (4, 2D, 0D), (5, 2.5D, 0D), (6, NULL, NULL), (7, 0D, double('NaN')) AS v(n, quantum, step)")
+    graded = grade(rows)
+    found = {r.n: (r.grade, r.reason) for r in graded.collect()}
+    assert found == {1: ("caution", "SOC_STEP 0.25"), 2: ("poor", "SOC_STEP 0.50"), 3: ("good", ""), 4: ("caution", "SOC_RES 0.25"), 5: ("poor", "SOC_RES 0.31"), 6: ("good", ""), 7: ("poor", "SOC_STEP NaN")}
+    ungraded = graded.unionByName(graded.limit(1).withColumn("grade", F.lit(None).cast("string")))
+    assert sorted((r.grade, r.n) for r in grade_tally(ungraded, []).collect()) == [("caution", 2), ("good", 2), ("poor", 3)]
