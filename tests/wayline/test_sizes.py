@@ -44,3 +44,9 @@ def test_grades_at_limits(spark):
     assert found == {1: ("caution", "SOC_STEP 0.25"), 2: ("poor", "SOC_STEP 0.50"), 3: ("good", ""), 4: ("caution", "SOC_RES 0.25"), 5: ("poor", "SOC_RES 0.31"), 6: ("good", ""), 7: ("poor", "SOC_STEP NaN")}
     ungraded = graded.unionByName(graded.limit(1).withColumn("grade", F.lit(None).cast("string")))
     assert sorted((r.grade, r.n) for r in grade_tally(ungraded, []).collect()) == [("caution", 2), ("good", 2), ("poor", 3)]
+
+
+def test_override_checks_are_worked_out_once_and_in_many_tasks(spark):
+    plan = plan_of(settings.override_errors(spark.sql("SELECT id AS vehicle_id, string(id) AS json FROM range(0, 10, 1, 1)"), spark.sql("SELECT 'p' AS name")))
+    assert plan.count("RepartitionByExpression [vehicle_id") == 3  # one for each part of the union
+    assert "size(filter(" not in plan  # all errors once more, for Spark's own filter
