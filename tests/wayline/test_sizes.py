@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from wayline.operators import capacity
+from wayline.operators import capacity, enrich
 from wayline.operators.grade import grade, grade_tally
 from wayline.plans.queries import QUERIES
 from wayline.sources import settings
@@ -50,3 +50,12 @@ def test_override_checks_are_worked_out_once_and_in_many_tasks(spark):
     plan = plan_of(settings.override_errors(spark.sql("SELECT id AS vehicle_id, string(id) AS json FROM range(0, 10, 1, 1)"), spark.sql("SELECT 'p' AS name")))
     assert plan.count("RepartitionByExpression [vehicle_id") == 3  # one for each part of the union
     assert "size(filter(" not in plan  # all errors once more, for Spark's own filter
+
+
+def test_points_and_places_that_share_coordinates_meet_once(spark):
+    points = spark.sql("SELECT id AS n, CASE WHEN id % 3 > 0 THEN 50.0D END AS lat, CASE WHEN id % 5 > 0 THEN id % 2 * 0.5D END AS lon FROM range(600)")
+    places = spark.sql("SELECT string(id) AS postcode, 50.001D AS lat, id % 2 * 0.5D AS lon FROM range(10, 400) UNION ALL SELECT NULL, 50.001D, 0.5D UNION ALL SELECT '1', 50.002D, 0.0D")
+    found = enrich.nearest_place(points, places, ["n"])
+    assert {(r.n, r.postcode) for r in found.collect()} == {(n, "10" if n % 3 and n % 5 and n % 2 == 0 else None) for n in range(600)}
+    joins = [line for line in plan_of(found).splitlines() if "Join Left" in line]
+    assert joins and all("p_lat" in line for line in joins)  # not by the points' own ids
