@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wayline.operators import capacity, enrich
 from wayline.operators.grade import grade, grade_tally
 from wayline.plans.queries import QUERIES
-from wayline.sources import settings
+from wayline.sources import settings, telematics
 
 
 def plan_of(df) -> str:
@@ -59,3 +59,11 @@ def test_points_and_places_that_share_coordinates_meet_once(spark):
     assert {(r.n, r.postcode) for r in found.collect()} == {(n, "10" if n % 3 and n % 5 and n % 2 == 0 else None) for n in range(600)}
     joins = [line for line in plan_of(found).splitlines() if "Join Left" in line]
     assert joins and all("p_lat" in line for line in joins)  # not by the points' own ids
+
+
+def test_channels_side_by_side_are_dealt_to_many_tasks(spark):
+    readings = spark.sql("SELECT id % 40 AS vehicle_id, id % 4 AS leg_id, timestamp_seconds(id) AS ts, id * 10 + n AS row_no, CASE n WHEN 3 THEN 'other' WHEN 2 THEN 'b' ELSE 'a' END AS channel, double(id + n) AS value FROM range(400) JOIN (SELECT explode(array(0, 1, 2, 3, NULL)) AS n)")
+    wide = telematics.wide_logger(readings, ["a", "b", "c"])
+    # Not merged by the bytes of narrow readings, nor put together before they are dealt out.
+    assert wide.rdd.getNumPartitions() >= telematics.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    assert [(r.a, r.b, r.c) for r in wide.orderBy("ts").collect()] == [(float(i), float(i + 2), None) for i in range(400)]

@@ -26,6 +26,7 @@ SIGNALS: dict[str, tuple[str, ...]] = {
     "altitude_m": ("gnss_altitude",),
 }
 ZERO_IS_MISSING = {"soc", "lat", "lon"}
+TASKS_A_CORE = 8  # at least, where channels are put side by side
 
 
 def number(column: Column) -> Column:
@@ -90,9 +91,17 @@ def first_channel(channels: DataFrame, priority: Sequence[str]) -> DataFrame:
 
 
 def wide_logger(channels: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Channels side by side, one row for each leg and time; the first of repeated readings."""
-    picks = [F.min_by("value", F.when(F.col("channel") == name, F.col("row_no"))).alias(name) for name in names]
-    return channels.groupBy(*LEG, "ts").agg(*picks)
+    """Channels side by side, one row for each leg and time; the first of repeated readings.
+
+    A row being put together takes many times the bytes of the readings that Spark sizes its partitions by, so
+    legs are dealt to a number of tasks that isn't lowered to those bytes.
+    """
+    spark = channels.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS_A_CORE * spark.sparkContext.defaultParallelism)
+    place = F.array_position(F.array(*map(F.lit, names)), F.col("channel"))
+    slim = channels.select(*LEG, "ts", "row_no", place.cast("int").alias("place"), "value").where("place > 0").repartition(tasks, *LEG)
+    picks = [F.min_by("value", F.when(F.col("place") == i, F.col("row_no"))).alias(name) for i, name in enumerate(names, 1)]
+    return slim.groupBy(*LEG, "ts").agg(*picks)
 
 
 def gps_speed_fallback(logger: DataFrame, primary: str = "speed_kmh", gps: str = "gps_speed_ms") -> DataFrame:
