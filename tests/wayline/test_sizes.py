@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from wayline.operators import capacity, enrich
+from wayline.operators import capacity, clean, enrich, measure
 from wayline.operators.grade import grade, grade_tally
 from wayline.plans.queries import QUERIES
 from wayline.sources import settings, telematics
@@ -67,3 +67,28 @@ def test_channels_side_by_side_are_dealt_to_many_tasks(spark):
     # Not merged by the bytes of narrow readings, nor put together before they are dealt out.
     assert wide.rdd.getNumPartitions() >= telematics.TASKS_A_CORE * spark.sparkContext.defaultParallelism
     assert [(r.a, r.b, r.c) for r in wide.orderBy("ts").collect()] == [(float(i), float(i + 2), None) for i in range(400)]
+
+
+def test_replays_are_found_by_tasks_that_read_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        rng, rows, want = random.Random(4), [], {}
+        for vehicle in range(30):
+            km = [float(rng.choice((100, 100, 101, 105, 90, 300))) for _ in range(rng.randint(1, 25))]
+            gone = set(clean.replayed([60.0 * i for i in range(len(km))], km))
+            rows += [(vehicle, f"leg {vehicle % 2}", i, datetime(2024, 1, 1) + timedelta(minutes=i), x) for i, x in enumerate(km)]
+            want |= {(vehicle, i): None if i in gone else x for i, x in enumerate(km)}
+        rng.shuffle(rows)
+        found = clean.clean_odometer(spark.createDataFrame(rows, "vehicle_id long, leg_id string, row_no int, ts timestamp, odometer_km double"))
+        assert {(r.vehicle_id, r.row_no): r.odometer_km for r in found.collect()} == want and None in want.values()
+        assert "MapInArrow" in plan_of(found) and "FlatMapGroups" not in plan_of(found)  # no leg whole in one frame
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_a_speed_is_smoothed_without_interpreted_functions(spark):
+    rows = spark.createDataFrame([(1, i, datetime(2024, 1, 1) + timedelta(minutes=i), v) for i, v in enumerate((36.0, 72.0, 0.0, 36.0, None))] + [(2, 0, datetime(2024, 1, 1), 36.0)], "k int, row_no int, ts timestamp, speed_kmh double")
+    found = measure.kinetic_kwh(rows, ["k"], 3.6e6, eta=1.0, least=2)
+    assert "lambda" not in plan_of(found)
+    # 54, 36, 36 and 18 km/h: 15, 10, 10 and 5 m/s.
+    assert {r.k: r.kinetic_kwh for r in found.collect()} == {1: (5.0**2 - 15.0**2) / 2, 2: None}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,48 +13,76 @@ from .islands import backwards, in_time, us
 MAX_KMH, TOLERANCE_KM = 130.0, 0.05
 
 
-def replayed(seconds: list[float], km: list[float], vmax: float = MAX_KMH, tolerance: float = TOLERANCE_KM) -> list[int]:
-    """Places of replayed readings: runs that fall behind the kept run, or jump ahead of what the
+class Replays:
+    """Finds replayed readings one by one: runs that fall behind the kept run, or jump ahead of what the
     speed allows and come back, when the next run follows on from the kept one."""
-    starts = [i for i in range(len(km)) if i == 0 or km[i] != km[i - 1]]
-    runs = list(zip(starts, [*(s - 1 for s in starts[1:]), len(km) - 1]))
-    reach = lambda a, b: vmax * (seconds[b] - seconds[a]) / 3600 + tolerance
-    gone: list[int] = []
-    kept = runs[0][1] if runs else 0
-    for (first, last), (after, _) in zip(runs[1:-1], runs[2:]):
-        step = km[first] - km[kept]
-        back = -tolerance <= km[after] - km[kept] <= reach(kept, after)
-        ahead = step > reach(kept, first) and km[after] < km[last] - tolerance
-        if back and (step < -tolerance or ahead):
-            gone += range(first, last + 1)
-        else:
-            kept = last
-    return gone
+
+    def __init__(self, vmax: float = MAX_KMH, tolerance: float = TOLERANCE_KM):
+        self.vmax, self.tolerance = vmax, tolerance
+        self.kept = self.first = self.last = None  # each a time and a reading: the kept run's last, the open run's first and last
+        self.labels = []
+
+    def feed(self, second: float, km: float, label) -> list:
+        """The labels of the run that this reading ends, if it was replayed; else none."""
+        if self.last is not None and km == self.last[1]:
+            self.last = second, km
+            self.labels.append(label)
+            return []
+        gone = self._ended(second, km)
+        self.first = self.last = second, km
+        self.labels = [label]
+        return gone
+
+    def _ended(self, second: float, km: float) -> list:
+        if self.kept is not None:
+            reach = lambda at: self.vmax * (at - self.kept[0]) / 3600 + self.tolerance
+            step = self.first[1] - self.kept[1]
+            back = -self.tolerance <= km - self.kept[1] <= reach(second)
+            ahead = step > reach(self.first[0]) and km < self.last[1] - self.tolerance
+            if back and (step < -self.tolerance or ahead):
+                return self.labels
+        self.kept = self.last
+        return []
+
+
+def replayed(seconds: list[float], km: list[float], vmax: float = MAX_KMH, tolerance: float = TOLERANCE_KM) -> list[int]:
+    """Places of replayed readings."""
+    machine = Replays(vmax, tolerance)
+    return [place for i, reading in enumerate(zip(seconds, km)) for place in machine.feed(*reading, i)]
 
 
 def clean_odometer(rows: DataFrame) -> DataFrame:
     """``rows`` with odometer readings blanked that are not positive or replayed.
 
-    Legs whose every step is possible pass by window functions alone; the others, few,
-    are folded leg by leg.
+    Legs whose every step is possible pass by window functions alone. Of the others a task reads the
+    sorted rows batch by batch and holds no more than the run that is open.
     """
     valid = F.when(F.col("odometer_km") > 0, F.col("odometer_km").cast("double"))
     rows = rows.withColumn("odometer_km", valid)
     w = in_time()
-    read = rows.where(F.col("odometer_km").isNotNull()).select(*LEG, "row_no", "ts", "odometer_km")
+    read = rows.where(F.col("odometer_km").isNotNull() & F.col("ts").isNotNull()).select(*LEG, "row_no", "ts", "odometer_km")
     step = F.col("odometer_km") - F.lag("odometer_km").over(w)
     reach = (us("ts") - us(F.lag("ts").over(w))) / 3.6e9 * MAX_KMH + TOLERANCE_KM
     odd = read.withColumn("odd", (step < -TOLERANCE_KM) | (step > reach))
     every = Window.partitionBy(*LEG)
     suspects = odd.withColumns({"any": F.max("odd").over(every), "n": F.count("*").over(every)}).where("any and n >= 3")
 
-    def fold(leg: pd.DataFrame) -> pd.DataFrame:
-        leg = leg.sort_values(["ts", "row_no"], kind="stable")
-        places = replayed((leg["ts"].astype("int64") / 1e9).tolist() if str(leg["ts"].dtype).endswith("[ns]") else (leg["ts"].astype("datetime64[us]").astype("int64") / 1e6).tolist(), leg["odometer_km"].tolist())
-        return leg.iloc[places][[*LEG, "row_no"]]
+    read_in_order = suspects.select(*LEG, "row_no", us("ts").alias("us"), F.col("odometer_km").alias("km")).repartition(*LEG).sortWithinPartitions(*LEG, "us", "row_no")
+    out = rows.select(*LEG, "row_no").schema
+
+    def run(batches):
+        key, machine = None, None
+        for batch in batches:
+            *keys, row_nos, micros, km = (c.to_pylist() for c in batch.columns)
+            found = []
+            for own, row_no, at, value in zip(zip(*keys), row_nos, micros, km):
+                if own != key:
+                    key, machine = own, Replays()
+                found += ((*own, n) for n in machine.feed(at / 1e6, value, row_no))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, batch.schema.field(i).type) for i, c in enumerate(zip(*found))], names=out.names)
 
-    types = dict(rows.dtypes)
-    gone = suspects.select(*LEG, "row_no", "ts", "odometer_km").groupBy(*LEG).applyInPandas(fold, ", ".join(f"{c} {types[c]}" for c in (*LEG, "row_no")))
+    gone = read_in_order.mapInArrow(run, out)
     marked = rows.join(gone.withColumn("gone", F.lit(True)), [*LEG, "row_no"], "left")
     return marked.withColumn("odometer_km", F.when(F.col("gone").isNull(), F.col("odometer_km"))).drop("gone").select(*rows.columns)
 

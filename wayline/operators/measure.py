@@ -55,22 +55,21 @@ def average_speed(km: Column, start: Column, end: Column) -> Column:
     return F.when((km > 0) & (hours > 0), km / F.nullif(hours, F.lit(0.0)))
 
 
-def kinetic_kwh(samples: DataFrame, keys: list[str], mass_kg: float | str, eta: float = ETA) -> DataFrame:
+def kinetic_kwh(samples: DataFrame, keys: list[str], mass_kg: float | str, eta: float = ETA, least: int = 1) -> DataFrame:
     """``keys, kinetic_kwh``: gains of kinetic energy over the efficiency less losses times it, of
-    speeds cut to 0 to 100 km/h and smoothed by a running median of three."""
+    speeds cut to 0 to 100 km/h and smoothed by a running median of three; null with fewer than ``least`` speeds."""
     w = Window.partitionBy(*keys).orderBy("ts", "row_no")
     speed = F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.col("speed_kmh")))
     rows = samples.where(F.col("speed_kmh").isNotNull()).withColumn("v", speed)
-    three = F.array_sort(F.filter(F.array(F.lag("v").over(w), F.col("v"), F.lead("v").over(w)), lambda x: x.isNotNull()))
-    rows = rows.withColumn("three", three)
-    n = F.size("three")
-    middle = F.when(n == 3, F.get("three", F.lit(1))).when(n == 2, (F.get("three", F.lit(0)) + F.get("three", F.lit(1))) / 2).otherwise(F.get("three", F.lit(0)))
+    rows = rows.withColumns({"v0": F.lag("v").over(w), "v1": F.lead("v").over(w)})
+    # At an end the mean of two, alone the speed itself.
+    middle = F.when(F.col("v0").isNotNull() & F.col("v1").isNotNull(), F.greatest(F.least("v0", "v"), F.least(F.greatest("v0", "v"), F.col("v1")))).otherwise((F.coalesce("v0", "v1", "v") + F.col("v")) / 2)
     rows = rows.withColumn("smooth", middle / 3.6)
     change = (F.pow(F.lead("smooth").over(w), 2) - F.pow(F.col("smooth"), 2)) * 0.5
     rows = rows.withColumn("change", change)
     mass = F.col(mass_kg) if isinstance(mass_kg, str) else F.lit(mass_kg)
     joules = F.sum(mass * F.when(F.col("change") >= 0, F.col("change") / eta).otherwise(F.col("change") * eta))
-    return rows.groupBy(*keys).agg((joules / 3.6e6).alias("kinetic_kwh"))
+    return rows.groupBy(*keys).agg(F.when(F.count("*") >= least, joules / 3.6e6).alias("kinetic_kwh"))
 
 
 def speed_distance(samples: DataFrame, keys: list[str]) -> DataFrame:

@@ -63,9 +63,7 @@ def trip_kinetics(trips: DataFrame, speeds: DataFrame, ident: list[str]) -> Data
     keys = [*LEG, *(c for c in ident if c not in LEG)]
     inside = in_interval(speeds.where(F.col("speed_kmh").isNotNull()).select(*LEG, "ts", "row_no", "speed_kmh"), trips, keys)
     inside = inside.join(trips.select(*keys, "mass_kg"), keys)
-    n = inside.groupBy(*keys).agg(F.count("*").alias("__n"))
-    found = kinetic_kwh(inside, keys, "mass_kg").join(n, keys).select(*keys, F.when(F.col("__n") >= 2, F.col("kinetic_kwh")).alias("kinetic_kwh"))
-    return trips.join(found, keys, "left")
+    return trips.join(kinetic_kwh(inside, keys, "mass_kg", least=2), keys, "left")
 
 
 def with_links(rows: DataFrame, legs: DataFrame | None = None, chargers: DataFrame | None = None, loggers: DataFrame | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from ..operators.report import scrub
 from ..operators.rows import named_rows, sample_figures, stops_between, trip_kinetics, with_links, with_performance
 from ..operators.segments import anchors_again, audit, charge_energy, charge_places, discharge_segments, split_at, with_logger_mass
 from ..operators.sequence import soc_quantum
-from ..sources.store import written
+from ..sources.store import stored, written
 from ..sources.telematics import LEG
 
 
@@ -50,8 +50,9 @@ def ev_segments(rows: DataFrame, trip_options: dict | None = None, charge_option
     if spike_pct is not None:
         rows = blank_soc_spikes(rows, spike_pct)
     if logger_mass is not None:
-        rows = with_logger_mass(written(rows), logger_mass)
-    rows = written(standing_near(mass_classes(rows), 2 * stop_min) if by_mass else rows)
+        rows = with_logger_mass(stored(rows), logger_mass)
+    # Classes look at all rows twice: cleaning comes before them once.
+    rows = stored(standing_near(mass_classes(stored(rows)), 2 * stop_min) if by_mass else rows)
     charges = charge_energy(charge_blocks(rows, **(charge_options or {})), rows, nominal, least_charge_kwh, limits.get("band"))
     charges = written(charge_places(written(charges.withColumn("seg", F.unix_micros("start_ts"))), rows, ["seg"]))
     spans = charges.select(*LEG, F.col("start_ts").alias("c_start"), F.col("end_ts").alias("c_end"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,3 +23,12 @@ def written(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read again, so that what follows is a plan of its own."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder by columns, for what is read many times and mostly a few columns of."""
+    if any(f.dataType.typeName() == "void" for f in df.schema):
+        return written(df)  # a column of no type has no place in a file
+    path = f"{shared_folder(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
